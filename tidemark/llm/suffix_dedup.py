@@ -38,8 +38,10 @@ LENGTH = 100
 GRAM = 32
 #: Segments of one minimizer beyond which its windows are dealt anew, how often, and the seeds that are added each time.
 CROWD, DEALS, SEEDS = 2_000, 3, 4
+#: Crowded minimizers up to which their list is broadcast.
+BROADCAST_KEYS = 1_000_000
 #: Bytes of segments in a bucket, on average, and in a shard.
-BUCKET_BYTES, SHARD_BYTES = 3_000_000, 250_000
+BUCKET_BYTES, SHARD_BYTES = 600_000, 150_000
 #: Minimizers that a task holds before it sends them on.
 HELD = 3_000_000
 
@@ -246,14 +248,14 @@ def settled(texts: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     for deal in range(1, DEALS + 2):
         known.append(rows.where("kind = 1").select("doc_id", "d1", "start", "stop"))
         rows = rows.where("kind = 0")
-        crowd = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("again").alias("twice"))
-        crowd = stored(crowd.where("n > 1 or twice").select("key", "n"), "crowds")
-        hot = crowd.where(F.col("n") > CROWD)
-        if deal > DEALS or hot.isEmpty():
-            going.append(rows.join(crowd.select("key"), "key", "left_semi"))
+        hot = stored(rows.groupBy("key").count().where(F.col("count") > CROWD).select("key"), "hot_minimizers")
+        n_hot = hot.count()
+        if deal > DEALS or not n_hot:
+            going.append(rows)
             break
-        going.append(rows.join(crowd.where(F.col("n") <= CROWD).select("key"), "key", "left_semi"))
-        rows = stored(finer_segments(rows.join(hot.select("key"), "key", "left_semi"), deal), "segments")
+        hot = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
+        going.append(rows.join(hot, "key", "left_anti"))
+        rows = stored(finer_segments(rows.join(hot, "key", "left_semi"), deal), "segments")
     return going, known
 
 
@@ -267,8 +269,9 @@ def bucket_repeats(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf[(crowd > 1) | pdf["again"]].reset_index(drop=True)
     if len(pdf):
         shards, held, owner, place, size = [], [], [], [], 0
+        most = max(SHARD_BYTES, int(pdf["bytes"].map(len).sum()) // 200)
         for i, piece in enumerate(pdf["bytes"]):
-            if size and size + len(piece) > max(SHARD_BYTES, int(pdf["bytes"].map(len).sum()) // 200):
+            if size and size + len(piece) > most:
                 shards.append(held)
                 held, size = [], 0
             held.append(i)
