@@ -11,12 +11,17 @@ def read_stream(spark: SparkSession, path: str, schema: str, files_per_batch: in
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def timed(stream: DataFrame, event_time: str) -> DataFrame:
+    """Watermarks need a timestamp with a time zone."""
+    return stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
+
+
 def append_once(stream: DataFrame, key: str, event_time: str, late: str, path: str, checkpoint: str) -> StreamingQuery:
     """Append every key once; a repeat within ``late`` of its first event is dropped, with state no longer than that."""
-    once = stream.withWatermark(event_time, late).dropDuplicatesWithinWatermark([key])
+    once = timed(stream, event_time).withWatermark(event_time, late).dropDuplicatesWithinWatermark([key])
     return once.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
 def windowed_counts(stream: DataFrame, event_time: str, late: str, width: str, by: str) -> DataFrame:
     """Events and their values by tumbling window and key; late ones count until the watermark has passed."""
-    return stream.withWatermark(event_time, late).groupBy(F.window(event_time, width), by).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return timed(stream, event_time).withWatermark(event_time, late).groupBy(F.window(event_time, width), by).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
