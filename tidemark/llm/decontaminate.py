@@ -86,7 +86,8 @@ def hits(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 
     near = docs.join(common, F.col("doc_id").eqNullSafe(F.col("doc_id_2")) & (F.col("h") == F.col("h_2")))
     near = _with_grams(near, "doc_id", "h", "fps")
-    at = F.filter(_runs(F.col("n"), GRAM), lambda i: F.array_contains("fps", F.element_at("g", i)))
+    # an array indexed inside a lambda would be made again for each element: it is the lambda's own argument here
+    at = F.filter(F.transform("g", lambda x, i: F.when(F.array_contains("fps", x), i + 1)), lambda p: p.isNotNull())
     starts = near.where(F.col("n") >= WINDOW).select("doc_id", "h", "w", "n", at.alias("at"))
     around = F.transform("at", lambda i: F.filter(F.sequence(i - (WINDOW - GRAM), i), lambda s: (s >= 1) & (s <= F.col("n") - (WINDOW - 1))))
     starts = starts.select("doc_id", "h", "w", F.explode(F.array_distinct(F.flatten(around))).alias("start"))
