@@ -29,14 +29,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_text, scratch_path
-from tidemark.llm.words_bpe import Pieces, WordCache
+from tidemark.llm.words_bpe import word_cache
 
 CHUNK = 8
 RANK_BLOCK = 512
 #: Tokens after which a file is closed: it bounds a row of the table and a reader's memory.
 FILE_TOKENS = 2_000_000
-#: Text characters that are encoded at a time.
-BATCH_CHARS = 4_000_000
 
 FILE_SCHEMA = "part int, seq int, first_doc long, n_docs long, n_tokens long, before_in_part long, payload binary"
 
@@ -126,7 +124,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = 0, partitions: int
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordCache(Pieces(tokenizer_path))
+        cache = word_cache(tokenizer_path)
         end = np.array([end_id], np.uint32)
         doc_ids: list[int] = []
         parts: list[np.ndarray] = []
@@ -142,20 +140,13 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = 0, partitions: int
             return pd.DataFrame([row])
 
         for pdf in batches:
-            ids, texts = pdf["doc_id"].tolist(), pdf["text"].tolist()
-            at = 0
-            while at < len(texts):
-                stop, chars = at, 0
-                while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= BATCH_CHARS):
-                    chars += len(texts[stop])
-                    stop += 1
-                for doc_id, own in zip(ids[at:stop], cache.encode_all(texts[at:stop]), strict=True):
-                    doc_ids.append(doc_id)
-                    parts.append(np.concatenate([own, end]))
-                    held += len(own) + 1
-                    if held >= FILE_TOKENS:
-                        yield closed()
-                at = stop
+            for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"], strict=True):
+                own = cache.encode(text)
+                doc_ids.append(doc_id)
+                parts.append(np.concatenate([own, end]))
+                held += len(own) + 1
+                if held >= FILE_TOKENS:
+                    yield closed()
         if parts:
             yield closed()
 
