@@ -201,7 +201,7 @@ def _(spark, d):
     return _history(spark, d).select("result_id", *[r6(F.col(f"{x}_last{n}")).alias(f"{x}_last{n}") for n in (3, 5, 10) for x in names])
 
 
-@query("trend_slope_last5", f"WITH {J} SELECT result_id, round(regr_slope(f, 5 - k) FILTER (k <= 5), 6) + 0.0::DOUBLE AS finish_trend_last5, round(regr_slope(rel, 5 - k) FILTER (k <= 5), 6) + 0.0::DOUBLE AS relative_finish_trend_last5 FROM j GROUP BY result_id")
+@query("trend_slope_last5", f"WITH {J} SELECT result_id, nullif(round(regr_slope(f, 5 - k) FILTER (k <= 5), 6), 'nan'::DOUBLE) + 0.0::DOUBLE AS finish_trend_last5, nullif(round(regr_slope(rel, 5 - k) FILTER (k <= 5), 6), 'nan'::DOUBLE) + 0.0::DOUBLE AS relative_finish_trend_last5 FROM j GROUP BY result_id")
 def _(spark, d):
     return _history(spark, d).select("result_id", *[(r6(F.col(c)) + 0.0).alias(c) for c in ("finish_trend_last5", "relative_finish_trend_last5")])  # no -0.0
 
