@@ -61,9 +61,10 @@ def brute_groups(rows):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
 
 
-@pytest.mark.parametrize("deal", [48, 2])
+@pytest.mark.parametrize("deal", [128, 2])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, deal):
     monkeypatch.setattr(near_dups, "DEAL_BEYOND", deal)
+    monkeypatch.setattr(near_dups, "DEAL_FROM", 3 if deal > 2 else 1)
     monkeypatch.setattr(near_dups, "CHUNK_PAIRS", 4)
     rng = np.random.default_rng(2)
     vocabulary = [f"t{i}" for i in range(200)]

@@ -213,3 +213,14 @@ def test_decontamination_equals_brute_force(spark, limit):
     assert clean.columns == df.columns and clean.count() == sum(not e[-1] for e in expected)
     assert decontaminate.contamination(df.limit(0), bench).count() == 0
     assert decontaminate.contamination(df, bench.limit(0)).where(F.col("contaminated")).count() == 0
+
+
+def test_piece_classes_are_the_tokenizers():
+    from tidemark.llm.words_bpe import PIECE, UNUSUAL, pieces_of
+
+    split = pieces_of(BPE).tokenizer.pre_tokenizer.pre_tokenize_str
+    usual = [chr(c) for c in range(0x2100) if not UNUSUAL.search(chr(c))]
+    assert len(usual) > 590
+    for c in usual:
+        text = f"a{c}1{c} {c}{c} '{c}s{c}'s\n{c}"
+        assert PIECE.findall(text) == [text[a:b] for _, (a, b) in split(text)], hex(ord(c))

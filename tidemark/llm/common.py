@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +36,65 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables written inside the open ``recorded`` blocks, innermost last.
+_RECORDS: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives a lost executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _RECORDS:
+        _RECORDS[-1].append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._tidemark_path = path
+    return out
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``stored`` wrote; nothing that is still to run may read them."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        hadoop(p).getFileSystem(conf).delete(hadoop(p), True)
+
+
+@contextlib.contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Collects the paths of the tables stored in the block."""
+    _RECORDS.append([])
+    try:
+        yield _RECORDS[-1]
+    finally:
+        own = _RECORDS.pop()
+        if _RECORDS:
+            _RECORDS[-1].extend(own)
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables stored in the block go at its end, but for those given to what it yields; so do finished shuffle files, which
+    Spark's cleaner drops when the driver's heap is collected."""
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._tidemark_path)
+        return df
+
+    _RECORDS.append([])
+    try:
+        yield keep
+    finally:
+        own = _RECORDS.pop()
+        discard(spark, [p for p in own if p not in kept])
+        if _RECORDS:
+            _RECORDS[-1].extend(p for p in own if p in kept)
+        spark._jvm.System.gc()
+
+
+def sliced(pdf: pd.DataFrame, rows: int = 50_000) -> Iterator[pd.DataFrame]:
+    """A long frame in short ones: Arrow cuts a long column of texts into chunks, which Spark doesn't take."""
+    for at in range(0, len(pdf), rows):
+        yield pdf.iloc[at : at + rows]
 
 
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,18 +8,19 @@ shingles as 64-bit hashes (fewer words: the whole sequence as one). Two document
    signature's band keys. Documents of equal sets are one class; from here on only each class's smallest doc_id counts,
    so a group of exact copies is one row, whatever its size.
 2. Rounds over the buckets (band, key). In the first, every bucket takes its smallest member as hub and every other member
-   is tried against it: one pair a member, never all pairs. Confirmed pairs are merged by a min-label union-find over
-   DataFrames, so a group of near copies is one component after a round. In the later rounds HUBS hubs at most are drawn
-   from the members outside a bucket's commonest component, and members of other components are tried against them. A hub
-   has then met all of its bucket and leaves it. The rounds end when each bucket is in one component or used up, so no
-   link that shares a bucket is lost. A bucket of many members that aren't alike (texts around one common passage) is
-   dealt into smaller ones by a further, independent signature, which a pair that is similar enough shares as surely as
-   the first.
+   is tried against it, never all pairs. Confirmed links are merged by a min-label union-find over DataFrames, so a group
+   of near copies is mostly one component after a round. In the later rounds HUBS hubs at most are drawn from the members
+   outside a bucket's commonest component, and members of other components are tried against them. A member meets its
+   bucket's hubs in one row, where register marks tell which pairs are worth a comparison: fewer than PLAUSIBLE equal
+   ones mean a similarity below 0.75. A hub has then met all of its bucket and leaves it. The rounds end when each
+   bucket is in one component or used up, so no link that shares a bucket is lost. A bucket that keeps many members that
+   aren't alike (texts around one common passage) is dealt into smaller ones by a further, independent signature, which a
+   pair that is similar enough shares as surely as the first.
 3. A pair is verified where its hub's members are: hubs' sets are copied to every chunk of CHUNK_PAIRS members, so no
    task holds more than that of a hot hub.
 
 With BANDS bands of BAND_ROWS registers, a pair of similarity 0.75 shares no bucket with probability
-(1 - 0.75 ** BAND_ROWS) ** BANDS = 1.7e-5, and pairs above it far less.
+(1 - 0.75 ** BAND_ROWS) ** BANDS = 1.7e-4, and pairs above it far less.
 
 Null or empty text, or no words: an empty set, linked with nothing. Rows without doc_id are left out; a repeated doc_id
 counts as one document whose set is that of its smallest text. An empty table gives no rows. Other columns are ignored.
@@ -37,15 +38,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, stored
+from tidemark.llm.common import id_text, stored, temporary
 
 SHINGLE = 5
 BANDS, BAND_ROWS = 32, 5
 REGISTERS = BANDS * BAND_ROWS
 LINK, OF = 75, 100
 CHUNK_PAIRS = 256
-#: Hubs of a bucket in a round after the first, and members outside its commonest component beyond which it is dealt anew.
-HUBS, DEAL_BEYOND = 16, 48
+#: Share of equal register marks below which a pair isn't compared: at similarity 0.75 it is 3.5 deviations (of 0.028) away,
+#: which a pair falls short of about as seldom as it shares no bucket.
+PLAUSIBLE = 0.65
+#: Hubs of a bucket in a round after the first; the round from which, and the members outside a bucket's commonest component
+#: beyond which, it is dealt anew.
+HUBS, DEAL_FROM, DEAL_BEYOND = 32, 3, 128
 #: Shingles whose signatures are made together: it bounds the permutation table of the later rounds.
 SIGN_AT_ONCE = 400_000
 
@@ -139,7 +144,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest (null for an empty set), bands."""
+    """doc_id, n_shingles, digest (null for an empty set), bands, marks (a byte of each register)."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles()
@@ -152,16 +157,19 @@ def sketches(docs: DataFrame) -> DataFrame:
                 while at + len(sets) < len(texts) and (not sets or n < SIGN_AT_ONCE):
                     sets.append(shingles.of(texts[at + len(sets)]))
                     n += len(sets[-1])
-                keys = band_keys(superminhash(sets))
+                signature = superminhash(sets)
+                keys = band_keys(signature)
+                marks = mix(signature.view(np.uint64)).astype(np.uint8)
                 yield pd.DataFrame({
                     "doc_id": ids[at : at + len(sets)],
                     "n_shingles": [len(x) for x in sets],
                     "digest": [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets],
                     "bands": [k.tolist() if len(x) else None for k, x in zip(keys, sets, strict=True)],
+                    "marks": [m.tobytes() for m in marks],
                 })
                 at += len(sets)
 
-    return docs.mapInPandas(rows, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return docs.mapInPandas(rows, "doc_id long, n_shingles long, digest binary, bands array<long>, marks binary")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -234,17 +242,23 @@ def groups(docs: DataFrame) -> DataFrame:
         sketch = stored(sketches(texts), "sketches")
     classes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
     classes = stored(classes, "classes")
-    reps = sketch.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-    member = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    crowded = member.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("doc_id").alias("low")).where("size > 1")
-    member = stored(member.join(crowded.select("band", "key"), ["band", "key"]), "buckets")
-    labels = _linked(member, texts)
+    with temporary(texts.sparkSession) as keep:
+        labels = keep(stored(_classes_linked(sketch, classes, texts), "component_labels"))
     out = sketch.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"))
     out = out.join(labels.select(F.col("node").alias("class_id"), "label"), "class_id", "left").select("doc_id", "n_shingles", "class_id", F.coalesce("label", "class_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def _classes_linked(sketch: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, label) of the linked among the classes' smallest documents."""
+    reps = sketch.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    member = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
+    crowded = member.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("doc_id").alias("low")).where("size > 1")
+    member = stored(member.join(crowded.select("band", "key"), ["band", "key"]), "buckets")
+    return _linked(member, sketch.select("doc_id", "marks"), texts)
+
+
 def _dealt(member: DataFrame, sets: DataFrame, level: int) -> DataFrame:
     """Members of crowded buckets in smaller ones: each by the band keys of another signature of its set."""
 
@@ -268,7 +282,24 @@ def _open(placed: DataFrame) -> DataFrame:
     return by_label.groupBy("band", "key").agg(F.max_by("label", F.struct("n", "label")).alias("common"), (F.sum("n") - F.max("n")).alias("outside")).where("outside > 0")
 
 
-def _linked(member: DataFrame, texts: DataFrame) -> DataFrame:
+def _plausible(rows: DataFrame) -> DataFrame:
+    """(hub, doc_id) of those members (doc_id, label, marks, hubs) and hubs whose marks agree often enough. A row holds HUBS
+    hubs at most; what isn't plausible never becomes a row."""
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = set()
+            for doc_id, label, marks, hubs in zip(pdf["doc_id"].tolist(), pdf["label"].tolist(), pdf["marks"], pdf["hubs"], strict=True):
+                hubs = [h for h in hubs if h["label"] != label]
+                if hubs:
+                    same = np.frombuffer(b"".join(h["marks"] for h in hubs), np.uint8).reshape(len(hubs), -1) == np.frombuffer(marks, np.uint8)
+                    found.update((h["doc_id"], doc_id) for h, near in zip(hubs, same.mean(1) >= PLAUSIBLE, strict=True) if near)
+            yield pd.DataFrame(sorted(found), columns=["hub", "doc_id"]).astype("int64")
+
+    return rows.mapInPandas(pairs, "hub long, doc_id long")
+
+
+def _linked(member: DataFrame, marks: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, label) of the linked among the members (band, key, doc_id) of buckets."""
     spark = member.sparkSession
     labels = spark.createDataFrame([], "node long, label long")
@@ -279,8 +310,10 @@ def _linked(member: DataFrame, texts: DataFrame) -> DataFrame:
         if member.isEmpty():
             return labels
         if sets is None:
-            sets = stored(shingle_sets(texts.join(member.select("doc_id").distinct(), "doc_id", "left_semi")), "sets")
-        if turn:
+            own = stored(member.select("doc_id").distinct(), "candidates")
+            sets = stored(shingle_sets(texts.join(own, "doc_id", "left_semi")), "sets")
+            marks = stored(marks.join(own, "doc_id", "left_semi"), "marks")
+        if turn >= DEAL_FROM:
             crowded = member.where(F.col("outside") > DEAL_BEYOND)
             if not crowded.isEmpty():
                 level += 1
@@ -289,10 +322,15 @@ def _linked(member: DataFrame, texts: DataFrame) -> DataFrame:
         slot = F.lit(0) if not turn else F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(HUBS))
         drawn = member if not turn else member.where("label <> common")
         hubs = drawn.withColumn("slot", slot).groupBy("band", "key", "slot").agg(F.min_by(F.struct("doc_id", "label"), "doc_id").alias("hub"))
-        hubs = stored(hubs.select("band", "key", F.col("hub.doc_id").alias("hub"), F.col("hub.label").alias("hub_label")), "hubs")
-        pairs = member.join(hubs, ["band", "key"]).where("label <> hub_label").select(F.least("hub", "doc_id").alias("x"), F.greatest("hub", "doc_id").alias("y"), "hub", "doc_id")
-        pairs = pairs.groupBy("x", "y").agg(F.min("hub").alias("hub")).select("hub", (F.col("x") + F.col("y") - F.col("hub")).alias("doc_id"))
+        hubs = stored(hubs.select("band", "key", F.col("hub.doc_id").alias("doc_id"), F.col("hub.label").alias("label")), "hubs")
+        known = hubs.join(marks, "doc_id").groupBy("band", "key").agg(F.collect_list(F.struct("doc_id", "label", "marks")).alias("hubs"))
+        met = member.select("band", "key", "doc_id", "label").join(known, ["band", "key"]).where(F.exists("hubs", lambda h: h["label"] != F.col("label")))
+        if not turn:  # one hub a bucket, and mostly the same one in all of a member's buckets
+            met = met.select("doc_id", "label", "hubs").distinct()
+        pairs = _plausible(met.select("doc_id", "label", "hubs").join(marks, "doc_id"))
+        pairs = pairs.select(F.least("hub", "doc_id").alias("x"), F.greatest("hub", "doc_id").alias("y"), "hub").groupBy("x", "y").agg(F.min("hub").alias("hub"))
+        pairs = pairs.select("hub", (F.col("x") + F.col("y") - F.col("hub")).alias("doc_id"))
         links = stored(verified(pairs, sets), "links").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
         if not links.isEmpty():
             labels = components(links.unionByName(labels.where("node <> label").toDF("a", "b")))
-        member = member.join(hubs.select("band", "key", F.col("hub").alias("doc_id")), ["band", "key", "doc_id"], "left_anti")
+        member = member.join(hubs.select("band", "key", "doc_id"), ["band", "key", "doc_id"], "left_anti")

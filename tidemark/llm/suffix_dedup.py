@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bwt_merge import merge
-from tidemark.llm.common import id_text, stored
+from tidemark.llm.common import id_text, sliced, stored, temporary
 
 LENGTH = 100
 GRAM = 32
@@ -122,8 +122,8 @@ def scan(docs: DataFrame) -> DataFrame:
                 known = ~(first & np.append(first[1:], True))
                 kind = np.where(known, 2, 1)
                 once = known & first
-                yield frame(kind, d1, key)
-                yield frame(np.full(once.sum(), 3), d1[once], key[once])
+                yield from sliced(frame(kind, d1, key))
+                yield from sliced(frame(np.full(once.sum(), 3), d1[once], key[once]))
             keys.clear()
             owners.clear()
             seen.clear()
@@ -220,8 +220,8 @@ def first_segments(texts: DataFrame) -> DataFrame:
                 raw = text.encode("utf-8", "surrogatepass")
                 held.cut(raw, 0, doc_id, d1, keys_of(raw), np.asarray(wanted, np.int64).view(np.uint64))
                 if held.full:
-                    yield held.sent()
-        yield held.sent()
+                    yield from sliced(held.sent())
+        yield from sliced(held.sent())
 
     return texts.mapInPandas(rows, SEGMENT)
 
@@ -235,8 +235,8 @@ def finer_segments(segments: DataFrame, deal: int) -> DataFrame:
             for doc_id, d1, start, raw in zip(pdf["doc_id"].tolist(), pdf["d1"].tolist(), pdf["start"].tolist(), pdf["bytes"], strict=True):
                 held.cut(raw, start, doc_id, d1, keys_of(raw, SEEDS * deal), None)
                 if held.full:
-                    yield held.sent()
-        yield held.sent()
+                    yield from sliced(held.sent())
+        yield from sliced(held.sent())
 
     return segments.mapInPandas(rows, SEGMENT)
 
@@ -318,28 +318,23 @@ def repeats(segments: DataFrame) -> DataFrame:
     return dealt.groupBy("bucket").applyInPandas(lambda pdf: bucket_repeats(pdf), "doc_id long, d1 long, start long, stop long")
 
 
-def freed(spark) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished steps; it acts when the driver's heap is collected."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def remove(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, d1, d2 (the text's hashes) and, if wanted, kept (the bytes left)."""
     spark = docs.sparkSession
     texts = id_text(docs).where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), "text").alias("d2"), "text")
-    scanned = stored(scan(texts), "scanned")
-    stats = scanned.where("kind = 0").select("doc_id", "d1", "d2", "n_bytes", "sha")
-    first = stored(stats.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_id")), "first_of_text")
-    lists = stored(repeated_keys(scanned), "repeated_keys")
-    freed(spark)
-    wanted = first.join(lists, "d1")
-    own = texts.join(wanted.withColumnsRenamed({"d1": "e1", "d2": "e2"}), (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & (F.col("doc_id") == F.col("first_id")))
-    own = stored(own.select("doc_id", "d1", "d2", "text", "keys"), "texts")
-    freed(spark)
-    going, known = settled(own)
-    ranges = repeats(_union(going)).unionByName(_union(known))
-    ranges = stored(ranges, "ranges").groupBy("doc_id", "d1").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
-    freed(spark)
+    with temporary(spark) as keep:
+        scanned = stored(scan(texts), "scanned")
+        stats = keep(stored(scanned.where("kind = 0").select("doc_id", "d1", "d2", "n_bytes", "sha"), "stats"))
+        first = keep(stored(stats.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_id")), "first_of_text"))
+        lists = keep(stored(repeated_keys(scanned), "repeated_keys"))
+    with temporary(spark) as keep:
+        wanted = first.join(lists, "d1").withColumnsRenamed({"d1": "e1", "d2": "e2"})
+        own = texts.join(wanted, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & (F.col("doc_id") == F.col("first_id")))
+        own = keep(stored(own.select("doc_id", "d1", "d2", "text", "keys"), "texts"))
+    with temporary(spark) as keep:
+        going, known = settled(own)
+        ranges = repeats(_union(going)).unionByName(_union(known))
+        ranges = keep(stored(ranges.groupBy("doc_id", "d1").agg(F.collect_set(F.struct("start", "stop")).alias("ranges")), "ranges"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, stored
+from tidemark.llm.common import id_text, sliced, stored
 
 EXAMPLES, FEATURES, LEAST_CHI2, LEAST_DOCS = 3000, 600, 30.0, 5
 K, BLOCK, SHRINK = 15, 64, 0.05
@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 seen.update(own)
                 if toxic:
                     of_toxic.update(own)
-        yield pd.DataFrame([(f, n, of_toxic[f]) for f, n in seen.items()], columns=["feature", "n", "pos"])
+        yield from sliced(pd.DataFrame([(f, n, of_toxic[f]) for f, n in seen.items()], columns=["feature", "n", "pos"]))
 
     n = {r["toxic"]: float(r["count"]) for r in examples.groupBy("toxic").count().collect()}
     pos_all, all_ = n.get(1, 0.0), sum(n.values())
