@@ -8,23 +8,47 @@ left of it goes too. Documents of which nothing is left stay, with an empty text
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, near_dups, suffix_dedup, toxicity
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import discard, recorded, stored, table
+
+#: Scratch tables that the last stage's result reads.
+_READ: list[str] = []
+
+
+def stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage's result is written before the next stage begins, so what the stage before had stored can go then."""
+
+    @functools.wraps(f)
+    def begun(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _READ)
+        _READ.clear()
+        with recorded() as own:
+            out = f(spark, docs, sf_dir)
+        _READ.extend(own)
+        return out
+
+    return begun
 
 
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean(docs, table(spark, sf_dir, "labels"))
 
 
+@stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = near_dups.groups(docs).where("not kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
+@stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove(docs, keep_text=True).where("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("d1").alias("_d1"), F.col("kept").alias("_kept")).distinct()
 
@@ -40,10 +64,12 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.select(*docs.columns)
 
 
+@stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digest(bpe.encode(docs, path), path)
@@ -63,6 +89,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    for name, step in STAGES[:-1]:
+        docs = stored(step(spark, docs, sf_dir), f"pipeline_{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
