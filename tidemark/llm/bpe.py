@@ -3,7 +3,8 @@
 Texts are split into blocks of words once; the distinct words of all blocks are encoded once each, as a table of their
 own (word, ids). The ids then come back to the words' positions in one of two ways:
 
-* the table is packed (sorted word hashes, words, ids) and broadcast if its measured size is at most ``broadcast_bytes``;
+* the table is packed (sorted word hashes, words, ids) and given to all tasks if its measured size is at most
+  ``broadcast_bytes``: mapped from the shared folder where that is a mount, else broadcast;
 * beyond that, each block's word list is joined to the table by a shuffle on the word, and the block, which keeps its
   positions as numbers into its own list, takes the ids from the joined rows.
 
@@ -17,6 +18,7 @@ bytes each in one task.
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -26,15 +28,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, stored
-from tidemark.llm.words_bpe import Pieces, PieceTable, flatten, gather_array
+from tidemark.llm.common import id_text, scratch_path, sliced, stored
+from tidemark.llm.words_bpe import PieceTable, flatten, gather_array, piece_table, pieces_of
 
 #: Packed bytes of the word table up to which it is broadcast.
-BROADCAST_BYTES = 160_000_000
+BROADCAST_BYTES = 256_000_000
 #: Characters of a block on the shuffle path.
 BLOCK_CHARS = 16_000_000
 #: Entries of a task's own word dictionary; it is emptied beyond.
-LOCAL_WORDS = 500_000
+LOCAL_WORDS = 300_000
 
 ENCODED = "doc_id long, ids binary"
 
@@ -43,14 +45,14 @@ def distinct_words(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """The distinct words of all texts, each task's first gathered in the task."""
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces, seen = Pieces(tokenizer_path), set()
+        pieces, seen = pieces_of(tokenizer_path), set()
         for pdf in batches:
             for text in pdf["text"]:
                 seen.update(pieces.split(text))
-            if len(seen) > LOCAL_WORDS:
-                yield pd.DataFrame({"word": list(seen)})
-                seen = set()
-        yield pd.DataFrame({"word": list(seen)})
+                if len(seen) > LOCAL_WORDS:
+                    yield from sliced(pd.DataFrame({"word": list(seen)}))
+                    seen = set()
+        yield from sliced(pd.DataFrame({"word": list(seen)}))
 
     return docs.select("text").mapInPandas(words, "word string").distinct()
 
@@ -59,7 +61,7 @@ def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
     """(word, ids): every distinct word by the tokenizer, once."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(tokenizer_path)
+        pieces = pieces_of(tokenizer_path)
         for pdf in batches:
             pdf["ids"] = [np.array(x, "<u4").tobytes() for x in pieces.encode(pdf["word"].tolist())]
             yield pdf[["word", "ids"]]
@@ -70,25 +72,38 @@ def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
 class PackedWords:
     """The word table as flat arrays, sorted by a 64-bit hash of the word; a found word is compared byte by byte."""
 
-    def __init__(self, words: list[bytes], ids: list[bytes]):
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-        order = np.argsort(h, kind="stable")
-        self.hash = h[order]
-        flat, start, size = flatten(words)
-        self.words = gather_array(flat, start, size, order)
-        self.word_at = np.concatenate([[0], np.cumsum(size[order])]).astype(np.uint32 if flat.size < 2**32 else np.int64)
-        flat, start, size = flatten(ids)
-        self.ids = gather_array(flat, start, size, order).view("<u4").astype(np.uint16 if flat.size and flat.view("<u4").max() < 2**16 else np.uint32)
-        self.id_at = np.concatenate([[0], np.cumsum(size[order] // 4)]).astype(self.word_at.dtype)
+    def __init__(self, chunks: list[dict[str, bytes]]):
+        """chunks: of each, the words' hashes (u64), lengths (u32) and bytes, and their ids' counts (u32) and ids (u16)."""
+        part = {k: np.concatenate([np.frombuffer(c.pop(k), t) for c in chunks] or [np.zeros(0, t)]) for k, t in (("hash", "<u8"), ("size", "<u4"), ("words", "u1"), ("n", "<u4"), ("ids", "<u4"))}
+        order = np.argsort(part["hash"], kind="stable")
+        self.hash = part["hash"][order]
+        self.words, self.ids = part["words"], part["ids"].astype("<u2" if part["ids"].max(initial=0) < 2**16 else "<u4")
+        narrow = lambda x: x.astype("<u2") if x.max(initial=0) < 2**16 else x
+        self.size, self.n = narrow(part["size"][order]), narrow(part["n"][order])
+        self.word_at = (np.cumsum(part["size"], dtype=np.uint32) - part["size"])[order]
+        self.id_at = (np.cumsum(part["n"], dtype=np.uint32) - part["n"])[order]
+
+    def save(self, folder: str) -> None:
+        os.makedirs(folder)
+        for name, array in vars(self).items():
+            np.save(f"{folder}/{name}.npy", array)
+
+    @classmethod
+    def mapped(cls, folder: str) -> PackedWords:
+        """The saved table, of which all workers of a machine share the pages."""
+        out = cls.__new__(cls)
+        for name in ("hash", "words", "ids", "size", "n", "word_at", "id_at"):
+            setattr(out, name, np.load(f"{folder}/{name}.npy", mmap_mode="r"))
+        return out
 
     def get(self, words: list[str]) -> list[bytes]:
         raw = [w.encode() for w in words]
         at = np.searchsorted(self.hash, np.fromiter(map(xxhash.xxh3_64_intdigest, raw), np.uint64, len(raw)))
         out = []
         for word, i in zip(raw, at.tolist(), strict=True):
-            while self.words[self.word_at[i] : self.word_at[i + 1]].tobytes() != word:  # the next of equal hash
+            while self.words[(a := self.word_at[i]) : a + self.size[i]].tobytes() != word:  # the next of equal hash
                 i += 1
-            out.append(self.ids[self.id_at[i] : self.id_at[i + 1]].astype("<u4").tobytes())
+            out.append(self.ids[(a := self.id_at[i]) : a + self.n[i]].astype("<u4").tobytes())
         return out
 
 
@@ -96,7 +111,7 @@ def encode(docs: DataFrame, tokenizer_path: str, broadcast_bytes: int = BROADCAS
     """doc_id and ids (little-endian unsigned 32-bit) of every row of ``docs`` (doc_id, text)."""
     docs = id_text(docs)
     table = stored(encode_words(distinct_words(docs, tokenizer_path), tokenizer_path), "words")
-    size = table.agg(F.sum(F.octet_length("word") + F.octet_length("ids") / 2 + 16)).first()[0] or 0
+    size = table.agg(F.sum(F.octet_length("word") + F.octet_length("ids") + 32)).first()[0] or 0
     if size <= broadcast_bytes:
         return _by_broadcast(docs, table, tokenizer_path)
     return _by_shuffle(docs, table, tokenizer_path)
@@ -106,23 +121,26 @@ def _by_broadcast(docs: DataFrame, table: DataFrame, tokenizer_path: str) -> Dat
     def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             words, ids = [w.encode() for w in pdf["word"]], pdf["ids"].tolist()
-            sizes = [np.fromiter(map(len, x), "<u4", len(x)).tobytes() for x in (words, ids)]
-            yield pd.DataFrame({"n": [len(words)], "words": [b"".join(words)], "ids": [b"".join(ids)], "w": [sizes[0]], "i": [sizes[1]]})
-
-    def cut(flat: bytes, sizes: bytes) -> list[bytes]:
-        ends = np.cumsum(np.frombuffer(sizes, "<u4")).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-
-    words: list[bytes] = []
-    ids: list[bytes] = []
-    for row in table.mapInPandas(chunks, "n long, words binary, ids binary, w binary, i binary").toLocalIterator():
-        words += cut(bytes(row["words"]), bytes(row["w"]))
-        ids += cut(bytes(row["ids"]), bytes(row["i"]))
-    held = docs.sparkSession.sparkContext.broadcast(PackedWords(words, ids))
-    del words, ids
+            of = lambda values, t: [np.fromiter(values, t, len(words)).tobytes()]
+            yield pd.DataFrame({
+                "hash": of(map(xxhash.xxh3_64_intdigest, words), "<u8"), "size": of(map(len, words), "<u4"), "words": [b"".join(words)],
+                "n": of((len(x) // 4 for x in ids), "<u4"), "ids": [b"".join(ids)],
+            })
+
+    packed_rows = table.mapInPandas(chunks, "hash binary, size binary, words binary, n binary, ids binary")
+    packed_chunks = [{k: bytes(v) for k, v in row.asDict().items()} for row in packed_rows.toLocalIterator()]
+    packed_words = PackedWords(packed_chunks)
+    del packed_chunks
+    folder = scratch_path(docs.sparkSession, "packed_words")
+    if folder.startswith("file:"):  # a shared mount: mapped, so a machine holds it once
+        folder = "/" + folder.removeprefix("file:").lstrip("/")
+        packed_words.save(folder)
+        held = None
+    else:
+        held = docs.sparkSession.sparkContext.broadcast(packed_words)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces, packed, codes = Pieces(tokenizer_path), held.value, {}
+        pieces, packed, codes = pieces_of(tokenizer_path), held.value if held else PackedWords.mapped(folder), {}
         get = codes.__getitem__
         for pdf in batches:
             out = []
@@ -151,7 +169,7 @@ def _by_shuffle(docs: DataFrame, table: DataFrame, tokenizer_path: str) -> DataF
         return {"block": hashlib.sha256(packed).hexdigest(), "n": len(ids), "payload": packed, "words": list(number)}
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(tokenizer_path)
+        pieces = pieces_of(tokenizer_path)
         ids, words, chars = [], [], 0
         for pdf in batches:
             for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"], strict=True):
@@ -186,7 +204,7 @@ def _by_shuffle(docs: DataFrame, table: DataFrame, tokenizer_path: str) -> DataF
 
 def _each(encoded: DataFrame, tokenizer_path: str, row: Callable, schema: str) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = PieceTable(tokenizer_path)
+        pieces = piece_table(tokenizer_path)
         for pdf in batches:
             made = [row(np.frombuffer(x or b"", "<u4"), pieces) for x in pdf["ids"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64")} | {c.split()[0]: [m[k] for m in made] for k, c in enumerate(schema.split(", ")[1:])})
