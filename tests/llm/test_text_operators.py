@@ -48,6 +48,15 @@ def test_licenses(spark):
     assert licenses.scan(documents(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("length", [60, 92, 132, 232, 352, 399, 401, 2000])
+@pytest.mark.parametrize("notice, name", [("Released under the MIT License.", "MIT"), ("Licensed under CC BY 4.0.", "CC-BY-4.0")])
+def test_a_short_notice_in_a_line_of_any_length(notice, name, length):
+    prose = "The harbour was quiet that morning and nobody had expected the boats to come back before noon, least of all with such a catch. " * 20
+    text = prose[: (length - len(notice)) // 2] + " " + notice + " " + prose[: (length - len(notice)) // 2]
+    _, found = licenses.scan_text(text)
+    assert [m["license"] for m in found] == [name] and text[found[0]["start"] : found[0]["stop"]] == notice[:-1]
+
+
 # ---- pages
 
 
