@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import textwrap
 import zlib
 
 import numpy as np
@@ -57,6 +58,26 @@ def test_a_short_notice_in_a_line_of_any_length(notice, name, length):
     assert [m["license"] for m in found] == [name] and text[found[0]["start"] : found[0]["stop"]] == notice[:-1]
 
 
+def test_license_texts_across_breaks_and_in_long_paragraphs():
+    texts = {}
+    for n, t in licenses.TEMPLATES:
+        texts[n] = max(texts.get(n, ""), t, key=len)
+    mit = texts["MIT"].replace(" The above copyright", "\n\nThe above copyright")
+    bsd = texts["BSD-3-Clause"].replace(" Redistributions of", "\n\n* Redistributions of").replace(" Redistributions in", "\n\n* Redistributions in").replace(" Neither", "\n\n* Neither")
+    gpl = texts["GPL-3.0"].replace(" This program is distributed", "\n\nThis program is distributed")
+    for name, text in (("MIT", mit), ("BSD-3-Clause", bsd), ("GPL-3.0", gpl)):
+        for filler in ("", "A line of prose.\n" * 300):
+            wrapped = "\n\n".join("\n".join(textwrap.wrap(p, 72)) for p in text.split("\n\n"))
+            whole = filler + wrapped + "\n" + filler
+            _, found = licenses.scan_text(whole)
+            assert [(m["license"], m["missing"], m["added"]) for m in found] == [(name, [], [])], (name, len(filler))
+            assert whole[found[0]["start"] : found[0]["stop"]] == wrapped.rstrip(".")
+            _, found = licenses.scan_text(whole + "\n\n" + whole + " Released under the MIT License. Released under the MIT License.")
+            assert [m["license"] for m in found] == [name, name, "MIT", "MIT"]
+    hard = "\n".join(["Prose that goes on."] * 200 + textwrap.wrap(texts["Apache-2.0"], 60) + ["More of it."] * 200)
+    assert [m["license"] for m in licenses.scan_text(hard)[1]] == ["Apache-2.0"]
+
+
 # ---- pages
 
 
