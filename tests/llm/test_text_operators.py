@@ -139,6 +139,43 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_knows_rare_slurs(spark):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(300)]
+    slurs = ["".join(rng.choice(list("klmnopqrst"), 7)) for _ in range(24)]
+    rows = [(i, " ".join(rng.choice(words, 40)) + (" " + slurs[i // 2 % 24] if i % 2 else "")) for i in range(720)]
+    docs = documents(spark, rows)
+    marks = spark.createDataFrame([(i, i % 2) for i in range(720)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, marks.where("doc_id < 480"))  # each slur is in ten examples
+    known = {f for _, t in rows[:480] for w in t.split() for f in toxicity.features(w)}
+    assert set(model.vocabulary) == known
+    held = [r for r in toxicity.score(docs, model).collect() if r["doc_id"] >= 480]
+    assert sum(r["predicted"] == r["doc_id"] % 2 for r in held) / len(held) > 0.97
+    same = {i: rows[i][1].split()[-1] for i in range(1, 720, 2)}
+    assert all(same.get(r["neighbours"][0]) == same[r["doc_id"]] for r in held if r["doc_id"] % 2)
+
+
+def test_toxicity_prunes_exactly(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LONG", 20)
+    monkeypatch.setattr(toxicity, "BLOCK", 4)
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghij"), int(rng.integers(3, 8)))) for _ in range(400)]
+    share = 1 / np.arange(1, 401)
+    rows = [(i, " ".join(rng.choice(words, 30, p=share / share.sum())) + (" zwinkel" if i % 4 == 0 else "")) for i in range(300)]
+    model = toxicity.fit(documents(spark, rows), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int"))
+    assert 20 < len(model.block_max) < len(model.vocabulary)
+    weights = np.zeros((len(model.ids), len(model.vocabulary)))
+    for f, (e, w) in enumerate(model.postings):
+        weights[e, f] = w
+    extractor = toxicity.Extractor(model.vocabulary)
+    for i, (_, text) in enumerate(rows):
+        of, w = model.vector(extractor.counts(text))
+        cosine = np.minimum(weights[:, of] @ w, 1)
+        cosine[i % 7] = 0
+        found, near = model.nearest(of, w, but=i % 7)
+        assert i % 7 not in found and np.allclose(near, cosine[found]) and np.allclose(near, [c for c in np.sort(cosine)[::-1][: toxicity.K] if c > 0])
+
+
 # ---- BPE and token files
 
 

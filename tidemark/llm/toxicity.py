@@ -2,14 +2,15 @@
 
 ``fit`` learns from a bounded sample of labelled documents (``EXAMPLES`` of each class at most, those of the smallest
 hashes of doc_id): which features tell the classes apart, and the examples' vectors. Features are words, their beginnings
-of 4 to 6 letters and their 5-letter parts, so a slur is known in its inflected forms; the ``FEATURES`` of the largest
-chi-square are used. Their document frequencies are counted over all documents.
+of 4 to 6 letters and their 5-letter parts, so a slur is known in its inflected forms. Every feature of an example is
+indexed; its chi-square is a weight beside its document frequency, which is counted over all documents.
 
-``score`` looks every document up: upper bounds of all blocks of ``BLOCK`` examples come from the largest weight of each
-feature in a block; blocks are scored in the order of their bounds until none can hold one of the ``K`` nearest. Examples
-at cosine 0 aren't neighbours. The vote is the similarity-weighted share of toxic neighbours, shrunk by one neighbour at
-cosine ``SHRINK`` that votes the base rate; a monotone map, fitted on leave-one-out votes of the examples weighted to the
-classes' true shares, makes it a probability. Evidence: the neighbours' doc_ids and cosines.
+``score`` looks every document up. Features of ``LONG`` examples at most are summed exactly; for the commoner ones the
+largest weight in each block of ``BLOCK`` examples bounds what they can add, and only examples that may be among the ``K``
+nearest get their exact sums. Examples at cosine 0 aren't neighbours. The vote is the similarity-weighted share of toxic
+neighbours, shrunk by one neighbour at cosine ``SHRINK`` that votes the base rate; a monotone map, fitted on leave-one-out
+votes of the examples weighted to the classes' true shares, makes it a probability. Evidence: the neighbours' doc_ids and
+cosines.
 
 Null or empty text, or one without a known feature: no neighbours, scored as such examples turned out. Labels that are
 null are ignored; a doc_id labelled twice counts as toxic if one label says so. Without labels of both classes every score
@@ -31,10 +32,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_text, sliced, stored
 
-EXAMPLES, FEATURES, LEAST_CHI2, LEAST_DOCS = 3000, 600, 30.0, 5
-K, BLOCK, SHRINK = 15, 64, 0.05
+EXAMPLES = 3000
+K, BLOCK, LONG, SHRINK = 15, 64, 300, 0.05
 #: Tokens whose features a task remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -46,101 +47,136 @@ def features(word: str) -> set[str]:
     return out
 
 
+def spans(start: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places start[i] to start[i + 1] of every i in ``of``, and how many each has."""
+    n = start[of + 1] - start[of]
+    stop = np.cumsum(n)
+    return np.arange(stop[-1] if len(stop) else 0) + np.repeat(start[of] - (stop - n), n), n
+
+
 class Extractor:
-    """Counts of the known features of a text. Which features a token has is worked out once."""
+    """Known features of a text, ascending, and their counts. Which features a token has is worked out once."""
 
-    def __init__(self, vocabulary: list[str] | None):
-        self.number = None if vocabulary is None else {f: i for i, f in enumerate(vocabulary)}
-        self.useful: dict[str, tuple[int, ...]] = {}
-        self.met: set[str] = set()
+    def __init__(self, vocabulary: list[str]):
+        self.number = {f: i for i, f in enumerate(vocabulary)}
+        self.known: dict[str, np.ndarray] = {}
 
-    def of_token(self, token: str) -> tuple[int, ...]:
+    def of_token(self, token: str) -> np.ndarray:
         found = [f for w in LETTERS.findall(token) for f in features(w)]
-        return tuple(self.number[f] for f in found if f in self.number)
-
-    def counts(self, text: str | None) -> Counter:
-        tokens = (text or "").lower().split()
-        distinct = set(tokens)
-        new = distinct - self.met
-        if new:
-            if len(self.met) > REMEMBERED:
-                self.met, self.useful, new = set(), {}, distinct
-            self.met |= new
-            self.useful.update((t, own) for t in new if (own := self.of_token(t)))
-        useful = self.useful
-        if distinct.isdisjoint(useful):
-            return Counter()
-        out: Counter = Counter()
-        for t, n in Counter(t for t in tokens if t in useful).items():
-            for f in useful[t]:
-                out[f] += n
-        return out
+        return np.array([self.number[f] for f in found if f in self.number], np.int32)
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        tokens = Counter((text or "").lower().split())
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        known = self.known
+        parts = []
+        for t in tokens:
+            own = known.get(t)
+            if own is None:
+                own = known[t] = self.of_token(t)
+            parts.append(own)
+        if not parts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        of = np.concatenate(parts)
+        n = np.repeat(np.fromiter(tokens.values(), np.int64, len(tokens)), [len(x) for x in parts])
+        order = np.argsort(of, kind="stable")
+        of, n = of[order], n[order]
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        return of[first], np.add.reduceat(n, first) if len(first) else n
 
 
 @dataclass
 class Model:
-    """Bounded by EXAMPLES and FEATURES, whatever the corpus."""
+    """Bounded by the texts of the examples, whatever the corpus."""
 
     vocabulary: list[str]
-    idf: np.ndarray
+    weights: np.ndarray
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
     base: float = 0.0
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    #: Postings by feature: owner and weight from start[f] to start[f + 1].
+    start: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    owner: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    weight: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    #: Numbers of the features of more than LONG examples (-1: others), their block maxima, and their postings by example.
+    long: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    row_start: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    row_long: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    row_weight: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     votes: np.ndarray = field(default_factory=lambda: np.zeros(1))
     rates: np.ndarray = field(default_factory=lambda: np.zeros(1))
     none_rate: float = 0.0
 
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        if not counts:
-            return np.zeros(0, np.int64), np.zeros(0)
-        of = np.array(sorted(counts))
-        w = (1 + np.log(np.array([counts[f] for f in of.tolist()], np.float64))) * self.idf[of]
+    def vector(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        of, n = counts
+        w = (1 + np.log(n)) * self.weights[of]
         length = np.sqrt((w * w).sum())
         return (of, w / length) if length else (of[:0], w[:0])
 
+    @property
+    def postings(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [(self.owner[a:b], self.weight[a:b]) for a, b in zip(self.start[:-1], self.start[1:], strict=True)]
+
     def index(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        owner = np.repeat(np.arange(len(vectors)), [len(f) for f, _ in vectors])
-        of = np.concatenate([f for f, _ in vectors] or [np.zeros(0, np.int64)])
-        w = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
-        order = np.lexsort((owner, of))
-        owner, of, w = owner[order], of[order], w[order]
-        at = np.searchsorted(of, np.arange(len(self.vocabulary) + 1))
-        self.postings = [(owner[a:b], w[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
-        self.block_max = np.zeros((len(self.vocabulary), -(-len(vectors) // BLOCK)))
-        np.maximum.at(self.block_max, (of, owner // BLOCK), w)
+        owner = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(f) for f, _ in vectors])
+        of = np.concatenate([f for f, _ in vectors] or [np.zeros(0, np.int32)])
+        w = np.concatenate([w.astype(np.float32) for _, w in vectors] or [np.zeros(0, np.float32)])
+        size = np.bincount(of, minlength=len(self.vocabulary))
+        long = np.flatnonzero(size > LONG)
+        self.long = np.full(len(self.vocabulary), -1, np.int32)
+        self.long[long] = np.arange(len(long))
+        keep = self.long[of] >= 0
+        self.row_long, self.row_weight = self.long[of[keep]], w[keep]
+        self.row_start = np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(vectors)))])
+        self.block_max = np.zeros((len(long), -(-len(vectors) // BLOCK)), np.float32)
+        np.maximum.at(self.block_max, (self.row_long, owner[keep] // BLOCK), self.row_weight)
+        order = np.argsort(of, kind="stable")
+        self.owner, self.weight = owner[order], w[order]
+        self.start = np.concatenate([[0], np.cumsum(size)])
+
+    def sums(self, of: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Each example's part of the cosine from these features."""
+        if not len(of):
+            return np.zeros(len(self.ids))
+        cuts = [slice(a, b) for a, b in zip(self.start[of].tolist(), self.start[of + 1].tolist(), strict=True)]
+        weight = np.concatenate([self.weight[c] for c in cuts]) * np.repeat(w, self.start[of + 1] - self.start[of])
+        return np.bincount(np.concatenate([self.owner[c] for c in cuts]), weight, minlength=len(self.ids))
 
     def nearest(self, of: np.ndarray, w: np.ndarray, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The K examples of the largest cosine over 0, ties to the earlier; ``but`` is left out."""
         if not len(of):
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = w @ self.block_max[of]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        found, cosine = np.zeros(0, np.int64), np.zeros(0)
-        done, step = 0, 4
-        while done < len(order):
-            if len(found) == K and bound[order[done]] < cosine[-1] - 1e-12:
-                break  # no block that is left can hold a nearer one
-            blocks = order[done : done + step]
-            if len(found) == K:
-                blocks = blocks[bound[blocks] >= cosine[-1] - 1e-12]
-            done, step = done + step, 2 * step
-            wanted = np.zeros(self.block_max.shape[1], bool)
-            wanted[blocks] = True
-            score = np.zeros(len(self.ids))
-            for f, x in zip(of.tolist(), w.tolist(), strict=True):
-                example, weight = self.postings[f]
-                keep = wanted[example // BLOCK]
-                score[example[keep]] += x * weight[keep]
-            if but >= 0:
-                score[but] = 0
-            own = np.flatnonzero(score)
-            found, cosine = np.concatenate([found, own]), np.concatenate([cosine, np.minimum(score[own], 1.0)])
-            best = np.lexsort((found, -cosine))[:K]
-            found, cosine = found[best], cosine[best]
-        return found, cosine
+        long = self.long[of]
+        common = long >= 0
+        score = self.sums(of[~common], w[~common])
+        if but >= 0:
+            score[but] = -np.inf
+        found = np.arange(len(score))
+        if common.any():
+            long, x = long[common], w[common]
+            # what the common features add is over 0, so the K-th sum so far is one that the nearest reach
+            least = np.partition(score, -K)[-K] if len(score) >= K else 0.0
+            bound = x @ self.block_max[long]
+            found = np.flatnonzero(score + bound[found // BLOCK] >= least - 1e-6)
+            common_of = of[common]
+            if len(found) * len(self.row_long) < len(self.ids) * (self.start[common_of + 1] - self.start[common_of]).sum():
+                query = np.zeros(len(self.block_max))
+                query[long] = x
+                at, n = spans(self.row_start, found)
+                more = np.bincount(np.repeat(np.arange(len(found)), n), query[self.row_long[at]] * self.row_weight[at], minlength=len(found))
+            else:
+                more = self.sums(common_of, x)[found]
+            cosine = score[found] + more
+        else:
+            cosine = score
+        found, cosine = found[cosine > 0], np.minimum(cosine[cosine > 0], 1.0)
+        if len(found) > K:
+            near = cosine >= np.partition(cosine, -K)[-K]
+            found, cosine = found[near], cosine[near]
+        best = np.lexsort((found, -cosine))[:K]
+        return found[best], cosine[best]
 
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
         return float(((cosine * self.toxic[found]).sum() + SHRINK * self.base) / (cosine.sum() + SHRINK))
@@ -162,7 +198,7 @@ class Model:
             self.votes = np.array([x for p in pools for x in p[:2]])
             self.rates = np.array([r for p in pools for r in [(p[2] + self.base) / (p[3] + 1)] * 2])
 
-    def score(self, counts: Counter) -> tuple[float, np.ndarray, np.ndarray]:
+    def score(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[float, np.ndarray, np.ndarray]:
         found, cosine = self.nearest(*self.vector(counts))
         if not len(found):
             return self.none_rate, found, cosine
@@ -196,41 +232,48 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     n = {r["toxic"]: float(r["count"]) for r in examples.groupBy("toxic").count().collect()}
     pos_all, all_ = n.get(1, 0.0), sum(n.values())
-    table = examples.mapInPandas(by_feature, "feature string, n long, pos long").groupBy("feature").agg(F.sum("n").cast("double").alias("n"), F.sum("pos").cast("double").alias("pos"))
-    a, b = F.col("pos"), F.col("n") - F.col("pos")
-    c, d = pos_all - a, (all_ - pos_all) - b
-    below = (a + b) * (c + d) * (a + c) * (b + d)
-    chi2 = F.when(below > 0, all_ * (a * d - b * c) * (a * d - b * c) / below)
-    table = table.where(F.col("n") >= LEAST_DOCS).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
-    vocabulary = [r["feature"] for r in table.orderBy(F.desc("chi2"), "feature").limit(FEATURES).collect()]
+    table = examples.mapInPandas(by_feature, "feature string, n long, pos long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).toArrow()
+    vocabulary, n_of, a = table["feature"].to_pylist(), table["n"].to_numpy().astype(float), table["pos"].to_numpy().astype(float)
+    del table
     if not vocabulary:
         return Model([], np.zeros(0), base=base, none_rate=base)
+    order = sorted(range(len(vocabulary)), key=vocabulary.__getitem__)
+    vocabulary, n_of, a = [vocabulary[i] for i in order], n_of[order], a[order]
+    b = n_of - a
+    c, d = pos_all - a, (all_ - pos_all) - b
+    below = (a + b) * (c + d) * (a + c) * (b + d)
+    chi2 = np.divide(all_ * (a * d - b * c) ** 2, below, out=np.zeros(len(below)), where=below > 0)
+    names = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        extractor, rows, df = Extractor(vocabulary), 0, Counter()
+        extractor, rows, df = Extractor(names.value), 0, np.zeros(len(names.value), np.int64)
         for pdf in batches:
             for text in pdf["text"]:
-                df.update(extractor.counts(text).keys())
+                df[extractor.counts(text)[0]] += 1
             rows += len(pdf)
-        yield pd.DataFrame([(-1, rows), *df.items()], columns=["feature", "n"])
+        met = np.flatnonzero(df)
+        yield pd.DataFrame({"feature": [-1], "n": [rows]})
+        yield from sliced(pd.DataFrame({"feature": met, "n": df[met]}))
 
-    df = {r["feature"]: r["n"] for r in texts.select("text").mapInPandas(frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()}
-    idf = np.array([np.log((1 + df[-1]) / (1 + df.get(i, 0))) for i in range(len(vocabulary))])
+    table = texts.select("text").mapInPandas(frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(vocabulary) + 1)
+    df[table["feature"].to_numpy()] = table["n"].to_numpy()  # the last one: all rows
+    idf = np.log((1 + df[-1]) / (1 + df[:-1]))
 
     def example_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        extractor = Extractor(vocabulary)
+        extractor = Extractor(names.value)
         for pdf in batches:
             counts = [extractor.counts(t) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "feature": [list(x) for x in counts], "n": [list(x.values()) for x in counts]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "feature": [f for f, _ in counts], "n": [n.astype(np.int32) for _, n in counts]})
 
-    rows = examples.mapInPandas(example_counts, "doc_id long, toxic int, feature array<int>, n array<long>").collect()
-    model = Model(vocabulary, idf, base=base)
-    pairs = [(r, model.vector(Counter(dict(zip(r["feature"], r["n"], strict=True))))) for r in rows]
+    rows = examples.mapInPandas(example_counts, "doc_id long, toxic int, feature array<int>, n array<int>").toArrow()
+    model = Model(vocabulary, idf * (1 + chi2), base=base)
+    vectors = [model.vector((f.values.to_numpy(), n.values.to_numpy())) for f, n in zip(rows["feature"], rows["n"], strict=True)]
+    ids, toxic = rows["doc_id"].to_numpy(), rows["toxic"].to_numpy()
     # examples of like leading feature stand together, so that blocks are tight
-    pairs.sort(key=lambda x: (int(x[1][0][np.argmax(x[1][1])]) if len(x[1][0]) else -1, x[0]["doc_id"]))
-    vectors = [v for _, v in pairs]
-    model.ids = np.array([r["doc_id"] for r, _ in pairs])
-    model.toxic = np.array([float(r["toxic"]) for r, _ in pairs])
+    order = sorted(range(len(vectors)), key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]) if len(vectors[i][0]) else -1, ids[i]))
+    vectors = [vectors[i] for i in order]
+    model.ids, model.toxic = ids[order], toxic[order].astype(float)
     model.index(vectors)
     share = np.where(model.toxic == 1, sizes[1] / pos_all, sizes[0] / (all_ - pos_all))
     model.calibrate(vectors, share / share.mean())
