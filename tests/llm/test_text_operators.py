@@ -97,6 +97,16 @@ def test_pages(spark):
     assert html_text.extract(deep) == "Deep down here is a text, quite long, with commas."
 
 
+@pytest.mark.parametrize("wrapper", ["<div class='layout has-sidebar'>", "<div class='page no-header'>", "<div id='related-wrap'>"])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<div>{}</div>"])
+@pytest.mark.parametrize("title", ["<div class='entry-header'><h1>Title</h1></div>", ""])
+def test_a_wrapper_by_an_unwanted_name_keeps_the_article(wrapper, inner, title):
+    text = "The main text, long enough to count, goes on for a while, with commas, and it says what the page is about."
+    page = f"<body>{wrapper}{inner.format(title + f'<p>{text}<p>{text}')}<div class=sidebar><p>Side text, which is long enough to count, too.</div></div></body>"
+    found = html_text.extract(page).split("\n")
+    assert found[-2:] == [text, text] and found[:-2] in ([], ["Title"]) and (found[:-2] or not title)
+
+
 # ---- toxicity
 
 

@@ -1,7 +1,8 @@
 """Main text of web pages by tree scoring.
 
 A page is read into a tree with HTML's own rules for omitted end tags. Elements that hold no article (scripts, menus,
-forms, adverts, notices, comments, by tag, role, or a word of class or id) are cut. Each paragraph gives points for its
+forms, adverts, notices, comments, by tag, role, or a word of class or id) are cut; a class or id cuts nothing that holds an
+article, main or h1 element or, on pages without these, most of the paragraphs' points: it halves the points then. Each paragraph gives points for its
 length and commas to its parent, half of them to the next ancestor and a third part less to each further one; an element's
 points are discounted by its link density. The element of most points, or the article element around it, is the container;
 siblings with a fair share of its points, and sentences among them, are kept with it.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -140,17 +142,38 @@ def unwanted(node: Node) -> bool:
         return True
     if node.tag == "header":
         return not in_article(node)
-    return node.tag not in KEEP_TAGS and any(w in CUT_WORDS for w in node.words) or (node.tag == "article" and any(w in ("comment", "comments", "reply") for w in node.words))
+    return node.tag == "article" and any(w in ("comment", "comments", "reply") for w in node.words)
 
 
-def cut(root: Node) -> None:
+def named_unwanted(node: Node) -> bool:
+    return node.tag not in KEEP_TAGS and any(w in CUT_WORDS for w in node.words)
+
+
+def without(root: Node, refused: Callable[[Node], bool]) -> None:
     todo = [root]
     while todo:
         node = todo.pop()
-        node.children = [c for c in node.children if isinstance(c, str) or not unwanted(c)]
+        node.children = [c for c in node.children if isinstance(c, str) or not refused(c)]
         todo.extend(c for c in node.children if not isinstance(c, str))
 
 
+def cut(root: Node) -> None:
+    """Tags, roles and hidden elements go first; then, by name, what holds neither an article nor most of the page."""
+    without(root, unwanted)
+    nodes = in_order(root)
+    if not any(named_unwanted(node) for node in nodes):
+        return
+    measure(nodes)
+    points: dict[Node, float] = {}
+    heads: dict[Node, int] = {}
+    for node in reversed(nodes):
+        inner = [c for c in node.children if not isinstance(c, str)]
+        own = 1 + min(node.length / 100, 3.0) if is_paragraph(node) else 0.0
+        points[node] = max(own, sum(points[c] for c in inner))
+        heads[node] = sum(heads[c] + (c.tag in ("article", "main", "h1")) for c in inner)
+    without(root, lambda node: named_unwanted(node) and not heads[node] and (heads[root] > 0 or 2 * points[node] <= points[root]))
+
+
 def in_order(root: Node) -> list[Node]:
     """All elements, each before what it holds."""
     out, todo = [], [root]
@@ -190,6 +213,13 @@ def blocks(top: list[Node]) -> list[str]:
     return out
 
 
+def is_paragraph(node: Node) -> bool:
+    """It has text of its own, and enough of it (after ``measure``)."""
+    holds_blocks = any(not isinstance(c, str) and c.tag in BLOCK for c in node.children)
+    own = node.tag in PARAGRAPHS or (node.tag in ("div", "section", "article", "main") and not holds_blocks)
+    return own and node.parent is not None and node.length >= LEAST_LENGTH
+
+
 def measure(nodes: list[Node]) -> None:
     """Length of text and of linked text in each element."""
     for node in reversed(nodes):
@@ -203,9 +233,7 @@ def main_nodes(root: Node) -> list[Node]:
     nodes = in_order(root)
     measure(nodes)
     for node in nodes:
-        holds_blocks = any(not isinstance(c, str) and c.tag in BLOCK for c in node.children)
-        paragraph = node.tag in PARAGRAPHS or (node.tag in ("div", "section", "article", "main") and not holds_blocks)
-        if not paragraph or node.parent is None or node.length < LEAST_LENGTH:
+        if not is_paragraph(node):
             continue
         text = " ".join(blocks([node]))
         points = 1 + text.count(",") + min(len(text) / 100, 3.0)
@@ -217,7 +245,7 @@ def main_nodes(root: Node) -> list[Node]:
     for node in nodes:
         if node.points > 0:
             node.points += TAG_POINTS.get(node.tag, 0) + (5 if any(w in GOOD_WORDS for w in node.words) else 0)
-            node.points *= 1 - node.links / max(1, node.length)
+            node.points *= (1 - node.links / max(1, node.length)) * (0.5 if named_unwanted(node) else 1)
             if node.points > most:
                 best, most = node, node.points
     if best is None:
