@@ -86,6 +86,13 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, deal):
     assert out == brute_groups(rows)
 
 
+def test_long_near_duplicates_of_few_equal_marks(spark):
+    seed = 158  # of a pair at similarity 0.75 exactly whose marks agree in 0.644 of their places
+    a = [f"a{seed}x{i}" for i in range(2804)]
+    rows = [(1, " ".join(a)), (2, " ".join(a[:2404] + [f"b{seed}x{i}" for i in range(400)]))]
+    assert {r["component_id"] for r in near_dups.groups(documents(spark, rows)).collect()} == {1}
+
+
 def test_near_duplicates_of_odd_tables(spark):
     assert near_dups.groups(documents(spark, [(1, "x")]).limit(0)).count() == 0
     twice = {(r["doc_id"], r["n_shingles"]) for r in near_dups.groups(documents(spark, [(1, "b c"), (1, "a b c d e f"), (2, "b c")])).collect()}

@@ -45,9 +45,9 @@ BANDS, BAND_ROWS = 32, 5
 REGISTERS = BANDS * BAND_ROWS
 LINK, OF = 75, 100
 CHUNK_PAIRS = 256
-#: Share of equal register marks below which a pair isn't compared: at similarity 0.75 it is 3.5 deviations (of 0.028) away,
-#: which a pair falls short of about as seldom as it shares no bucket.
-PLAUSIBLE = 0.65
+#: Share of equal register marks below which a pair isn't compared. At similarity 0.75 a pair falls short of it with
+#: probability 9.1e-06 at most: that of independent registers, which long texts come near; shorter ones do so less.
+PLAUSIBLE = 0.60
 #: Hubs of a bucket in a round after the first; the round from which, and the members outside a bucket's commonest component
 #: beyond which, it is dealt anew.
 HUBS, DEAL_FROM, DEAL_BEYOND = 32, 3, 128
