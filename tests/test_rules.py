@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import numbers, text
 from tidemark.operators import elo, tables
 from tidemark.operators import windows as W
-from tidemark.plans import cleaning, features, manifest
+from tidemark.plans import cleaning, features, manifest, queries
 from tidemark.plans.runs import ORDER, runs
 from tidemark.sources import html_rows, sinks
 
@@ -169,3 +169,9 @@ def test_stream_appends_once(spark, sf, tmp_path):
     stream = read_stream(spark, f"file://{tmp_path}/in", source.schema)
     append_once(stream, "event_id", "ts", "60 days", f"file://{tmp_path}/out", f"file://{tmp_path}/ck").awaitTermination()
     assert spark.read.parquet(f"file://{tmp_path}/out").count() == source.count()
+
+
+def test_manifest_of_the_whole_build(spark, sf):
+    rows = {r["column"]: (r["predictor"], r["categorical"]) for r in queries.QUERIES["manifest_predictors"](spark, sf).collect()}
+    assert rows["form_last5_latest_first"] == (True, True)
+    assert any(c.startswith("last10_") for c in rows) and any("elo" in c for c in rows)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Columns that are known only after a race, and identifiers, which are never predictors.
 OUTCOMES = ("finishing_position", "is_winner", "is_top_three", "margin", "finish_time", "horse_rating_after", "prize_money_won_this_race", "career_prize_money_after")
 IDENTIFIERS = ("result_id", "race_id", "race_url", "horse_profile_url", "horse_profile_scraped_at", "ml_group_id", "ml_split", "ml_row_weight", "ml_target_is_winner")
-CATEGORICAL = ("racecourse_code", "surface", "course", "going", "race_class", "rating_band", "jockey", "trainer", "horse_sex", "horse_colour", "sire", "dam", "dam_sire", "country_of_origin", "distance_bucket", "going_bucket")
+CATEGORICAL = ("racecourse_code", "racecourse_name", "surface", "course", "going", "race_class", "rating_band", "jockey", "trainer", "horse_sex", "horse_colour", "sire", "dam", "dam_sire", "country_of_origin", "hemisphere_of_origin", "hemisphere_of_origin_derived", "distance_bucket", "going_bucket", "form_last5_latest_first")
 LAGGED = re.compile(r"last\d+_(race_class|track|surface|course|going|jockey|trainer)")
 
 

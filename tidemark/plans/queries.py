@@ -508,7 +508,7 @@ def _(spark, d):
 def _(spark, d):
     from tidemark.plans.manifest import predictor_rows
 
-    return predictor_rows(spark, X.build_features(runs(spark, d), lags=5, with_elo=False).columns)
+    return predictor_rows(spark, X.build_features(runs(spark, d)).columns)
 
 
 @query("feature_build")
