@@ -61,10 +61,11 @@ def brute_groups(rows):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
 
 
-@pytest.mark.parametrize("deal", [128, 2])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, deal):
+@pytest.mark.parametrize("deal, members, items", [(2048, 512, 200_000), (2048, 4, 200_000), (2048, 512, 600), (2, 3, 200_000)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, deal, members, items):
     monkeypatch.setattr(near_dups, "DEAL_BEYOND", deal)
-    monkeypatch.setattr(near_dups, "DEAL_FROM", 3 if deal > 2 else 1)
+    monkeypatch.setattr(near_dups, "CHUNK_MEMBERS", members)
+    monkeypatch.setattr(near_dups, "CHUNK_ITEMS", items)
     monkeypatch.setattr(near_dups, "CHUNK_PAIRS", 4)
     rng = np.random.default_rng(2)
     vocabulary = [f"t{i}" for i in range(200)]
@@ -86,17 +87,39 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, deal):
     assert out == brute_groups(rows)
 
 
-def test_long_near_duplicates_of_few_equal_marks(spark):
-    seed = 158  # of a pair at similarity 0.75 exactly whose marks agree in 0.644 of their places
-    a = [f"a{seed}x{i}" for i in range(2804)]
-    rows = [(1, " ".join(a)), (2, " ".join(a[:2404] + [f"b{seed}x{i}" for i in range(400)]))]
+def test_long_near_duplicates(spark):
+    a = [f"a{i}" for i in range(2804)]
+    rows = [(1, " ".join(a)), (2, " ".join(a[:2404] + [f"b{i}" for i in range(400)]))]  # similarity 0.75 exactly
     assert {r["component_id"] for r in near_dups.groups(documents(spark, rows)).collect()} == {1}
 
 
+@pytest.mark.parametrize("deal", [2048, 0])
+def test_recall_of_links_just_over_the_threshold(spark, monkeypatch, deal):
+    """Families of pairs around a common passage: each pair at 0.75 to 0.80, other members of a family at about 0.5."""
+    monkeypatch.setattr(near_dups, "DEAL_BEYOND", deal)
+    rng = np.random.default_rng(5)
+    rows, wanted = [], {}
+    for family in range(70):
+        passage = [f"p{family}x{i}" for i in range(104)]
+        for pair in range(10):
+            i = len(rows) + 1
+            own = [f"q{i}x{k}" for k in range(48)]
+            tail = int(rng.integers(19, 24))  # (152 - 4 - tail) / (148 + tail): 0.73 to 0.77
+            rows += [(i, " ".join(passage + own)), (i + 1, " ".join((passage + own)[: 152 - tail] + [f"r{i}x{k}" for k in range(tail)]))]
+            a, b = (shingle_set(t) for _, t in rows[-2:])
+            if 100 * len(a & b) >= 75 * len(a | b):
+                wanted[i + 1] = i
+    found = {r["doc_id"]: r["component_id"] for r in near_dups.groups(documents(spark, rows)).collect()}
+    assert len(wanted) > 300 and sum(found[b] == found[a] for b, a in wanted.items()) >= 0.99 * len(wanted)
+    assert {a: c for a, c in found.items() if c != a}.items() <= wanted.items()
+
+
 def test_near_duplicates_of_odd_tables(spark):
     assert near_dups.groups(documents(spark, [(1, "x")]).limit(0)).count() == 0
     twice = {(r["doc_id"], r["n_shingles"]) for r in near_dups.groups(documents(spark, [(1, "b c"), (1, "a b c d e f"), (2, "b c")])).collect()}
     assert twice == {(1, 2), (2, 1)}
+    docs = spark.createDataFrame([(1, "a b", 5, 1.0, "k"), (2, "a b", 6, 2.0, "l")], "doc_id long, text string, n_shingles int, label double, hub string")
+    assert sorted(tuple(r) for r in near_dups.groups(docs).select("doc_id", "component_id").collect()) == [(1, 1), (2, 1)]
 
 
 # ---- repeated strings

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -46,11 +48,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     if _RECORDS:
         _RECORDS[-1].append(path)
+    _forget_at_exit(df.sparkSession, path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out
 
 
+def _forget_at_exit(spark: SparkSession, path: str) -> None:
+    """What isn't deleted before goes when the application's JVM ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def discard(spark: SparkSession, paths: list[str]) -> None:
     """Delete tables that ``stored`` wrote; nothing that is still to run may read them."""
     hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
@@ -91,6 +100,18 @@ def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]
         spark._jvm.System.gc()
 
 
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """A stored table of numbers, sent to every task if it has so few rows, and left to a shuffle if it has more."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def trim() -> None:
+    """Give memory that a task has freed back to the system: Python workers live on for other tasks."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def sliced(pdf: pd.DataFrame, rows: int = 50_000) -> Iterator[pd.DataFrame]:
     """A long frame in short ones: Arrow cuts a long column of texts into chunks, which Spark doesn't take."""
     for at in range(0, len(pdf), rows):

@@ -7,29 +7,28 @@ shingles as 64-bit hashes (fewer words: the whole sequence as one). Two document
 1. One pass over the texts makes, for each document, its set's size, a 128-bit digest of the set and a SuperMinHash
    signature's band keys. Documents of equal sets are one class; from here on only each class's smallest doc_id counts,
    so a group of exact copies is one row, whatever its size.
-2. Rounds over the buckets (band, key). In the first, every bucket takes its smallest member as hub and every other member
-   is tried against it, never all pairs. Confirmed links are merged by a min-label union-find over DataFrames, so a group
-   of near copies is mostly one component after a round. In the later rounds HUBS hubs at most are drawn from the members
-   outside a bucket's commonest component, and members of other components are tried against them. A member meets its
-   bucket's hubs in one row, where register marks tell which pairs are worth a comparison: fewer than PLAUSIBLE equal
-   ones mean a similarity below 0.75. A hub has then met all of its bucket and leaves it. The rounds end when each
-   bucket is in one component or used up, so no link that shares a bucket is lost. A bucket that keeps many members that
-   aren't alike (texts around one common passage) is dealt into smaller ones by a further, independent signature, which a
-   pair that is similar enough shares as surely as the first.
-3. A pair is verified where its hub's members are: hubs' sets are copied to every chunk of CHUNK_PAIRS members, so no
-   task holds more than that of a hot hub.
-
-With BANDS bands of BAND_ROWS registers, a pair of similarity 0.75 shares no bucket with probability
-(1 - 0.75 ** BAND_ROWS) ** BANDS = 1.7e-4, and pairs above it far less.
+2. Every bucket (band, key) takes its smallest member as hub, and each member is compared with the distinct hubs of its
+   buckets, never with all members. A min-label union-find over DataFrames merges the links, so a group of near copies
+   is mostly one component after this turn. A hub has met all of its bucket and leaves it.
+3. What is left in a bucket is the members of its commonest component and those outside it. Both are dealt into chunks of
+   at most about CHUNK_MEMBERS members and CHUNK_ITEMS shingles, and every chunk of outsiders meets every other chunk in a
+   block: an index of one chunk's shingles counts what each member of the other shares with all of them at once. A block
+   emits a link only where it joins two components, fewer than it has members; pairs that aren't links never become rows.
+4. A bucket with more than DEAL_BEYOND outsiders (texts around one common passage, say) is first dealt into smaller ones
+   by a further, independent signature, which a pair that is similar enough shares as surely as the first, and step 2
+   follows for these. So a member goes to a bounded number of blocks and the rows stay in proportion to the buckets.
+
+Every comparison is exact: counts of the full sets, 48 bits a shingle. With BANDS bands of BAND_ROWS registers, a pair of
+similarity 0.75 shares no bucket with probability (1 - 0.75 ** BAND_ROWS) ** BANDS = 1.7e-4, and pairs above it far less;
+that much again for each level at which all the buckets that a pair shares were dealt anew.
 
 Null or empty text, or no words: an empty set, linked with nothing. Rows without doc_id are left out; a repeated doc_id
-counts as one document whose set is that of its smallest text. An empty table gives no rows. Other columns are ignored.
+counts as one document whose set is that of its smallest text, and gives one row. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,21 +37,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, stored, temporary
+from tidemark.llm.common import broadcast_if_small, id_text, stored, temporary, trim
 
 SHINGLE = 5
 BANDS, BAND_ROWS = 32, 5
 REGISTERS = BANDS * BAND_ROWS
 LINK, OF = 75, 100
+#: Members that are compared with a hub in one task.
 CHUNK_PAIRS = 256
-#: Share of equal register marks below which a pair isn't compared. At similarity 0.75 a pair falls short of it with
-#: probability 9.1e-06 at most: that of independent registers, which long texts come near; shorter ones do so less.
-PLAUSIBLE = 0.60
-#: Hubs of a bucket in a round after the first; the round from which, and the members outside a bucket's commonest component
-#: beyond which, it is dealt anew.
-HUBS, DEAL_FROM, DEAL_BEYOND = 32, 3, 128
-#: Shingles whose signatures are made together: it bounds the permutation table of the later rounds.
-SIGN_AT_ONCE = 400_000
+#: Members and shingles of a chunk; each side of a block is a chunk.
+CHUNK_MEMBERS, CHUNK_ITEMS = 512, 200_000
+#: Members outside a bucket's commonest component beyond which the bucket is dealt into smaller ones.
+DEAL_BEYOND = 2048
+#: Shingles whose signatures are made together: it bounds the permutation table, 320 bytes each.
+SIGN_AT_ONCE = 50_000
+#: Words whose hashes a task remembers.
+REMEMBERED = 100_000
+#: doc_ids (16 bytes each) up to which candidates are sent to every task that reads texts; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 U = np.uint64
 GOLDEN = U(0x9E3779B97F4A7C15)
@@ -69,7 +71,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Shingles:
     """Distinct shingle hashes of texts, sorted. Word hashes are kept in a dictionary that is emptied at a limit."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = REMEMBERED):
         self.limit, self.hash = limit, {}
 
     def words(self, text: str) -> np.ndarray:
@@ -144,7 +146,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest (null for an empty set), bands, marks (a byte of each register)."""
+    """doc_id, n_shingles, digest and bands (null for an empty set)."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles()
@@ -157,19 +159,18 @@ def sketches(docs: DataFrame) -> DataFrame:
                 while at + len(sets) < len(texts) and (not sets or n < SIGN_AT_ONCE):
                     sets.append(shingles.of(texts[at + len(sets)]))
                     n += len(sets[-1])
-                signature = superminhash(sets)
-                keys = band_keys(signature)
-                marks = mix(signature.view(np.uint64)).astype(np.uint8)
+                keys = band_keys(superminhash(sets))
                 yield pd.DataFrame({
                     "doc_id": ids[at : at + len(sets)],
                     "n_shingles": [len(x) for x in sets],
                     "digest": [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets],
                     "bands": [k.tolist() if len(x) else None for k, x in zip(keys, sets, strict=True)],
-                    "marks": [m.tobytes() for m in marks],
                 })
                 at += len(sets)
+        shingles.hash.clear()
+        trim()
 
-    return docs.mapInPandas(rows, "doc_id long, n_shingles long, digest binary, bands array<long>, marks binary")
+    return docs.mapInPandas(rows, "doc_id long, n_shingles long, digest binary, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -195,9 +196,10 @@ def unpack48(b: bytes) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (hub, doc_id) whose full sets are similar enough."""
-    crowd = pairs.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK_PAIRS).alias("chunks")).where("chunks > 1")
-    pairs = pairs.join(crowd, "hub", "left").select("hub", "doc_id", F.coalesce(F.pmod(F.xxhash64("doc_id"), "chunks"), F.lit(0)).alias("chunk"))
+    """Pairs (hub, doc_id) whose full sets are similar enough. A hub's set is copied to every chunk of its members."""
+    pairs = stored(pairs, "pairs")
+    crowd = stored(pairs.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK_PAIRS).alias("chunks")).where("chunks > 1"), "crowded_hubs")
+    pairs = pairs.join(broadcast_if_small(crowd, BROADCAST_IDS), "hub", "left").select("hub", "doc_id", F.coalesce(F.pmod(F.xxhash64("doc_id"), "chunks"), F.lit(0)).alias("chunk"))
     pairs = stored(pairs, "chunked_pairs")
     chunks = pairs.select(F.col("hub").alias("hub_of"), F.col("chunk").alias("chunk_of")).distinct()
     hub_sets = chunks.join(sets.select(F.col("doc_id").alias("hub_of"), F.col("items").alias("hub_items")), "hub_of")
@@ -217,6 +219,49 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return grouped.applyInPandas(lambda own, hubs: compare(hubs, own), "hub long, doc_id long")
 
 
+def block_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b: labels) of a block: members (doc_id, label, chunk, items) of one chunk among themselves, or of two with
+    each other. Only those that join two components so far apart."""
+    low, high = pdf[pdf["chunk"] == pdf["lower"]], pdf[pdf["chunk"] == pdf["upper"]]
+    label = {x: x for x in pdf["label"].tolist()}
+
+    def find(x: int) -> int:
+        while label[x] != x:
+            label[x] = x = label[label[x]]
+        return x
+
+    sets = [unpack48(x) for x in high["items"]]
+    size = np.array([len(x) for x in sets], np.int64)
+    items = np.concatenate(sets or [np.zeros(0, np.uint64)])
+    order = np.argsort(items, kind="stable")
+    items, owner = items[order], np.repeat(np.arange(len(sets)), size)[order]
+    labels, found = high["label"].tolist(), []
+    for own_label, raw in zip(low["label"].tolist(), low["items"], strict=True):
+        own = unpack48(raw)
+        start, stop = np.searchsorted(items, own, "left"), np.searchsorted(items, own, "right")
+        n = stop - start
+        at = np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
+        both = np.bincount(owner[at], minlength=len(sets))
+        for i in np.flatnonzero(OF * both >= LINK * (len(own) + size - both)).tolist():
+            x, y = find(own_label), find(labels[i])
+            if x != y:
+                label[max(x, y)] = min(x, y)
+                found.append((own_label, labels[i]))
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+
+def blocks(open_buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b: labels) between the components of buckets: each member with the chunks that it has to meet."""
+    chunk = F.when(F.col("label") == F.col("common"), F.col("outer") + F.pmod(F.xxhash64("doc_id"), F.col("inner"))).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("outer")))
+    meets = F.when(F.col("label") == F.col("common"), F.col("outer")).otherwise(F.col("outer") + F.col("inner"))
+    alone = F.col("inner") == 0  # a bucket that is one chunk
+    rows = open_buckets.select("band", "key", "doc_id", "label", F.when(alone, F.lit(0)).otherwise(chunk).alias("chunk"), F.when(alone, F.lit(1)).otherwise(meets).alias("meets"))
+    rows = rows.select("band", "key", "doc_id", "label", "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("meets") - 1)).alias("other"))
+    rows = rows.select("band", "key", "doc_id", "label", "chunk", F.least("chunk", "other").alias("lower"), F.greatest("chunk", "other").alias("upper"))
+    rows = rows.join(sets.select("doc_id", "items"), "doc_id")
+    return rows.groupBy("band", "key", "lower", "upper").applyInPandas(lambda pdf: block_links(pdf), "a long, b long").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that links (a, b) reach, by min-label steps that also jump to the label's label."""
     edges = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
@@ -234,32 +279,27 @@ def components(edges: DataFrame) -> DataFrame:
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, class_id (smallest doc_id of the same set) of every document."""
     texts = id_text(docs).where(F.col("doc_id").isNotNull())
-    sketch = stored(sketches(texts), "sketches")
-    repeated = sketch.groupBy("doc_id").count().where("count > 1")
+    repeated = texts.groupBy("doc_id").count().where("count > 1")
     if not repeated.isEmpty():
         once = texts.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
         texts = texts.join(repeated, "doc_id", "left_anti").unionByName(once)
-        sketch = stored(sketches(texts), "sketches")
-    classes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
-    classes = stored(classes, "classes")
     with temporary(texts.sparkSession) as keep:
-        labels = keep(stored(_classes_linked(sketch, classes, texts), "component_labels"))
-    out = sketch.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"))
-    out = out.join(labels.select(F.col("node").alias("class_id"), "label"), "class_id", "left").select("doc_id", "n_shingles", "class_id", F.coalesce("label", "class_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+        sketch = stored(sketches(texts), "sketches")
+        classes = stored(sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes")
+        labels = _linked(sketch, classes, texts)
+        out = sketch.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
+        out = out.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"))
+        out = out.join(labels.select(F.col("node").alias("class_id"), "label"), "class_id", "left").select("doc_id", "n_shingles", "class_id", F.coalesce("label", "class_id").alias("component_id"))
+        return keep(stored(out.withColumn("kept", F.col("doc_id") == F.col("component_id")), "near_duplicate_groups"))
 
 
-def _classes_linked(sketch: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, label) of the linked among the classes' smallest documents."""
-    reps = sketch.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-    member = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    crowded = member.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("doc_id").alias("low")).where("size > 1")
-    member = stored(member.join(crowded.select("band", "key"), ["band", "key"]), "buckets")
-    return _linked(member, sketch.select("doc_id", "marks"), texts)
+def _buckets(rows: DataFrame) -> DataFrame:
+    """Rows (band, key, doc_id, n) of buckets with more than one member, and their hubs."""
+    crowded = rows.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("doc_id").alias("hub")).where("size > 1")
+    return stored(rows.join(crowded.select("band", "key", "hub"), ["band", "key"]), "buckets")
 
 
-def _dealt(member: DataFrame, sets: DataFrame, level: int) -> DataFrame:
+def _dealt(crowded: DataFrame, sets: DataFrame, level: int) -> DataFrame:
     """Members of crowded buckets in smaller ones: each by the band keys of another signature of its set."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -270,67 +310,42 @@ def _dealt(member: DataFrame, sets: DataFrame, level: int) -> DataFrame:
                 keys = band_keys(superminhash([mix(unpack48(x) ^ salt) for x in part["items"]]))
                 yield pd.DataFrame({"doc_id": part["doc_id"], "keys": keys.tolist()})
 
-    keys = sets.join(member.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "items").mapInPandas(rows, "doc_id long, keys array<long>")
-    dealt = member.join(keys, "doc_id").select("doc_id", "label", "band", "key", F.posexplode("keys").alias("b", "k"))
-    dealt = dealt.select("band", F.xxhash64("key", "b", "k").alias("key"), "doc_id", "label")
-    return stored(dealt.join(_open(dealt), ["band", "key"]), "dealt_buckets")
+    keys = sets.join(crowded.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "items").mapInPandas(rows, "doc_id long, keys array<long>")
+    dealt = crowded.join(keys, "doc_id").select("doc_id", "n", "band", "key", F.posexplode("keys").alias("b", "k"))
+    return dealt.select("band", F.xxhash64("key", "b", "k").alias("key"), "doc_id", "n")
 
 
 def _open(placed: DataFrame) -> DataFrame:
-    """band, key, common (label), outside (members of other labels) of the buckets that hold more than one label."""
-    by_label = placed.groupBy("band", "key", "label").agg(F.count("*").alias("n"))
-    return by_label.groupBy("band", "key").agg(F.max_by("label", F.struct("n", "label")).alias("common"), (F.sum("n") - F.max("n")).alias("outside")).where("outside > 0")
-
-
-def _plausible(rows: DataFrame) -> DataFrame:
-    """(hub, doc_id) of those members (doc_id, label, marks, hubs) and hubs whose marks agree often enough. A row holds HUBS
-    hubs at most; what isn't plausible never becomes a row."""
-
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = set()
-            for doc_id, label, marks, hubs in zip(pdf["doc_id"].tolist(), pdf["label"].tolist(), pdf["marks"], pdf["hubs"], strict=True):
-                hubs = [h for h in hubs if h["label"] != label]
-                if hubs:
-                    same = np.frombuffer(b"".join(h["marks"] for h in hubs), np.uint8).reshape(len(hubs), -1) == np.frombuffer(marks, np.uint8)
-                    found.update((h["doc_id"], doc_id) for h, near in zip(hubs, same.mean(1) >= PLAUSIBLE, strict=True) if near)
-            yield pd.DataFrame(sorted(found), columns=["hub", "doc_id"]).astype("int64")
-
-    return rows.mapInPandas(pairs, "hub long, doc_id long")
-
-
-def _linked(member: DataFrame, marks: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, label) of the linked among the members (band, key, doc_id) of buckets."""
-    spark = member.sparkSession
-    labels = spark.createDataFrame([], "node long, label long")
-    sets, level = None, 0
-    for turn in itertools.count():
-        placed = member.select("band", "key", "doc_id").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-        member = stored(placed.join(_open(placed), ["band", "key"]), "open_buckets")
-        if member.isEmpty():
-            return labels
-        if sets is None:
-            own = stored(member.select("doc_id").distinct(), "candidates")
-            sets = stored(shingle_sets(texts.join(own, "doc_id", "left_semi")), "sets")
-            marks = stored(marks.join(own, "doc_id", "left_semi"), "marks")
-        if turn >= DEAL_FROM:
-            crowded = member.where(F.col("outside") > DEAL_BEYOND)
-            if not crowded.isEmpty():
-                level += 1
-                dealt = _dealt(crowded.select("band", "key", "doc_id", "label"), sets, level)
-                member = stored(member.where(F.col("outside") <= DEAL_BEYOND).unionByName(dealt), "open_buckets")
-        slot = F.lit(0) if not turn else F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(HUBS))
-        drawn = member if not turn else member.where("label <> common")
-        hubs = drawn.withColumn("slot", slot).groupBy("band", "key", "slot").agg(F.min_by(F.struct("doc_id", "label"), "doc_id").alias("hub"))
-        hubs = stored(hubs.select("band", "key", F.col("hub.doc_id").alias("doc_id"), F.col("hub.label").alias("label")), "hubs")
-        known = hubs.join(marks, "doc_id").groupBy("band", "key").agg(F.collect_list(F.struct("doc_id", "label", "marks")).alias("hubs"))
-        met = member.select("band", "key", "doc_id", "label").join(known, ["band", "key"]).where(F.exists("hubs", lambda h: h["label"] != F.col("label")))
-        if not turn:  # one hub a bucket, and mostly the same one in all of a member's buckets
-            met = met.select("doc_id", "label", "hubs").distinct()
-        pairs = _plausible(met.select("doc_id", "label", "hubs").join(marks, "doc_id"))
-        pairs = pairs.select(F.least("hub", "doc_id").alias("x"), F.greatest("hub", "doc_id").alias("y"), "hub").groupBy("x", "y").agg(F.min("hub").alias("hub"))
-        pairs = pairs.select("hub", (F.col("x") + F.col("y") - F.col("hub")).alias("doc_id"))
-        links = stored(verified(pairs, sets), "links").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    """Of the buckets with more than one label: the commonest label, how many members are outside it, and the chunks of the
+    members outside it and in it (outer, inner; 1 and 0 if all are one chunk)."""
+    by_label = placed.groupBy("band", "key", "label").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
+    of = by_label.groupBy("band", "key").agg(F.max(F.struct("m", "label", "w")).alias("top"), F.sum("m").alias("m"), F.sum("w").alias("w"))
+    chunks = lambda m, w: F.ceil(F.greatest(m / CHUNK_MEMBERS, w / CHUNK_ITEMS))
+    alone = chunks(F.col("m"), F.col("w")) <= 1
+    outside = F.col("m") - F.col("top.m")
+    outer = F.when(alone, F.lit(1)).otherwise(chunks(outside, F.col("w") - F.col("top.w")))
+    inner = F.when(alone, F.lit(0)).otherwise(chunks(F.col("top.m"), F.col("top.w")))
+    return of.select("band", "key", F.col("top.label").alias("common"), outside.alias("outside"), outer.alias("outer"), inner.alias("inner")).where("outside > 0")
+
+
+def _linked(sketch: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, label) of the linked among the classes' smallest documents."""
+    reps = sketch.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    member = _buckets(reps.select("doc_id", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key")))
+    own = stored(member.select("doc_id").distinct(), "candidates")
+    sets = stored(shingle_sets(texts.join(broadcast_if_small(own, BROADCAST_IDS), "doc_id", "left_semi")), "sets")
+    labels, level = texts.sparkSession.createDataFrame([], "node long, label long"), 0
+    while True:
+        member = member.where("doc_id <> hub")
+        links = stored(verified(member.select("hub", "doc_id").distinct(), sets), "links").toDF("a", "b")
+        labels = components(links.unionByName(labels.where("node <> label").toDF("a", "b")))
+        placed = member.drop("hub").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+        rows = stored(placed.join(_open(placed), ["band", "key"]), "open_buckets")
+        links = stored(blocks(rows.where(F.col("outside") <= DEAL_BEYOND), sets), "block_links")
         if not links.isEmpty():
             labels = components(links.unionByName(labels.where("node <> label").toDF("a", "b")))
-        member = member.join(hubs.select("band", "key", "doc_id"), ["band", "key", "doc_id"], "left_anti")
+        crowded = rows.where(F.col("outside") > DEAL_BEYOND).select("band", "key", "doc_id", "n")
+        if crowded.isEmpty():
+            return labels
+        level += 1
+        member = _buckets(_dealt(crowded, sets, level))
