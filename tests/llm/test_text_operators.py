@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import textwrap
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -110,6 +112,13 @@ def test_a_wrapper_by_an_unwanted_name_keeps_the_article(wrapper, inner, title):
 # ---- toxicity
 
 
+def example_weights(model):
+    out = np.zeros((len(model.ids), len(model.vocabulary)))
+    for f, (a, b) in enumerate(zip(model.start[:-1], model.start[1:], strict=True)):
+        out[model.owner[a:b], f] = model.weight[a:b]
+    return out
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(3)
     words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(300)]
@@ -132,23 +141,32 @@ def test_toxicity(spark):
     assert len(held) > 50 and sum(r["predicted"] == (r["doc_id"] % 5 == 0) for r in held) / len(held) > 0.97
     by_id = {r["doc_id"]: r for r in out}
     assert by_id[None]["predicted"] == by_id[702]["predicted"] == 1 and by_id[700]["predicted"] == by_id[701]["predicted"] == 0
-    weights = np.zeros((len(model.ids), len(model.vocabulary)))
-    for f, (e, w) in enumerate(model.postings):
-        weights[e, f] = w
-    extractor = toxicity.Extractor(model.vocabulary)
-    for _, text in rows[:200]:
-        of, w = model.vector(extractor.counts(text))
-        q = np.zeros(len(model.vocabulary))
-        q[of] = w
-        cosine = np.minimum(weights @ q, 1)
-        _, found = model.nearest(of, w)
-        assert np.allclose(np.sort(found)[::-1], [c for c in np.sort(cosine)[::-1][: toxicity.K] if c > 0])
+    vectors, weights = [model.vector(c) for c in toxicity.feature_counts([text for _, text in rows[:200]], model.vocabulary)], example_weights(model)
+    for (of, w), (_, found) in zip(vectors, model.nearest(vectors), strict=True):
+        cosine = np.minimum(weights[:, of] @ w, 1)
+        assert np.allclose(found, [c for c in np.sort(cosine)[::-1][: toxicity.K] if c >= 5e-7], atol=2e-6)
+    clashing = docs.withColumns({"score": F.lit(5.0), "toxic": F.lit(1), "held_out": F.lit(True), "feature": F.lit("k")})
+    left = toxicity.clean(clashing, marks)
+    assert left.columns == clashing.columns and 0 < left.count() == sum(not r["predicted"] for r in toxicity.score(clashing, model).collect())
     assert toxicity.clean(docs, marks).columns == docs.columns
     nothing = toxicity.fit(docs, marks.limit(0))
     assert {r["score"] for r in toxicity.score(docs, nothing).collect()} == {0.0}
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_features_are_words_and_their_beginnings():
+    texts = ["Ab abc, ABCD_abcde5abc", "", "éèê 日本語日本語 x", "zz" * 40000, "'a' b"]
+    wanted = [Counter(f for w in re.findall(r"[^\W\d_]+", t.lower()) for f in ["=" + w, *("^" + w[:n] for n in (3, 4, 5, 6) if len(w) >= n)]) for t in texts]
+    names = sorted({f for c in wanted for f in c})
+    one = lambda f: toxicity.Words([f[1:]]).features()[1][0 if f[0] == "=" else len(f) - 3]
+    code = {f: one(f) for f in names}
+    assert len(set(code.values())) == len(names)
+    vocabulary = np.sort(np.array(list(code.values())))
+    for counts, expected in zip(toxicity.feature_counts(texts, vocabulary), wanted, strict=True):
+        assert dict(zip(vocabulary[counts[0]].tolist(), counts[1].tolist(), strict=True)) == {int(code[f]): n for f, n in expected.items()}
+    assert [len(f) for f, _ in toxicity.feature_counts(["a", ""], np.zeros(0, np.int64))] == [0, 0]
+
+
 def test_toxicity_knows_rare_slurs(spark):
     rng = np.random.default_rng(4)
     words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(300)]
@@ -157,8 +175,8 @@ def test_toxicity_knows_rare_slurs(spark):
     docs = documents(spark, rows)
     marks = spark.createDataFrame([(i, i % 2) for i in range(720)], "doc_id long, toxic int")
     model = toxicity.fit(docs, marks.where("doc_id < 480"))  # each slur is in ten examples
-    known = {f for _, t in rows[:480] for w in t.split() for f in toxicity.features(w)}
-    assert set(model.vocabulary) == known
+    known = set(toxicity.Words([t for _, t in rows[:480]]).features()[1].tolist())
+    assert set(model.vocabulary.tolist()) == known
     held = [r for r in toxicity.score(docs, model).collect() if r["doc_id"] >= 480]
     assert sum(r["predicted"] == r["doc_id"] % 2 for r in held) / len(held) > 0.97
     same = {i: rows[i][1].split()[-1] for i in range(1, 720, 2)}
@@ -166,34 +184,35 @@ def test_toxicity_knows_rare_slurs(spark):
 
 
 def test_toxicity_prunes_exactly(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "LONG", 20)
     monkeypatch.setattr(toxicity, "BLOCK", 4)
+    monkeypatch.setattr(toxicity, "TOGETHER", 7)
     rng = np.random.default_rng(6)
     words = ["".join(rng.choice(list("abcdefghij"), int(rng.integers(3, 8)))) for _ in range(400)]
     share = 1 / np.arange(1, 401)
     rows = [(i, " ".join(rng.choice(words, 30, p=share / share.sum())) + (" zwinkel" if i % 4 == 0 else "")) for i in range(300)]
     model = toxicity.fit(documents(spark, rows), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int"))
     assert 20 < len(model.block_max) < len(model.vocabulary)
-    weights = np.zeros((len(model.ids), len(model.vocabulary)))
-    for f, (e, w) in enumerate(model.postings):
-        weights[e, f] = w
-    extractor = toxicity.Extractor(model.vocabulary)
-    for i, (_, text) in enumerate(rows):
-        of, w = model.vector(extractor.counts(text))
+    weights = example_weights(model)
+    vectors = [model.vector(c) for c in toxicity.feature_counts([t for _, t in rows], model.vocabulary)]
+    but = np.arange(300) % 7
+    for i, (found, near) in enumerate(model.nearest(vectors, but)):
+        of, w = vectors[i]
         cosine = np.minimum(weights[:, of] @ w, 1)
         cosine[i % 7] = 0
-        found, near = model.nearest(of, w, but=i % 7)
-        assert i % 7 not in found and np.allclose(near, cosine[found]) and np.allclose(near, [c for c in np.sort(cosine)[::-1][: toxicity.K] if c > 0])
+        assert i % 7 not in found and np.allclose(near, cosine[found], atol=2e-6) and np.allclose(near, [c for c in np.sort(cosine)[::-1][: toxicity.K] if c >= 5e-7], atol=2e-6)
+    together = model.nearest(vectors[:40])
+    assert all((a[0] == b[0]).all() for v, a in zip(vectors, together, strict=False) for b in model.nearest([v]))
 
 
 # ---- BPE and token files
 
 
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_bpe_equals_the_library(spark, tokenizer, monkeypatch, limit):
-    monkeypatch.setattr(bpe, "BLOCK_CHARS", 50)
+@pytest.mark.parametrize("chars, packed", [(8_000_000, 400_000), (50, 3)])
+def test_bpe_equals_the_library(spark, tokenizer, monkeypatch, chars, packed):
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", chars)
+    monkeypatch.setattr(bpe, "PACKED_WORDS", packed)
     docs = documents(spark, TEXTS)
-    coded = bpe.encode(docs, BPE, broadcast_bytes=limit)
+    coded = bpe.encode(docs, BPE)
     found = sorted(((r["doc_id"] or 0), r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in bpe.digest(coded, BPE).collect())
     expected = []
     for i, t in TEXTS:
@@ -201,7 +220,7 @@ def test_bpe_equals_the_library(spark, tokenizer, monkeypatch, limit):
         expected.append((i or 0, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(tokenizer.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
     assert found == sorted(expected)
     assert sorted((r["doc_id"] or 0, r["text"]) for r in bpe.decode(coded, BPE).collect()) == sorted((i or 0, t or "") for i, t in TEXTS)
-    assert bpe.digest(bpe.encode(docs.limit(0), BPE, broadcast_bytes=limit), BPE).count() == 0
+    assert bpe.digest(bpe.encode(docs.limit(0), BPE), BPE).count() == 0
 
 
 def test_token_files(spark, tokenizer, monkeypatch):

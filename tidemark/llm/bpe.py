@@ -1,203 +1,164 @@
 """BPE encoding and decoding over a table of distinct words.
 
-Texts are split into blocks of words once; the distinct words of all blocks are encoded once each, as a table of their
-own (word, ids). The ids then come back to the words' positions in one of two ways:
+1. Every task splits its texts into words once and puts them into blocks of about ``BLOCK_CHARS`` characters. A block keeps
+   its distinct words, and its documents as positions in that list. Blocks are written to the shared folder.
+2. The words of all blocks are dealt by word and sorted, so equal words meet; each distinct word is encoded once, and its
+   ids go back to every (block, position) that holds it, packed by block.
+3. A block's ids are joined to it and put at the words' positions, which gives each document's ids.
 
-* the table is packed (sorted word hashes, words, ids) and given to all tasks if its measured size is at most
-  ``broadcast_bytes``: mapped from the shared folder where that is a mount, else broadcast;
-* beyond that, each block's word list is joined to the table by a shuffle on the word, and the block, which keeps its
-  positions as numbers into its own list, takes the ids from the joined rows.
+The rows of step 2 are one for each distinct word of a block: the commonest word has as many as there are blocks, far
+fewer than a task can hold, and a task keeps no table of words.
 
 Decoding joins ids to the vocabulary's pieces; that table is bounded by the vocabulary and held by every task.
 
 Null text: the empty text, no ids. A row without doc_id is kept, with a null doc_id; repeated rows give a row each; an
-empty table gives no rows; other columns of the input are ignored. A text of any length is one row: its ids need four
-bytes each in one task.
+empty table gives no rows; other columns of the input are ignored. A text of any length is one row: its words' positions
+and its ids need four bytes each in one task.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, scratch_path, sliced, stored
+from tidemark.llm.common import id_text, stored, trim
 from tidemark.llm.words_bpe import PieceTable, flatten, gather_array, piece_table, pieces_of
 
-#: Packed bytes of the word table up to which it is broadcast.
-BROADCAST_BYTES = 256_000_000
-#: Characters of a block on the shuffle path.
-BLOCK_CHARS = 16_000_000
-#: Entries of a task's own word dictionary; it is emptied beyond.
-LOCAL_WORDS = 300_000
+#: Characters of a block.
+BLOCK_CHARS = 8_000_000
+#: Words whose ids are packed together.
+PACKED_WORDS = 400_000
 
+BLOCK = "block long, n long, doc_ids binary, sizes binary, codes binary, words array<string>"
 ENCODED = "doc_id long, ids binary"
 
 
-def distinct_words(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """The distinct words of all texts, each task's first gathered in the task."""
+def squeezed(x: np.ndarray) -> bytes:
+    """Numbers under 2 ** 32, small ones mostly: compressed by planes of bytes."""
+    planes = np.ascontiguousarray(x.astype("<u4")).view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces, seen = pieces_of(tokenizer_path), set()
-        for pdf in batches:
-            for text in pdf["text"]:
-                seen.update(pieces.split(text))
-                if len(seen) > LOCAL_WORDS:
-                    yield from sliced(pd.DataFrame({"word": list(seen)}))
-                    seen = set()
-        yield from sliced(pd.DataFrame({"word": list(seen)}))
 
-    return docs.select("text").mapInPandas(words, "word string").distinct()
+def unsqueezed(b: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
-def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
-    """(word, ids): every distinct word by the tokenizer, once."""
+class Numbers(dict):
+    """New words get the next number."""
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = pieces_of(tokenizer_path)
-        for pdf in batches:
-            pdf["ids"] = [np.array(x, "<u4").tobytes() for x in pieces.encode(pdf["word"].tolist())]
-            yield pdf[["word", "ids"]]
-
-    return words.mapInPandas(encode, "word string, ids binary")
-
-
-class PackedWords:
-    """The word table as flat arrays, sorted by a 64-bit hash of the word; a found word is compared byte by byte."""
-
-    def __init__(self, chunks: list[dict[str, bytes]]):
-        """chunks: of each, the words' hashes (u64), lengths (u32) and bytes, and their ids' counts (u32) and ids (u16)."""
-        part = {k: np.concatenate([np.frombuffer(c.pop(k), t) for c in chunks] or [np.zeros(0, t)]) for k, t in (("hash", "<u8"), ("size", "<u4"), ("words", "u1"), ("n", "<u4"), ("ids", "<u4"))}
-        order = np.argsort(part["hash"], kind="stable")
-        self.hash = part["hash"][order]
-        self.words, self.ids = part["words"], part["ids"].astype("<u2" if part["ids"].max(initial=0) < 2**16 else "<u4")
-        narrow = lambda x: x.astype("<u2") if x.max(initial=0) < 2**16 else x
-        self.size, self.n = narrow(part["size"][order]), narrow(part["n"][order])
-        self.word_at = (np.cumsum(part["size"], dtype=np.uint32) - part["size"])[order]
-        self.id_at = (np.cumsum(part["n"], dtype=np.uint32) - part["n"])[order]
-
-    def save(self, folder: str) -> None:
-        os.makedirs(folder)
-        for name, array in vars(self).items():
-            np.save(f"{folder}/{name}.npy", array)
-
-    @classmethod
-    def mapped(cls, folder: str) -> PackedWords:
-        """The saved table, of which all workers of a machine share the pages."""
-        out = cls.__new__(cls)
-        for name in ("hash", "words", "ids", "size", "n", "word_at", "id_at"):
-            setattr(out, name, np.load(f"{folder}/{name}.npy", mmap_mode="r"))
-        return out
-
-    def get(self, words: list[str]) -> list[bytes]:
-        raw = [w.encode() for w in words]
-        at = np.searchsorted(self.hash, np.fromiter(map(xxhash.xxh3_64_intdigest, raw), np.uint64, len(raw)))
-        out = []
-        for word, i in zip(raw, at.tolist(), strict=True):
-            while self.words[(a := self.word_at[i]) : a + self.size[i]].tobytes() != word:  # the next of equal hash
-                i += 1
-            out.append(self.ids[(a := self.id_at[i]) : a + self.n[i]].astype("<u4").tobytes())
-        return out
-
-
-def encode(docs: DataFrame, tokenizer_path: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit) of every row of ``docs`` (doc_id, text)."""
-    docs = id_text(docs)
-    table = stored(encode_words(distinct_words(docs, tokenizer_path), tokenizer_path), "words")
-    size = table.agg(F.sum(F.octet_length("word") + F.octet_length("ids") + 32)).first()[0] or 0
-    if size <= broadcast_bytes:
-        return _by_broadcast(docs, table, tokenizer_path)
-    return _by_shuffle(docs, table, tokenizer_path)
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
 
 
-def _by_broadcast(docs: DataFrame, table: DataFrame, tokenizer_path: str) -> DataFrame:
-    def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            words, ids = [w.encode() for w in pdf["word"]], pdf["ids"].tolist()
-            of = lambda values, t: [np.fromiter(values, t, len(words)).tobytes()]
-            yield pd.DataFrame({
-                "hash": of(map(xxhash.xxh3_64_intdigest, words), "<u8"), "size": of(map(len, words), "<u4"), "words": [b"".join(words)],
-                "n": of((len(x) // 4 for x in ids), "<u4"), "ids": [b"".join(ids)],
-            })
-
-    packed_rows = table.mapInPandas(chunks, "hash binary, size binary, words binary, n binary, ids binary")
-    packed_chunks = [{k: bytes(v) for k, v in row.asDict().items()} for row in packed_rows.toLocalIterator()]
-    packed_words = PackedWords(packed_chunks)
-    del packed_chunks
-    folder = scratch_path(docs.sparkSession, "packed_words")
-    if folder.startswith("file:"):  # a shared mount: mapped, so a machine holds it once
-        folder = "/" + folder.removeprefix("file:").lstrip("/")
-        packed_words.save(folder)
-        held = None
-    else:
-        held = docs.sparkSession.sparkContext.broadcast(packed_words)
+class Block:
+    """Documents as positions in a list of their distinct words."""
+
+    def __init__(self) -> None:
+        self.ids: list[int | None] = []
+        self.codes: list[np.ndarray] = []
+        self.number = Numbers()
+
+    def add(self, doc_id: int | None, words: list[str]) -> None:
+        self.ids.append(doc_id)
+        self.codes.append(np.fromiter(map(self.number.__getitem__, words), np.uint32, len(words)))
+
+    def row(self, block: int) -> pd.DataFrame:
+        words = sorted(self.number)  # neighbours share beginnings: they compress well
+        place = np.empty(len(words), np.uint32)
+        place[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))] = np.arange(len(words), dtype=np.uint32)
+        ids = np.array([0 if i is None else i for i in self.ids], "<i8").tobytes() + np.array([i is None for i in self.ids], np.uint8).tobytes()
+        sizes = np.fromiter(map(len, self.codes), np.uint32, len(self.codes))
+        return pd.DataFrame([{"block": block, "n": len(self.ids), "doc_ids": ids, "sizes": squeezed(sizes), "codes": squeezed(place[np.concatenate(self.codes)]), "words": words}])
 
+
+def blocks(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces, packed, codes = pieces_of(tokenizer_path), held.value if held else PackedWords.mapped(folder), {}
-        get = codes.__getitem__
-        for pdf in batches:
-            out = []
-            for text in pdf["text"]:
-                words = pieces.split(text)
-                try:
-                    out.append(b"".join(map(get, words)))
-                except KeyError:
-                    if len(codes) > LOCAL_WORDS:
-                        codes.clear()
-                    new = list({w for w in words if w not in codes})
-                    codes.update(zip(new, packed.get(new), strict=True))
-                    out.append(b"".join(map(get, words)))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": out})
-
-    return docs.mapInPandas(rows, ENCODED)
-
-
-def _by_shuffle(docs: DataFrame, table: DataFrame, tokenizer_path: str) -> DataFrame:
-    def block(ids: list, words: list[list[str]]) -> dict:
-        number: dict[str, int] = {}
-        codes = [np.fromiter((number.setdefault(w, len(number)) for w in x), np.uint32, len(x)) for x in words]
-        docs_payload = np.array([-1 if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids], np.uint8).tobytes()
-        payload = docs_payload + np.fromiter(map(len, codes), "<i8", len(codes)).tobytes() + np.concatenate(codes).astype("<u4").tobytes()
-        packed = zlib.compress(payload, 1)
-        return {"block": hashlib.sha256(packed).hexdigest(), "n": len(ids), "payload": packed, "words": list(number)}
-
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = pieces_of(tokenizer_path)
-        ids, words, chars = [], [], 0
+        pieces, number = pieces_of(tokenizer_path), TaskContext.get().partitionId() << 32
+        block, chars = Block(), 0
         for pdf in batches:
             for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"], strict=True):
-                ids.append(None if doc_id is pd.NA else int(doc_id))
-                words.append(pieces.split(text))
+                block.add(None if doc_id is pd.NA else int(doc_id), pieces.split(text))
                 chars += len(text)
                 if chars >= BLOCK_CHARS:
-                    yield pd.DataFrame([block(ids, words)])
-                    ids, words, chars = [], [], 0
-        if ids:
-            yield pd.DataFrame([block(ids, words)])
+                    yield block.row(number)
+                    block, chars, number = Block(), 0, number + 1
+        if block.ids:
+            yield block.row(number)
+        del block
+        trim()
+
+    return docs.mapInPandas(rows, BLOCK)
 
-    cut = stored(docs.mapInPandas(blocks, "block string, n long, payload binary, words array<string>"), "word_blocks")
-    cut = cut.withColumn("copy", F.monotonically_increasing_id())  # stored, so the number holds; blocks may repeat
-    listed = cut.select("copy", F.posexplode("words").alias("pos", "word"))
-    joined = listed.join(table, "word").groupBy("copy").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("coded"))
-    placed = cut.select("copy", "n", "payload").join(joined, "copy", "left").select("n", "payload", F.col("coded.ids").alias("coded"))
+
+def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
+    """words: (word, block, pos), equal words in one partition, one after the other. Gives (block, coded): positions, numbers
+    of ids and ids of many words."""
+
+    def packed(found: list[tuple[np.ndarray, np.ndarray, list[list[int]], np.ndarray]]) -> Iterator[pd.DataFrame]:
+        block, pos = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+        first = np.cumsum([0, *(len(x[2]) for x in found)])
+        which = np.concatenate([x[3] + base for x, base in zip(found, first.tolist(), strict=False)])
+        size = np.array([len(ids) for x in found for ids in x[2]], np.int64)
+        flat = np.array([i for x in found for ids in x[2] for i in ids], np.uint32)
+        start = np.cumsum(size) - size
+        order = np.argsort(block, kind="stable")
+        cuts = np.flatnonzero(np.diff(block[order])) + 1
+        for own in np.split(order, cuts):
+            of = which[own]
+            coded = [squeezed(x) for x in (pos[own], size[of], gather_array(flat, start, size, of))]
+            yield pd.DataFrame({"block": block[own[:1]], "pos": [coded[0]], "n": [coded[1]], "ids": [coded[2]]})
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces, found, held, last = pieces_of(tokenizer_path), [], 0, None
+        for pdf in batches:
+            words = pdf["word"].to_numpy()
+            new = np.concatenate([[True], words[1:] != words[:-1]])
+            distinct = words[new].tolist()
+            known = [last[1]] if last and distinct[0] == last[0] else []  # goes on from the batch before
+            ids = known + pieces.encode(distinct[len(known) :])
+            last = distinct[-1], ids[-1]
+            found.append((pdf["block"].to_numpy(), pdf["pos"].to_numpy(), ids, np.cumsum(new) - 1))
+            held += len(pdf)
+            if held >= PACKED_WORDS:
+                yield from packed(found)
+                found, held = [], 0
+        if found:
+            yield from packed(found)
+
+    return words.mapInPandas(encode, "block long, pos binary, n binary, ids binary")
+
+
+def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """doc_id and ids (little-endian unsigned 32-bit) of every row of ``docs`` (doc_id, text)."""
+    cut = stored(blocks(id_text(docs), tokenizer_path), "word_blocks")
+    listed = cut.select("block", F.posexplode("words").alias("pos", "word")).select("word", "block", "pos")
+    coded = encode_words(listed.repartition("word").sortWithinPartitions("word"), tokenizer_path)
+    joined = coded.groupBy("block").agg(F.collect_list(F.struct("pos", "n", "ids")).alias("coded"))
+    placed = cut.select("block", "n", "doc_ids", "sizes", "codes").join(joined, "block", "left")
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for n, packed, coded in zip(pdf["n"], pdf["payload"], pdf["coded"], strict=True):
-                raw, n = zlib.decompress(packed), int(n)
-                doc_ids, none = np.frombuffer(raw, "<i8", n).tolist(), np.frombuffer(raw, np.uint8, n, 8 * n).tolist()
-                ends = np.cumsum(np.frombuffer(raw, "<i8", n, 9 * n))
-                flat, start, size = flatten([] if coded is None else list(coded))
-                codes = np.frombuffer(raw, "<u4", -1, 17 * n)
+            for n, doc_ids, sizes, codes, coded in zip(pdf["n"].tolist(), pdf["doc_ids"], pdf["sizes"], pdf["codes"], pdf["coded"], strict=True):
+                numbers, none = np.frombuffer(doc_ids, "<i8", n).tolist(), np.frombuffer(doc_ids, np.uint8, n, 8 * n).tolist()
+                parts = [[unsqueezed(x[k]) for k in ("pos", "n", "ids")] for x in ([] if coded is None else coded)]
+                pos, count, flat = (np.concatenate([p[k] for p in parts] or [np.zeros(0, np.uint32)]) for k in range(3))
+                size, start = np.zeros(len(pos), np.int64), np.zeros(len(pos), np.int64)
+                size[pos], start[pos] = count, np.cumsum(count, dtype=np.int64) - count
+                codes, ends = unsqueezed(codes), np.cumsum(unsqueezed(sizes), dtype=np.int64).tolist()
                 out = [gather_array(flat, start, size, codes[a:b]).tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-                yield pd.DataFrame({"doc_id": pd.array([None if x else i for i, x in zip(doc_ids, none, strict=True)], "Int64"), "ids": out})
+                for at in range(0, n, 2000):
+                    yield pd.DataFrame({"doc_id": pd.array([None if x else i for i, x in zip(numbers[at : at + 2000], none[at : at + 2000], strict=True)], "Int64"), "ids": out[at : at + 2000]})
+                del parts, pos, count, flat, codes, out
+        trim()
 
     return placed.mapInPandas(rows, ENCODED)
 
