@@ -2,15 +2,14 @@
 contaminated documents go, and what is left is encoded.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of docs. Rows without doc_id can't be grouped or ordered:
-they pass the near-duplicate and repeated-string stages as they are. Removing repeated bytes may cut a character; what is
+they pass the near-duplicate and repeated-string stages as they are. Rows that share a doc_id are one document to the
+near-duplicate stage: it is judged by its smallest text, and all its rows stay or go. Repeated rows stay repeated. Removing
+repeated bytes may cut a character; what is
 left of it goes too. Documents of which nothing is left stay, with an empty text.
 """
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,58 +17,38 @@ from pyspark.sql import functions as F
 from tidemark.llm import bpe, decontaminate, near_dups, suffix_dedup, toxicity
 from tidemark.llm.common import discard, recorded, stored, table
 
-#: Scratch tables that the last stage's result reads.
-_READ: list[str] = []
-
-
-def stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage's result is written before the next stage begins, so what the stage before had stored can go then."""
-
-    @functools.wraps(f)
-    def begun(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        discard(spark, _READ)
-        _READ.clear()
-        with recorded() as own:
-            out = f(spark, docs, sf_dir)
-        _READ.extend(own)
-        return out
-
-    return begun
 
-
-@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean(docs, table(spark, sf_dir, "labels"))
 
 
-@stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = near_dups.groups(docs).where("not kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
-@stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = suffix_dedup.remove(docs, keep_text=True).where("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("d1").alias("_d1"), F.col("kept").alias("_kept")).distinct()
+    cut = suffix_dedup.remove(docs, keep_text=True).where("n_removed > 0").select(F.struct("doc_id", "d1").alias("document"), F.struct("kept").alias("cut")).distinct()
 
     @F.pandas_udf("string")
     def whole_characters(kept):
         return kept.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
 
-    rows = docs.join(cut, (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_d1")), "left")
-    text = F.when(F.col("_id").isNotNull(), whole_characters(F.col("_kept"))).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
+    same_text = F.xxhash64(F.coalesce("text", F.lit(""))).alias("d1")
+    rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), same_text).alias("document"), F.struct(*docs.columns).alias("row"))
+    rows = rows.join(cut, "document", "left")  # in structs, so that no column of docs clashes
+    text = F.when(F.col("cut").isNotNull(), whole_characters("cut.kept")).otherwise(F.col("row.text"))
+    rows = rows.select("row", F.col("cut").isNotNull().alias("changed"), text.alias("left"))
+    new = {"text": F.col("left")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_id").isNotNull(), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("changed"), F.char_length("left").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
-@stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-@stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digest(bpe.encode(docs, path), path)
@@ -88,7 +67,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage stored goes once the next one's result is written; what this result reads stays."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, step in STAGES[:-1]:
-        docs = stored(step(spark, docs, sf_dir), f"pipeline_{name}")
+        with recorded() as own:
+            docs = stored(step(spark, docs, sf_dir), f"pipeline_{name}")
+        discard(spark, [p for p in [*before, *own] if p != docs._tidemark_path])
+        before = [docs._tidemark_path]
     return STAGES[-1][1](spark, docs, sf_dir)
