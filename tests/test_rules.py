@@ -154,11 +154,31 @@ def test_html_rows():
 
 
 def test_feature_columns(spark, sf):
-    built = features.build_features(runs(spark, sf).withColumn("country_of_origin", F.lit("NZ")), lags=10)
-    made = set(built.columns) - set(runs(spark, sf).columns) - {"country_of_origin"}
-    assert len(made) == 569
-    used, categorical = manifest.predictors(built.columns)
-    assert "odds" not in used and "finishing_position" not in used and "last3_jockey" in categorical
+    df = runs(spark, sf).withColumns({"country_of_origin": F.lit("NZ"), "hemisphere_of_origin": F.lit("Northern"), "career_win_rate_before": F.lit(0.1)})
+    built = features.build_features(df)
+    assert built.columns[: len(df.columns)] == df.columns
+    known = {*queries._built_names(), "country_of_origin", "hemisphere_of_origin", "hemisphere_of_origin_derived", "hemisphere_mapping_conflict", "career_win_rate_before", "career_win_rate_vs_field_mean", "career_win_rate_rank_in_field"}
+    assert set(built.columns) == known and len(built.columns) == len(known)
+    assert len(known - set(df.columns)) == 569
+    used, categorical = manifest.predictors([*built.columns, "is_winner", "result_status", "horse_name", "is_dead_heat", "brand_number", "career_prize_money_before", "actually_started"])
+    assert not {"odds", "finishing_position", "is_winner", "result_status", "horse_name", "is_dead_heat", "brand_number", "career_prize_money_before", "actually_started", "race_date"} & set(used)
+    assert "last3_jockey" in categorical and categorical == sorted(categorical)
+
+
+def test_countries(spark):
+    from tidemark.functions import dates
+
+    df = spark.createDataFrame([("NZ",), (" gb ",), ("KOR",), ("ZIM",), ("URU",), ("ITY",), ("PER",), ("",), (None,)], "c string")
+    rows = df.select(dates.hemisphere(F.col("c")), dates.derived_hemisphere(F.col("c")), numbers.conflict(dates.derived_hemisphere(F.col("c")), F.lit("Northern"))).collect()
+    assert [tuple(r) for r in rows] == [
+        ("Southern", "Southern", 1), ("Northern", "Northern", 0), ("Other", None, 0), ("Southern", None, 0), ("Other", "Southern", 1), ("Other", "Northern", 0), ("Other", None, 0), ("Other", None, 0), ("Other", None, 0),
+    ]
+
+
+def test_small_rules(spark):
+    df = spark.createDataFrame([(2.5, None, 3.0, None), (1.0, 12.0, None, "1.0"), (None, None, None, "Y")], "a double, b double, c double, flag string")
+    rows = df.select(text.form_string([F.col(c) for c in "abc"]), text.text_flag(F.col("flag")), numbers.time_split(F.lit(None).cast("date"), "2024-01-01", "2025-01-01")).collect()
+    assert [tuple(r) for r in rows] == [("2.5-3", None, "test"), ("1-12", None, "test"), ("", 1, "test")]
 
 
 def test_stream_appends_once(spark, sf, tmp_path):

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Countries of the southern hemisphere, whose horses turn a year older on 1 August.
-SOUTHERN = ("ARG", "AUS", "BRZ", "CHI", "NZ", "PER", "SAF", "URU", "ZIM")
+# Countries of origin by hemisphere, for the official birthday of a profile (southern horses turn a year older
+# on 1 August) and, a list of its own, for the feature that is derived from the country alone.
+SOUTHERN = ("AUS", "NZ", "SAF", "ARG", "ZIM", "BRZ", "CHI")
+NORTHERN = ("IRE", "GB", "USA", "FR", "JPN", "CAN", "GER")
+DERIVED_NORTHERN = ("GB", "IRE", "FR", "USA", "CAN", "JPN", "GER", "ITY", "SPA", "GR")
+DERIVED_SOUTHERN = ("AUS", "NZ", "SAF", "ARG", "BRZ", "CHI", "URU")
 
 
 def parse_day(c: Column) -> Column:
@@ -22,8 +26,15 @@ def parse_form_day(c: Column) -> Column:
 
 
 def hemisphere(country: Column) -> Column:
+    """Southern, Northern, or Other for a country on neither list."""
+    t = F.upper(F.trim(F.coalesce(country, F.lit(""))))
+    return F.when(t.isin(*SOUTHERN), "Southern").when(t.isin(*NORTHERN), "Northern").otherwise("Other")
+
+
+def derived_hemisphere(country: Column) -> Column:
+    """Southern, Northern, or null for a country on neither list."""
     t = F.upper(F.trim(country))
-    return F.when(t.isNull() | (t == ""), F.lit("")).when(t.isin(*SOUTHERN), "Southern").otherwise("Northern")
+    return F.when(t.isin(*DERIVED_NORTHERN), "Northern").when(t.isin(*DERIVED_SOUTHERN), "Southern")
 
 
 def _birthday(year: Column, country: Column) -> Column:

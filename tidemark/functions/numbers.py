@@ -28,7 +28,7 @@ def draw_percentile(draw: Column, field: Column) -> Column:
 
 def draw_flags(percentile: Column) -> dict[str, Column]:
     inside, outside = percentile <= 0.33, percentile >= 0.67
-    return {"is_inside_draw": inside.cast("int"), "is_middle_draw": (~inside & ~outside).cast("int"), "is_outside_draw": outside.cast("int")}
+    return {"inside_draw_flag": inside.cast("int"), "middle_draw_flag": (~inside & ~outside).cast("int"), "outside_draw_flag": outside.cast("int")}
 
 
 def distance_bucket(d: Column) -> Column:
@@ -36,7 +36,7 @@ def distance_bucket(d: Column) -> Column:
 
 
 def going_bucket(going: Column) -> Column:
-    g = F.upper(F.trim(F.coalesce(going, F.lit(""))))
+    g = F.upper(F.coalesce(going, F.lit("")))
     out = F.when(g.contains("FIRM"), "firm").when(g == "GOOD", "good").when(g.contains("YIELD"), "yielding").when(g.contains("SOFT"), "soft")
     return out.when(g.contains("WET"), "wet").when(g.contains("FAST"), "fast").otherwise("other")
 
@@ -61,7 +61,8 @@ def rate(part: Column, whole: Column, digits: int | None = None) -> Column:
 
 
 def time_split(day: Column, train_until: str, validate_until: str) -> Column:
-    return F.when(day <= F.lit(train_until).cast("date"), "train").when(day <= F.lit(validate_until).cast("date"), "validation").when(day.isNotNull(), "test")
+    """An unknown day is in the test part."""
+    return F.when(day <= F.lit(train_until).cast("date"), "train").when(day <= F.lit(validate_until).cast("date"), "validation").otherwise("test")
 
 
 def payout_schedule(day: Column) -> Column:

@@ -105,7 +105,7 @@ def class_number(c: Column) -> Column:
 def text_flag(c: Column) -> Column:
     """1, 0 or null of a text boolean."""
     t = F.lower(F.trim(c.cast("string")))
-    return F.when(t.isin("true", "1", "yes", "y", "1.0"), 1).when(t.isin("false", "0", "no", "n", "0.0"), 0)
+    return F.when(t.isin("true", "1", "yes", "y"), 1).when(t.isin("false", "0", "no", "n"), 0)
 
 
 def is_scraped(c: Column) -> Column:
@@ -160,5 +160,6 @@ def completeness(columns: list[Column]) -> Column:
 
 
 def form_string(latest_first: list[Column]) -> Column:
-    """Positions joined by -, nulls left out."""
-    return F.array_join(F.transform(F.filter(F.array(*latest_first), lambda x: x.isNotNull()), lambda x: x.cast("int").cast("string")), "-")
+    """Positions joined by -, nulls left out; whole ones without decimals."""
+    shown = lambda x: F.when(x == F.floor(x), x.cast("bigint").cast("string")).otherwise(x.cast("double").cast("string"))
+    return F.array_join(F.transform(F.filter(F.array(*latest_first), lambda x: x.isNotNull()), shown), "-")

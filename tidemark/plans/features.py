@@ -2,8 +2,9 @@
 
 Stages are functions DataFrame -> DataFrame on the columns of a run (see plans.runs). Everything is computed on the whole
 history; rows to emit are filtered last. Input null keys: an event without horse has no history; contexts, trainers and
-jockeys treat null as a value. The stages that partition by horse come one after another, those by trainer and jockey
-too, so that each of these keys costs one exchange.
+jockeys treat null as a value. The stages that partition by horse come one after another, so that they cost one exchange.
+Those of trainers, jockeys and pairs work on days: a row a key and day, however many runs, is what a window holds of a key,
+and the rows meet their day in a join, which is broadcast or split where it is skewed.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from tidemark.functions import dates, numbers, text
 from tidemark.operators import elo
 from tidemark.operators import windows as W
 from tidemark.plans.runs import ORDER
+from tidemark.sources.scratch import settled
 
+# The names of what is remembered of a start, of the contexts and of the pairs.
 KEPT_ALONG = {
     "date": "race_date", "race_id": "race_id", "finish": "finishing_position", "relative_finish": "_relative_finish", "margin_lengths": "_margin_lengths",
     "finish_time_seconds": "_finish_time_seconds", "speed_mps": "_speed_mps", "speed_context_z": "_speed_context_z",
@@ -43,9 +46,9 @@ HELPERS_PREFIX = "_"
 def hemispheres(df: DataFrame) -> dict[str, Column]:
     if "country_of_origin" not in df.columns:
         return {}
-    derived = F.nullif(dates.hemisphere(F.col("country_of_origin")), F.lit(""))
-    known = F.nullif(F.trim("hemisphere_of_origin"), F.lit("")) if "hemisphere_of_origin" in df.columns else F.lit(None).cast("string")
-    return {"hemisphere_of_origin_derived": derived, "hemisphere_mapping_conflict": numbers.conflict(derived, known)}
+    derived = dates.derived_hemisphere(F.col("country_of_origin"))
+    out = {"hemisphere_of_origin_derived": derived}
+    return out | ({"hemisphere_mapping_conflict": numbers.conflict(derived, F.col("hemisphere_of_origin"))} if "hemisphere_of_origin" in df.columns else {})
 
 
 def base_helpers(df: DataFrame) -> DataFrame:
@@ -70,17 +73,18 @@ SPEED_CONTEXT = ("racecourse_code", "surface", "course", "distance_m", "going")
 
 
 def context_speed_z(df: DataFrame, least: int = 20, context: Sequence[str] = SPEED_CONTEXT) -> DataFrame:
-    """Speed against all runs of earlier races in the same context: race totals first, then running totals of races."""
-    order = [F.struct("race_date", "race_number", "result_id")]
-    timed = df.where("_started = 1 and _speed_mps is not null and race_id is not null")
-    first = [F.min_by(c, order[0]).alias(c) for c in context]
-    race = timed.groupBy("race_id").agg(F.min("race_date").alias("d"), F.min(order[0]).alias("o"), F.sum("_speed_mps").alias("s"), F.sum(F.col("_speed_mps") * F.col("_speed_mps")).alias("ss"), F.count("*").alias("n"), *first)
-    before = W._spec(context, ["d", "o"]).rowsBetween(W.UP, -1)
+    """Speed against all timed runs of earlier races in the same context: race totals first, then running totals of races.
+    A race's context is the first known value of each column; null contexts and null race_ids are values of their own."""
+    order = F.struct("race_date", "race_number", "result_id")
+    timed = df.where("_speed_mps is not null")
+    first = [F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in context]
+    race = timed.groupBy("race_id").agg(F.min(order).alias("o"), F.sum("_speed_mps").alias("s"), F.sum(F.col("_speed_mps") * F.col("_speed_mps")).alias("ss"), F.count("*").alias("n"), *first)
+    before = W._spec(context, ["o"]).rowsBetween(W.UP, -1)
     n = F.sum("n").over(before)
     race = race.select("race_id", n.alias("_n"), (F.sum("s").over(before) / n).alias("_mean"), (F.sum("ss").over(before) / n).alias("_square"))
     std = F.sqrt(F.greatest(F.lit(0.0), F.col("_square") - F.col("_mean") * F.col("_mean")))
     race = race.select(F.col("race_id").alias("_race"), "_n", "_mean", std.alias("_std"))
-    out = df.join(race, F.col("race_id") == F.col("_race"), "left")
+    out = df.join(race, F.col("race_id").eqNullSafe(F.col("_race")), "left")
     z = F.when((F.col("_n") >= least) & (F.col("_std") > 0), (F.col("_speed_mps") - F.col("_mean")) / F.col("_std"))
     return out.select(*df.columns, z.alias("_speed_context_z"))
 
@@ -103,54 +107,65 @@ def field_features(df: DataFrame) -> DataFrame:
     return df.withColumns(more)
 
 
-def horse_history(df: DataFrame, lags: int = 10) -> DataFrame:
-    """Lags, summaries, recency, coverage, workload, changes and form, as of each row."""
-    payload = {k: F.col(c) if c in df.columns else F.lit(None).cast("double") for k, c in KEPT_ALONG.items()}
-    started = F.col("_started") == 1
-    ordinal = F.row_number().over(W._spec(["horse_id", "_started"], ORDER))
-    base = W.last_events(df.withColumn("_ordinal", ordinal), ["horse_id"], ORDER, started, payload | {"ordinal": F.col("_ordinal")}, lags)
-    slot = lambda k: F.col("_last")[k - 1]
-    workload = {f"starts_last{d}d": F.when(F.col("horse_id").isNotNull(), W.prior_sum(F.col("_started").cast("bigint"), W.days_before(["horse_id"], "_day", d))) for d in WORKLOAD_DAYS}
-    base = base.select(*[c for c in base.columns if c not in ("_ordinal",)], *[c.alias(n) for n, c in workload.items()])
-    out = [slot(k)[name].alias(f"last{k}_{name}") for k in range(1, lags + 1) for name in KEPT_ALONG]
+def _started_history(df: DataFrame, lags: int) -> dict[str, Column]:
+    """What is known right after each start: the last starts' columns and their summaries."""
+    payload = F.struct(*[(F.col(c) if c in df.columns else F.lit(None).cast("double")).alias(k) for k, c in KEPT_ALONG.items()])
+    w = W._spec(["horse_id", "_started"], ORDER)
+    out = {f"start{k}": payload if k == 1 else F.lag(payload, k - 1).over(w) for k in range(1, lags + 1)}
+    out["ordinal"] = F.row_number().over(w)
     for n in (x for x in (3, 5, 10) if x <= lags):
-        part = F.slice("_last", 1, n)
-        values = lambda name, part=part: F.filter(F.transform(part, lambda s: s[name].cast("double")), lambda x: x.isNotNull())
-        mean = lambda v: F.when(F.size(v) > 0, F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v))
-        middle = lambda v: F.when(F.size(v) > 0, (F.element_at(F.array_sort(v), F.floor((F.size(v) + 1) / 2).cast("int")) + F.element_at(F.array_sort(v), F.floor((F.size(v) + 2) / 2).cast("int"))) / 2)
-        std = lambda v: F.when(F.size(v) > 1, F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x - mean(v)) * (x - mean(v))) / (F.size(v) - 1)))
-        finish, speeds = values("finish"), values("speed_mps")
-        wins, top3, count = (F.aggregate(values("is_winner"), F.lit(0.0), lambda a, x: a + x), F.aggregate(values("is_top_three"), F.lit(0.0), lambda a, x: a + x), F.size(finish))
-        some = F.col("_last").isNotNull()
+        last = w.rowsBetween(1 - n, 0)
+        over = lambda name, c, last=last: getattr(F, name)(F.col(c).cast("double")).over(last)
+        wins, top3, count = over("sum", "_is_win"), over("sum", "_is_top3"), F.count("finishing_position").over(last)
         summary = {
-            "avg_finish": mean(finish), "median_finish": middle(finish), "best_finish": F.array_min(finish), "worst_finish": F.array_max(finish), "finish_std": std(finish),
-            "avg_relative_finish": mean(values("relative_finish")), "avg_margin_lengths": mean(values("margin_lengths")), "avg_speed_mps": mean(speeds),
-            "best_speed_mps": F.array_max(speeds), "speed_std": std(speeds), "avg_speed_context_z": mean(values("speed_context_z")),
-            "wins": F.when(some, wins), "top3": F.when(some, top3), "win_rate": F.when(some, F.try_divide(wins, count.cast("double"))), "top3_rate": F.when(some, F.try_divide(top3, count.cast("double"))),
+            "avg_finish": over("avg", "finishing_position"), "median_finish": F.percentile(F.col("finishing_position").cast("double"), 0.5).over(last),
+            "best_finish": over("min", "finishing_position"), "worst_finish": over("max", "finishing_position"), "finish_std": over("stddev_samp", "finishing_position"),
+            "avg_relative_finish": over("avg", "_relative_finish"), "avg_margin_lengths": over("avg", "_margin_lengths"), "avg_speed_mps": over("avg", "_speed_mps"),
+            "best_speed_mps": over("max", "_speed_mps"), "speed_std": over("stddev_samp", "_speed_mps"), "avg_speed_context_z": over("avg", "_speed_context_z"),
+            "wins": wins, "top3": top3, "win_rate": F.try_divide(wins, count.cast("double")), "top3_rate": F.try_divide(top3, count.cast("double")),
         }
-        out += [c.alias(f"{k}_last{n}") for k, c in summary.items()]
-    derived = slot(1)["ordinal"]
+        out |= {f"{k}_last{n}": c for k, c in summary.items()}
+    return out
+
+
+def horse_history(df: DataFrame, lags: int = 10) -> DataFrame:
+    """Lags, summaries, recency, coverage, workload, changes and form, as of each row: what was known right after the horse's
+    last start before the row. Three windows of one exchange; nothing is kept for runs without horse."""
+    if "_speed_context_z" not in df.columns:
+        df = df.withColumn("_speed_context_z", F.lit(None).cast("double"))
+    known = F.col("horse_id").isNotNull()
+    columns = df.columns
+    workload = [F.when(known, W.prior_sum(F.col("_started").cast("bigint"), W.days_before(["horse_id"], "_day", d))).alias(f"starts_last{d}d") for d in WORKLOAD_DAYS]
+    df = df.select("*", *workload)  # first, so that the rows are dealt by horse
+    after = _started_history(df, lags)
+    df = df.select("*", *[c.alias(f"_h_{k}") for k, c in after.items()])
+    packed = F.when((F.col("_started") == 1) & known, F.struct(*[F.col(f"_h_{k}").alias(k) for k in after]))
+    df = df.select(*columns, *[f"starts_last{d}d" for d in WORKLOAD_DAYS], packed.alias("_after"))
+    df = df.select(*columns, *[f"starts_last{d}d" for d in WORKLOAD_DAYS], F.last("_after", ignorenulls=True).over(W.rows_before(["horse_id"], ORDER)).alias("_known"))
+    slot = lambda k: F.col("_known")[f"start{k}"]
+    out = [slot(k)[name].alias(f"last{k}_{name}") for k in range(1, lags + 1) for name in KEPT_ALONG]
+    out += [F.col("_known")[k].alias(k) for k in after if "_last" in k]
+    derived = F.col("_known")["ordinal"]
     out.append(derived.alias("prior_completed_starts_derived"))
     if lags >= 5:
         for name, source in (("finish_trend_last5", "finish"), ("relative_finish_trend_last5", "relative_finish"), ("speed_trend_last5", "speed_mps")):
             out.append(W.slope([slot(k)[source] for k in (5, 4, 3, 2, 1)]).alias(name))
         out.append(F.coalesce(text.form_string([slot(k)["finish"] for k in range(1, 6)]), F.lit("")).alias("form_last5_latest_first"))
     out.append(F.datediff("race_date", slot(1)["date"]).alias("days_since_last_start"))
-    stored = F.col("career_starts_before")
-    missing = F.greatest(F.lit(0), stored - derived)
-    out += [F.when(stored.isNotNull() & derived.isNotNull(), missing).alias("history_starts_missing_before"), F.when(stored > 0, derived / stored.cast("double")).alias("history_coverage_ratio"),
-            F.when(stored.isNotNull() & derived.isNotNull(), (missing == 0).cast("int")).alias("history_appears_complete_flag")]
+    stored = F.col("career_starts_before") if "career_starts_before" in columns else F.lit(None).cast("int")
+    out += [F.when(stored.isNotNull() & derived.isNotNull(), F.greatest(F.lit(0), stored - derived)).alias("history_starts_missing_before"), F.when(stored > 0, derived / stored.cast("double")).alias("history_coverage_ratio"),
+            F.when(stored.isNotNull() & derived.isNotNull(), (stored == derived).cast("int")).alias("history_appears_complete_flag")]
     class_change = F.col("_race_class_num") - slot(1)["race_class_num"]
     body = F.col("declared_horse_weight") - slot(1)["declared_horse_weight"]
     out += [
-        (F.col("distance_m") - slot(1)["distance_m"]).alias("distance_change"), (F.col("horse_rating_before") - slot(1)["horse_rating_before"]).alias("rating_change_pre"),
-        (F.col("horse_rating_before") - slot(1)["horse_rating_after"]).alias("rating_change_since_last_official"), (F.col("actual_weight") - slot(1)["actual_weight"]).alias("carried_weight_change"),
-        body.alias("bodyweight_change"), F.try_divide(body.cast("double"), slot(1)["declared_horse_weight"].cast("double")).alias("bodyweight_change_pct"),
-        class_change.alias("class_num_change"), F.when(class_change.isNotNull(), (class_change > 0).cast("int")).alias("class_drop_flag"),
+        (F.col("distance_m") - slot(1)["distance_m"]).alias("distance_change_from_last"), (F.col("horse_rating_before") - slot(1)["horse_rating_before"]).alias("rating_change_from_last_start_pre"),
+        (F.col("horse_rating_before") - slot(1)["horse_rating_after"]).alias("rating_change_since_last_official"), (F.col("actual_weight") - slot(1)["actual_weight"]).alias("actual_weight_change_from_last"),
+        body.alias("bodyweight_change_from_last"), F.try_divide(body.cast("double"), slot(1)["declared_horse_weight"].cast("double")).alias("bodyweight_change_pct_from_last"),
+        class_change.alias("class_number_change_from_last"), F.when(class_change.isNotNull(), (class_change > 0).cast("int")).alias("class_drop_flag"),
         F.when(class_change.isNotNull(), (class_change < 0).cast("int")).alias("class_rise_flag"),
     ]
     out += [numbers.changed(F.col(c), slot(1)[n]).alias(f"{n}_change_flag") for n, c in (("track", "racecourse_code"), ("surface", "surface"), ("course", "course"), ("going", "going"), ("jockey", "jockey"), ("trainer", "trainer"))]
-    return base.select(*[c for c in base.columns if c != "_last"], *out)
+    return df.select(*[c for c in df.columns if c != "_known"], *out)
 
 
 def _totals(w) -> dict[str, Column]:
@@ -159,48 +174,77 @@ def _totals(w) -> dict[str, Column]:
 
 
 def context_history(df: DataFrame, contexts: dict[str, Sequence[str]] = CONTEXTS) -> DataFrame:
-    """Row-prior totals and means of a horse in each context."""
+    """Row-prior totals of a horse's starts and means of its runs in each context."""
     out = []
     for name, keys in contexts.items():
         w = W.rows_before(["horse_id", *keys], ORDER)
-        mean = lambda c, w=w: F.avg(F.when(F.col("_started") == 1, F.col(c))).over(w)
-        found = _totals(w) | {"avg_relative_finish": mean("_relative_finish"), "avg_speed_mps": mean("_speed_mps")}
+        found = _totals(w) | {"avg_relative_finish": F.avg("_relative_finish").over(w), "avg_speed_mps": F.avg("_speed_mps").over(w)}
         out += [c.alias(f"horse_{name}_{k}_before") for k, c in found.items()]
     return df.select(*df.columns, *out)
 
 
-def entity_form(df: DataFrame, entity: str, prefix: str, days: Sequence[int] = FORM_DAYS) -> DataFrame:
-    """Career totals and calendar windows of a trainer or jockey, all before the day."""
-    career = _totals(W.days_before([entity], "_day"))
-    out = [career["starts"].alias(f"{prefix}_career_starts_before_derived"), career["win_rate"].alias(f"{prefix}_career_win_rate_before"), career["top3_rate"].alias(f"{prefix}_career_top3_rate_before")]
+def _daily(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Starts, wins and places of a day for each value of the keys, null ones too: a row a day, however many runs."""
+    started = lambda c: F.sum(F.when(F.col("_started") == 1, F.col(c)).otherwise(0).cast("bigint")).alias(c)
+    return df.groupBy(*keys, "_day").agg(*[started(c) for c in ("_started", "_is_win", "_is_top3")])
+
+
+def _with_daily(df: DataFrame, keys: Sequence[str], daily: DataFrame, new: dict[str, Column]) -> DataFrame:
+    """``new``, computed over the days of the keys, on every row of these keys and that day."""
+    on = [*keys, "_day"]
+    found = daily.select(*[F.col(c).alias(f"_on_{c}") for c in on], *[c.alias(n) for n, c in new.items()])
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+    return df.join(found, match, "left").select(*df.columns, *new)
+
+
+def entity_form(df: DataFrame, entity: str, prefix: str, days: Sequence[int] = FORM_DAYS, history: DataFrame | None = None) -> DataFrame:
+    """Career totals and calendar windows of a trainer or jockey, all before the day. ``history``: the runs that count, those
+    of ``df`` itself if not given; where stages follow each other it keeps the plan from doubling with each."""
+    daily, career = _daily(df if history is None else history, [entity]), _totals_of_days(W.days_before([entity], "_day"))
+    new = {f"{prefix}_career_starts_before_derived": career["starts"], f"{prefix}_career_win_rate_before": career["win_rate"], f"{prefix}_career_top3_rate_before": career["top3_rate"]}
     for d in days:
         w = W.days_before([entity], "_day", d)
-        starts, wins, top3 = (F.sum(F.when(F.col("_started") == 1, F.col(c)).otherwise(0).cast("bigint")).over(w) for c in ("_started", "_is_win", "_is_top3"))
-        out += [starts.alias(f"{prefix}_starts_{d}d"), numbers.rate(wins, starts).alias(f"{prefix}_win_rate_{d}d"), numbers.rate(top3, starts).alias(f"{prefix}_top3_rate_{d}d")]
-    return df.select(*df.columns, *out)
+        starts, wins, top3 = (F.sum(c).over(w) for c in ("_started", "_is_win", "_is_top3"))
+        new |= {f"{prefix}_starts_{d}d": starts, f"{prefix}_win_rate_{d}d": numbers.rate(wins, starts), f"{prefix}_top3_rate_{d}d": numbers.rate(top3, starts)}
+    return _with_daily(df, [entity], daily, new)
+
+
+def _totals_of_days(w) -> dict[str, Column]:
+    starts, wins, top3 = (W.prior_sum(F.col(c), w) for c in ("_started", "_is_win", "_is_top3"))
+    return {"starts": starts, "wins": wins, "top3": top3, "win_rate": numbers.rate(wins, starts), "top3_rate": numbers.rate(top3, starts)}
 
 
-def combo_history(df: DataFrame, combos: dict[str, Sequence[str]] = COMBOS) -> DataFrame:
-    """Date-prior totals of pairs."""
-    return df.select(*df.columns, *[c.alias(f"{p}_{k}_before") for p, keys in combos.items() for k, c in _totals(W.days_before(keys, "_day")).items()])
+def combo_history(df: DataFrame, combos: dict[str, Sequence[str]] = COMBOS, history: DataFrame | None = None) -> DataFrame:
+    """Date-prior totals of pairs, from the runs of ``history`` (see ``entity_form``)."""
+    history = df if history is None else history
+    for prefix, keys in combos.items():
+        new = {f"{prefix}_{k}_before": c for k, c in _totals_of_days(W.days_before(keys, "_day")).items()}
+        df = _with_daily(df, keys, _daily(history, keys), new)
+    return df
 
 
+#: Names, columns and whether more is better, of what is compared with the field after all histories are known.
+RECENT = {
+    "recent_speed": ("avg_speed_mps_last5", True, "field_avg_recent_speed_last5"),
+    "recent_form": ("avg_relative_finish_last5", False, "field_avg_recent_relative_finish_last5"),
+}
 AFTER_HISTORY = {
-    "recent_speed": "avg_speed_mps_last3", "recent_form": "avg_relative_finish_last3", "trainer_win_rate": "trainer_career_win_rate_before",
-    "jockey_win_rate": "jockey_career_win_rate_before", "horse_distance_win_rate": "horse_distance_win_rate_before", "horse_track_win_rate": "horse_track_win_rate_before",
-    "combo_win_rate": "trainer_jockey_win_rate_before", "days_since_last_start": "days_since_last_start",
+    "career_win_rate": "career_win_rate_before", "trainer_form": "trainer_win_rate_90d", "jockey_form": "jockey_win_rate_90d",
+    "horse_track_win_rate": "horse_track_win_rate_before", "horse_distance_win_rate": "horse_distance_win_rate_before",
+    "horse_track_distance_win_rate": "horse_track_distance_win_rate_before",
 }
 
 
-def post_history_field(df: DataFrame, columns: dict[str, str] = AFTER_HISTORY) -> DataFrame:
-    """Ranks and differences from the field's mean of what the earlier stages found."""
+def post_history_field(df: DataFrame) -> DataFrame:
+    """Ranks and differences from the field's mean of what the earlier stages found; columns that aren't there are left out."""
     out = []
-    for name, c in columns.items():
-        x = F.col(c).cast("double")
-        mean = W.field(x, ["race_id"], "avg")
-        out += [W.rank_min(x, ["race_id"], name != "recent_form").alias(f"{name}_rank_in_field"), (x - mean).alias(f"{name}_vs_field_mean")]
-        if name.startswith("recent"):
-            out.append(mean.alias(f"field_avg_{name}"))
+    for name, (c, better_high, field) in (RECENT | {k: (c, True, "") for k, c in AFTER_HISTORY.items()}).items():
+        if c in df.columns:
+            x = F.col(c).cast("double")
+            mean = W.field(x, ["race_id"], "avg")
+            out += ([mean.alias(field)] if field else []) + [(x - mean).alias(f"{name}_vs_field_mean"), W.rank_min(x, ["race_id"], better_high).alias(f"{name}_rank_in_field")]
     return df.select(*df.columns, *out)
 
 
@@ -208,7 +252,7 @@ def market(df: DataFrame) -> DataFrame:
     implied = F.when(F.col("odds") > 0, 1.0 / F.col("odds"))
     over = F.coalesce(W.field(implied, ["race_id"], "sum"), F.lit(0.0))
     rank = W.rank_min(F.col("odds"), ["race_id"], descending=False)
-    return df.withColumns({"market_implied_probability": implied, "market_overround": over, "market_normalized_probability": F.try_divide(implied, over), "market_rank": rank, "market_favourite_flag": F.when(rank.isNotNull(), (rank == 1).cast("int"))})
+    return df.withColumns({"market_implied_probability_raw": implied, "market_overround": over, "market_implied_probability_normalized": F.try_divide(implied, over), "market_rank": rank, "market_favourite_flag": F.when(rank.isNotNull(), (rank == 1).cast("int"))})
 
 
 def training_metadata(df: DataFrame, train_until: str = "2024-07-31", validate_until: str = "2025-07-31") -> DataFrame:
@@ -219,13 +263,20 @@ def training_metadata(df: DataFrame, train_until: str = "2024-07-31", validate_u
 
 
 def build_features(history: DataFrame, emit: DataFrame | None = None, lags: int = 10, include_market: bool = False, keep_helpers: bool = False, with_elo: bool = True) -> DataFrame:
-    """All stages on the history, then the rows to emit. ``emit``: result_ids, all of them known to the history."""
+    """All stages on the history, then the rows to emit: the history's columns first, new ones after them.
+
+    ``emit``: result_ids, all of them known to the history. The narrow rows of the first stages are written once; trainers',
+    jockeys' and pairs' days are counted from that table and joined while rows are narrow. The wide columns of the horses'
+    histories are made last, and cross one exchange by race."""
     df = context_speed_z(outcome_helpers(base_helpers(history)))
-    df = field_features(elo.add_elo(df) if with_elo else df)
-    df = context_history(horse_history(df, max(1, lags)))
-    df = entity_form(entity_form(df, "trainer", "trainer"), "jockey", "jockey")
-    df = training_metadata(post_history_field(combo_history(df)))
+    base = df = settled(elo.add_elo(df) if with_elo else df, "runs")
+    for entity in ("trainer", "jockey"):
+        df = entity_form(df, entity, entity, history=base)
+    df = combo_history(df, history=base)
+    df = context_history(horse_history(field_features(df), max(1, lags)))
+    df = training_metadata(post_history_field(df))
     df = market(df) if include_market else df
     if emit is not None:
         df = df.join(emit.select("result_id").distinct(), "result_id", "left_semi")
+    df = df.select(*dict.fromkeys([*history.columns, *df.columns]))
     return df if keep_helpers else df.drop(*[c for c in df.columns if c.startswith(HELPERS_PREFIX)])

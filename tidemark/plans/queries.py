@@ -12,6 +12,7 @@ from tidemark.operators import elo, tables
 from tidemark.operators import windows as W
 from tidemark.plans import features as X
 from tidemark.plans.runs import ORDER, RUNS_SQL, runs
+from tidemark.sources.scratch import settled, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -218,16 +219,20 @@ def _(spark, d):
 
 @query("changes_and_flags", f"""WITH {RUNS}, s AS (SELECT horse_id AS h, race_date AS rd, race_number AS rn, result_id AS rid, row_number() OVER ({H}) AS ordinal FROM runs WHERE finishing_position IS NOT NULL),
 a AS (SELECT r.result_id, max_by(rid, (rd, rn)) AS p, max(ordinal) AS ordinal FROM runs r LEFT JOIN s ON s.h = r.horse_id AND (rd, rn) < (race_date, race_number) GROUP BY r.result_id)
-SELECT r.result_id, r.distance_m - b.distance_m AS distance_change, r.horse_rating_before - b.horse_rating_before AS rating_change_pre, r.actual_weight - b.actual_weight AS carried_weight_change,
-       round((r.declared_horse_weight - b.declared_horse_weight) / b.declared_horse_weight::DOUBLE, 6) AS bodyweight_change_pct,
+SELECT r.result_id, r.distance_m - b.distance_m AS distance_change_from_last, r.horse_rating_before - b.horse_rating_before AS rating_change_from_last_start_pre, r.actual_weight - b.actual_weight AS actual_weight_change_from_last,
+       round((r.declared_horse_weight - b.declared_horse_weight) / b.declared_horse_weight::DOUBLE, 6) AS bodyweight_change_pct_from_last,
        CASE WHEN r.surface IS NOT NULL AND b.surface IS NOT NULL THEN (r.surface <> b.surface)::INT END AS surface_change_flag,
        CASE WHEN r.going IS NOT NULL AND b.going IS NOT NULL THEN (r.going <> b.going)::INT END AS going_change_flag,
        date_diff('day', b.race_date, r.race_date)::INT AS days_since_last_start, CASE WHEN ordinal IS NOT NULL THEN greatest(0, r.career_starts_before - ordinal)::INT END AS history_starts_missing_before,
-       CASE WHEN r.career_starts_before > 0 THEN round(ordinal / r.career_starts_before::DOUBLE, 6) END AS history_coverage_ratio
+       CASE WHEN r.career_starts_before > 0 THEN round(ordinal / r.career_starts_before::DOUBLE, 6) END AS history_coverage_ratio, (ordinal = r.career_starts_before)::INT AS history_appears_complete_flag,
+       r.horse_rating_before - b.horse_rating_after AS rating_change_since_last_official, r.declared_horse_weight - b.declared_horse_weight AS bodyweight_change_from_last, """ + ", ".join(f"(r.{c} <> b.{c})::INT AS {n}_change_flag" for n, c in (("track", "racecourse_code"), ("course", "course"), ("jockey", "jockey"), ("trainer", "trainer"))) + f""",
+       CASE WHEN r.race_class <= '5' AND b.race_class <= '5' THEN r.race_class::DOUBLE - b.race_class::DOUBLE END AS class_number_change_from_last, CASE WHEN r.race_class <= '5' AND b.race_class <= '5' THEN (r.race_class > b.race_class)::INT END AS class_drop_flag,
+       CASE WHEN r.race_class <= '5' AND b.race_class <= '5' THEN (r.race_class < b.race_class)::INT END AS class_rise_flag
 FROM runs r JOIN a ON a.result_id = r.result_id LEFT JOIN runs b ON b.result_id = a.p""")
 def _(spark, d):
     df = _history(spark, d)
-    return df.select("result_id", "distance_change", "rating_change_pre", "carried_weight_change", r6(F.col("bodyweight_change_pct")).alias("bodyweight_change_pct"), "surface_change_flag", "going_change_flag", "days_since_last_start", "history_starts_missing_before", r6(F.col("history_coverage_ratio")).alias("history_coverage_ratio"))
+    return df.select("result_id", "distance_change_from_last", "rating_change_from_last_start_pre", "actual_weight_change_from_last", r6(F.col("bodyweight_change_pct_from_last")).alias("bodyweight_change_pct_from_last"), "surface_change_flag", "going_change_flag", "days_since_last_start", "history_starts_missing_before", r6(F.col("history_coverage_ratio")).alias("history_coverage_ratio"),
+                     "history_appears_complete_flag", "rating_change_since_last_official", "bodyweight_change_from_last", "track_change_flag", "course_change_flag", "jockey_change_flag", "trainer_change_flag", "class_number_change_from_last", "class_drop_flag", "class_rise_flag")
 
 
 def _totals_sql(prefix: str, frame: str) -> str:
@@ -247,7 +252,7 @@ def _(spark, d):
 
 @query("combo_date_prior", f"WITH {BASE} SELECT result_id, " + ", ".join(_totals_sql(n, f"PARTITION BY {', '.join(k)} ORDER BY race_date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING") for n, k in X.COMBOS.items()) + " FROM base")
 def _(spark, d):
-    df = X.combo_history(X.base_helpers(runs(spark, d)))
+    df = X.combo_history(settled(X.base_helpers(runs(spark, d)), "runs"))
     return df.select("result_id", *[c for n in X.COMBOS for c in _total_columns(n)])
 
 
@@ -261,8 +266,8 @@ def _form_sql(who: str) -> str:
 
 @query("entity_rolling_form", f"WITH {BASE} SELECT result_id, {_form_sql('trainer')}, {_form_sql('jockey')} FROM base")
 def _(spark, d):
-    df = X.base_helpers(runs(spark, d))
-    df = X.entity_form(X.entity_form(df, "trainer", "trainer"), "jockey", "jockey")
+    base = settled(X.base_helpers(runs(spark, d)), "runs")
+    df = X.entity_form(X.entity_form(base, "trainer", "trainer"), "jockey", "jockey", history=base)
     rates = [r6(F.col(f"{w}_{x}_rate_{n}d")).alias(f"{w}_{x}_rate_{n}d") for w in ("trainer", "jockey") for x in ("win", "top3") for n in X.FORM_DAYS]
     return df.select("result_id", *[f"{w}_starts_{n}d" for w in ("trainer", "jockey") for n in X.FORM_DAYS], *rates)
 
@@ -274,13 +279,48 @@ def _(spark, d):
     return df.select("o_orderkey", F.count("*").over(w).alias("n_90d"), F.round(F.sum("o_totalprice").over(w), 2).alias("total_90d"))
 
 
-@query("context_speed_z", f"""WITH {BASE}, r AS (SELECT race_id, min(race_date) AS d, min((race_date, race_number, result_id)) AS o, sum(spd) AS s, sum(spd * spd) AS ss, count(*) AS n, min_by(racecourse_code, (race_date, race_number, result_id)) AS c1, min_by(surface, (race_date, race_number, result_id)) AS c2,
-min_by(course, (race_date, race_number, result_id)) AS c3, min_by(distance_m, (race_date, race_number, result_id)) AS c4 FROM sp WHERE st = 1 AND spd IS NOT NULL GROUP BY race_id),
-b AS (SELECT race_id, sum(n) OVER w AS n, sum(s) OVER w / sum(n) OVER w AS m, sum(ss) OVER w / sum(n) OVER w AS q FROM r WINDOW w AS (PARTITION BY c1, c2 ORDER BY d, o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT result_id, CASE WHEN b.n >= 20 AND q - m * m > 0 THEN round((spd - m) / sqrt(q - m * m), 6) END AS speed_z FROM sp LEFT JOIN b ON b.race_id = sp.race_id""")
+O = "(race_date, race_number, result_id)"
+
+
+@query("context_speed_z", f"""WITH {BASE}, r AS (SELECT race_id, min({O}) AS o, sum(spd) AS s, sum(spd * spd) AS ss, count(*) AS n, min_by(racecourse_code, {O}) FILTER (racecourse_code IS NOT NULL) AS c1, min_by(surface, {O}) FILTER (surface IS NOT NULL) AS c2,
+min_by(course, {O}) FILTER (course IS NOT NULL) AS c3, min_by(distance_m, {O}) FILTER (distance_m IS NOT NULL) AS c4, min_by(going, {O}) FILTER (going IS NOT NULL) AS c5 FROM sp WHERE spd IS NOT NULL GROUP BY race_id),
+b AS (SELECT race_id, sum(n) OVER w AS n, sum(s) OVER w / sum(n) OVER w AS m, sum(ss) OVER w / sum(n) OVER w AS q FROM r WINDOW w AS (PARTITION BY c1, c2, c3, c4, c5 ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT result_id, CASE WHEN b.n >= 5 AND q - m * m > 0 THEN round((spd - m) / sqrt(q - m * m), 6) END AS speed_z FROM sp LEFT JOIN b ON b.race_id IS NOT DISTINCT FROM sp.race_id""")
+def _(spark, d):
+    # all five contexts; they are thin here, so 5 earlier runs are enough
+    return X.context_speed_z(X.base_helpers(runs(spark, d)), least=5).select("result_id", r6(F.col("_speed_context_z")).alias("speed_z"))
+
+
+W90 = "OVER (PARTITION BY {} ORDER BY race_date RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING)"
+CW = "PARTITION BY horse_id, {} ORDER BY race_date, race_number, race_id, result_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+#: name in the field, its column in the oracle below, the order of its ranks
+AFTER = [
+    ("recent_speed", "s5", "DESC"), ("recent_form", "r5", "ASC"), ("career_win_rate", "cw", "DESC"), ("trainer_form", "t90", "DESC"), ("jockey_form", "j90", "DESC"),
+    ("horse_track_win_rate", "ht", "DESC"), ("horse_distance_win_rate", "hd", "DESC"), ("horse_track_distance_win_rate", "htd", "DESC"),
+]
+
+
+@query("post_history_field", f"""WITH {J}, a AS (SELECT result_id, round(avg(spd) FILTER (k <= 5), 9) AS s5, round(avg(rel) FILTER (k <= 5), 9) AS r5 FROM j GROUP BY result_id),
+c AS (SELECT result_id, race_id, (career_starts_before % 7) / 7.0::DOUBLE AS cw, """ + ", ".join(f"round(sum(win) {W90.format(w)} / nullif(sum(st) {W90.format(w)}, 0)::DOUBLE, 9) AS {w[0]}90" for w in ("trainer", "jockey"))
+       + ", " + ", ".join(f"round(sum(CASE WHEN st = 1 THEN win END) OVER ({CW.format(k)}) / nullif(sum(st) OVER ({CW.format(k)}), 0)::DOUBLE, 9) AS {n}" for n, k in (("ht", "racecourse_code"), ("hd", "distance_m"), ("htd", "racecourse_code, distance_m"))) + """ FROM base)
+SELECT c.result_id, round(avg(s5) OVER (PARTITION BY race_id), 6) AS field_avg_recent_speed_last5, round(avg(r5) OVER (PARTITION BY race_id), 6) AS field_avg_recent_relative_finish_last5, """
+       + ", ".join(f"round({c} - avg({c}) OVER (PARTITION BY race_id), 6) + 0.0::DOUBLE AS {n}_vs_field_mean, CASE WHEN {c} IS NOT NULL THEN (rank() OVER (PARTITION BY race_id ORDER BY {c} {o} NULLS LAST))::INT END AS {n}_rank_in_field" for n, c, o in AFTER)
+       + " FROM c JOIN a ON a.result_id = c.result_id")
+def _(spark, d):
+    base = settled(X.base_helpers(runs(spark, d)), "runs")
+    df = X.entity_form(X.entity_form(base, "trainer", "trainer"), "jockey", "jockey", history=base)
+    df = X.context_history(X.horse_history(df, 5), {k: X.CONTEXTS[k] for k in ("track", "distance", "track_distance")})
+    df = df.withColumn("career_win_rate_before", (F.col("career_starts_before") % 7) / 7.0)
+    of = [*[c for c, _, _ in X.RECENT.values()], *X.AFTER_HISTORY.values()]
+    df = X.post_history_field(df.select("result_id", "race_id", *[F.round(c, 9).alias(c) for c in of]))
+    means = [f for _, _, f in X.RECENT.values()] + [f"{n}_vs_field_mean" for n, _, _ in AFTER]
+    return df.select("result_id", *[(r6(F.col(c)) + 0.0).alias(c) for c in means], *[f"{n}_rank_in_field" for n, _, _ in AFTER])
+
+
+@query("horse_context_means", f"WITH {BASE} SELECT result_id, " + ", ".join(f"round(avg(rel) OVER ({CW.format(', '.join(k))}), 6) AS horse_{n}_avg_relative_finish_before, round(avg(spd) OVER ({CW.format(', '.join(k))}), 6) AS horse_{n}_avg_speed_mps_before" for n, k in X.CONTEXTS.items()) + " FROM sp")
 def _(spark, d):
-    # the runs' five-fold contexts are too thin to reach 20 runs
-    return X.context_speed_z(X.base_helpers(runs(spark, d)), context=("racecourse_code", "surface")).select("result_id", r6(F.col("_speed_context_z")).alias("speed_z"))
+    df = X.context_history(X.base_helpers(runs(spark, d)))
+    return df.select("result_id", *[r6(F.col(c)).alias(c) for n in X.CONTEXTS for c in (f"horse_{n}_avg_relative_finish_before", f"horse_{n}_avg_speed_mps_before")])
 
 
 # ---- fields
@@ -305,10 +345,10 @@ def _(spark, d):
     return df.select("result_id", "field_rating_range", *[r6(F.col(c)).alias(c) for c in ("rating_vs_field_mean", "rating_vs_field_median", "carried_weight_vs_field_mean")])
 
 
-@query("draw_flags", f"WITH {RUNS}, p AS (SELECT result_id, CASE WHEN field_size > 1 THEN (draw - 1) / (field_size - 1)::DOUBLE END AS p, draw / field_size::DOUBLE AS n FROM runs) SELECT result_id, round(p, 6) AS draw_percentile, round(n, 6) AS draw_normalized, (p <= 0.33)::INT AS is_inside_draw, (p > 0.33 AND p < 0.67)::INT AS is_middle_draw, (p >= 0.67)::INT AS is_outside_draw FROM p")
+@query("draw_flags", f"WITH {RUNS}, p AS (SELECT result_id, CASE WHEN field_size > 1 THEN (draw - 1) / (field_size - 1)::DOUBLE END AS p, draw / field_size::DOUBLE AS n FROM runs) SELECT result_id, round(p, 6) AS draw_percentile, round(n, 6) AS draw_normalized, (p <= 0.33)::INT AS inside_draw_flag, (p > 0.33 AND p < 0.67)::INT AS middle_draw_flag, (p >= 0.67)::INT AS outside_draw_flag FROM p")
 def _(spark, d):
     df = X.field_features(runs(spark, d))
-    return df.select("result_id", r6(F.col("draw_percentile")).alias("draw_percentile"), r6(F.col("draw_normalized")).alias("draw_normalized"), "is_inside_draw", "is_middle_draw", "is_outside_draw")
+    return df.select("result_id", r6(F.col("draw_percentile")).alias("draw_percentile"), r6(F.col("draw_normalized")).alias("draw_normalized"), "inside_draw_flag", "middle_draw_flag", "outside_draw_flag")
 
 
 @query("distance_and_going_buckets", f"WITH {RUNS} SELECT result_id, CASE WHEN distance_m <= 1200 THEN 'sprint_1200_or_less' WHEN distance_m <= 1400 THEN '1400' WHEN distance_m <= 1650 THEN 'mile_1600_1650' WHEN distance_m <= 2000 THEN 'middle_1800_2000' ELSE 'staying_over_2000' END AS distance_bucket, CASE WHEN going LIKE '%FIRM%' THEN 'firm' WHEN going = 'GOOD' THEN 'good' WHEN going LIKE '%YIELD%' THEN 'yielding' WHEN going LIKE '%SOFT%' THEN 'soft' WHEN going LIKE '%WET%' THEN 'wet' WHEN going LIKE '%FAST%' THEN 'fast' ELSE 'other' END AS going_bucket FROM runs")
@@ -327,10 +367,10 @@ def _(spark, d):
     return X.outcome_helpers(X.base_helpers(runs(spark, d))).select("result_id", r6(F.col("_time_behind_winner_seconds")).alias("behind"))
 
 
-@query("market_overround", f"WITH {RUNS}, i AS (SELECT *, CASE WHEN odds > 0 THEN 1 / odds END AS p FROM runs) SELECT result_id, round(p, 6) AS market_implied_probability, round(coalesce(sum(p) OVER (PARTITION BY race_id), 0), 6) AS market_overround, round(p / nullif(coalesce(sum(p) OVER (PARTITION BY race_id), 0), 0), 6) AS market_normalized_probability, CASE WHEN odds IS NOT NULL THEN (rank() OVER (PARTITION BY race_id ORDER BY odds NULLS LAST))::INT END AS market_rank FROM i")
+@query("market_overround", f"WITH {RUNS}, i AS (SELECT *, CASE WHEN odds > 0 THEN 1 / odds END AS p FROM runs) SELECT result_id, round(p, 6) AS market_implied_probability_raw, round(coalesce(sum(p) OVER (PARTITION BY race_id), 0), 6) AS market_overround, round(p / nullif(coalesce(sum(p) OVER (PARTITION BY race_id), 0), 0), 6) AS market_implied_probability_normalized, CASE WHEN odds IS NOT NULL THEN (rank() OVER (PARTITION BY race_id ORDER BY odds NULLS LAST))::INT END AS market_rank FROM i")
 def _(spark, d):
     df = X.market(runs(spark, d))
-    return df.select("result_id", "market_rank", *[r6(F.col(c)).alias(c) for c in ("market_implied_probability", "market_overround", "market_normalized_probability")])
+    return df.select("result_id", "market_rank", *[r6(F.col(c)).alias(c) for c in ("market_implied_probability_raw", "market_overround", "market_implied_probability_normalized")])
 
 
 @query("time_split_metadata", f"WITH {RUNS} SELECT result_id, coalesce(finishing_position = 1, false)::INT AS ml_target_is_winner, race_id AS ml_group_id, CASE WHEN race_date <= DATE '2024-01-20' THEN 'train' WHEN race_date <= DATE '2024-01-25' THEN 'validation' ELSE 'test' END AS ml_split, 1.0::DOUBLE AS ml_row_weight FROM runs")
@@ -496,15 +536,44 @@ def _(spark, d):
 
 @query("parquet_round_trip", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def _(spark, d):
-    import tempfile
-
     from tidemark.sources.sinks import write_checked
 
-    where = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
-    return write_checked(read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), f"{where}/round_trip_{spark.sparkContext.applicationId}", "zstd")
-
-
-@query("manifest_predictors")
+    return write_checked(read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), f"{shared_dir(spark)}/round_trip_{spark.sparkContext.applicationId}", "zstd")
+
+
+def _built_names() -> list[str]:
+    """The build's columns over runs, by the rules of their names."""
+    kept = "date race_id finish relative_finish margin_lengths finish_time_seconds speed_mps speed_context_z time_behind_winner_seconds distance_m race_class race_class_num horse_rating_before horse_rating_after actual_weight declared_horse_weight draw odds track surface course going jockey trainer field_size field_avg_rating field_max_rating rating_vs_field_mean is_winner is_top_three".split()
+    sums = "avg_finish median_finish best_finish worst_finish finish_std avg_relative_finish avg_margin_lengths avg_speed_mps best_speed_mps speed_std avg_speed_context_z wins top3 win_rate top3_rate".split()
+    pairs = ["horse_jockey", "trainer_jockey", *(f"{w}_{c}" for w in ("trainer", "jockey") for c in ("track", "distance", "class", "surface"))]
+    contexts = "distance track track_distance surface going class distance_surface track_surface".split()
+    total = "starts wins top3 win_rate top3_rate".split()
+    compared = "recent_speed recent_form trainer_form jockey_form horse_track_win_rate horse_distance_win_rate horse_track_distance_win_rate".split()  # runs have no career rates
+    return """result_id race_id race_date race_number race_index horse_id trainer jockey racecourse_code surface course going distance_m race_class horse_rating_before
+        horse_rating_after actual_weight declared_horse_weight draw odds finishing_position margin finish_time field_size career_starts_before prize_money_hkd value
+        distance_bucket going_bucket race_year race_month race_day race_dayofweek race_is_weekend race_season_month hk_season_start_year horse_elo_before
+        field_avg_rating field_median_rating field_max_rating field_min_rating field_rating_std field_rating_range rating_vs_field_mean rating_vs_field_median rating_vs_field_max
+        rating_rank_in_field rating_percentile_in_field draw_normalized draw_percentile inside_draw_flag middle_draw_flag outside_draw_flag horse_elo_rank_in_field
+        horse_elo_vs_field_mean field_avg_carried_weight carried_weight_vs_field_mean carried_weight_rank_in_field field_avg_bodyweight bodyweight_vs_field_mean
+        bodyweight_rank_in_field prior_completed_starts_derived finish_trend_last5 relative_finish_trend_last5 speed_trend_last5 days_since_last_start
+        history_starts_missing_before history_coverage_ratio history_appears_complete_flag distance_change_from_last rating_change_from_last_start_pre
+        rating_change_since_last_official actual_weight_change_from_last bodyweight_change_from_last bodyweight_change_pct_from_last class_number_change_from_last
+        class_drop_flag class_rise_flag track_change_flag surface_change_flag course_change_flag going_change_flag jockey_change_flag trainer_change_flag form_last5_latest_first
+        field_avg_recent_speed_last5 field_avg_recent_relative_finish_last5 ml_target_is_winner ml_group_id ml_split ml_row_weight""".split() + [
+        *(f"last{k}_{c}" for k in range(1, 11) for c in kept), *(f"{c}_last{n}" for n in (3, 5, 10) for c in sums), *(f"starts_last{n}d" for n in (14, 30, 60, 90, 180, 365)),
+        *(f"horse_{c}_{t}_before" for c in contexts for t in (*total, "avg_relative_finish", "avg_speed_mps")), *(f"{p}_{t}_before" for p in pairs for t in total),
+        *(f"{w}_career_{t}" for w in ("trainer", "jockey") for t in ("starts_before_derived", "win_rate_before", "top3_rate_before")),
+        *(f"{w}_{t}_{n}d" for w in ("trainer", "jockey") for n in (30, 90, 180, 365) for t in ("starts", "win_rate", "top3_rate")),
+        *(f"{c}_{t}" for c in compared for t in ("vs_field_mean", "rank_in_field")),
+    ]
+
+
+NEVER = "'result_id', 'race_id', 'race_date', 'finishing_position', 'margin', 'finish_time', 'horse_rating_after', 'odds', 'ml_target_is_winner', 'ml_group_id', 'ml_split', 'ml_row_weight'"
+CATEGORIES = "'racecourse_code', 'race_class', 'going', 'surface', 'course', 'jockey', 'trainer', 'distance_bucket', 'going_bucket', 'form_last5_latest_first'"
+
+
+@query("manifest_predictors", f"""WITH n AS (SELECT unnest([{", ".join(f"'{c}'" for c in _built_names())}]) AS "column")
+SELECT "column", "column" NOT IN ({NEVER}) AS predictor, "column" IN ({CATEGORIES}) OR regexp_full_match("column", 'last[0-9]+_(race_class|track|surface|course|going|jockey|trainer)') AS categorical FROM n""")
 def _(spark, d):
     from tidemark.plans.manifest import predictor_rows
 
@@ -513,7 +582,7 @@ def _(spark, d):
 
 @query("feature_build")
 def _(spark, d):
-    return X.build_features(runs(spark, d), runs(spark, d).where("race_date >= date '2024-01-25'").select("result_id"))
+    return X.build_features(runs(spark, d))
 
 
 FLAGSHIP = f"""WITH {BASE}, w AS (SELECT result_id, coalesce(sum(win) OVER (PARTITION BY horse_id ORDER BY race_date, race_number, race_id, result_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS wins,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CODECS = ("zstd", "snappy", "gzip", "brotli", "none")
@@ -23,25 +23,30 @@ def known_ids(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def write_checked(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
-    """Write to a folder beside ``path``, read it back, check schema and row count, then move it into place."""
+    """Write to a folder beside ``path``, check what can be read back against what was written, then put it in place. The old
+    table is moved aside first and comes back if that fails, so there is one whole table at every time."""
     if codec not in CODECS:
         raise ValueError(f"unknown codec {codec}")
     spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    staged = f"{path}.{uuid.uuid4().hex}.tmp"
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
-    hadoop = jvm.org.apache.hadoop.fs.Path
+    hadoop, mark = spark._jvm.org.apache.hadoop.fs.Path, uuid.uuid4().hex
+    target, staged, aside = hadoop(path), hadoop(f"{path}.{mark}.tmp"), hadoop(f"{path}.{mark}.old")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    written = Observation()
     try:
-        df.write.option("compression", codec).parquet(staged)
-        back = spark.read.parquet(staged)
-        if back.columns != df.columns or back.count() != df.count():
-            raise ValueError(f"what was written to {staged} differs from the table")
-        fs.delete(hadoop(path), True)
-        if not fs.rename(hadoop(staged), hadoop(path)):
-            raise OSError(f"{staged} could not be moved to {path}")
+        df.observe(written, F.count(F.lit(1)).alias("n")).write.option("compression", codec).parquet(staged.toString())
+        back = spark.read.parquet(staged.toString())
+        if back.columns != df.columns or back.count() != written.get["n"]:
+            raise ValueError(f"what was written to {path} differs from the table")
+        was_there = fs.exists(target)
+        if was_there and not fs.rename(target, aside):
+            raise OSError(f"{path} could not be moved aside")
+        if not fs.rename(staged, target):
+            if was_there:
+                fs.rename(aside, target)
+            raise OSError(f"the new table could not be moved to {path}")
+        fs.delete(aside, True)
     finally:
-        if fs.exists(hadoop(staged)):
-            fs.delete(hadoop(staged), True)
+        fs.delete(staged, True)
     return spark.read.parquet(path)
 
 
