@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from tidemark.plans.queries import ORACLES, QUERIES
+from tidemark.plans.registry import ORACLES, QUERIES
 
 
 def rows_of(rows, columns):

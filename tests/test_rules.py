@@ -165,6 +165,30 @@ def test_feature_columns(spark, sf):
     assert "last3_jockey" in categorical and categorical == sorted(categorical)
 
 
+def test_build_job(spark, sf, tmp_path):
+    import json
+
+    from tidemark.plans import build, contracts
+
+    df = runs(spark, sf).where("race_date < date '2024-01-06'").withColumns({"horse_name": F.lit("X"), "is_winner": F.coalesce(F.col("finishing_position") == 1, F.lit(False)).cast("int"), "is_top_three": F.coalesce(F.col("finishing_position") <= 3, F.lit(False)).cast("int")})
+    history, rows, output = (f"file://{tmp_path}/{n}" for n in ("history", "rows", "output"))
+    df.write.parquet(history)
+    df.where("race_date >= date '2024-01-04'").write.parquet(rows)
+    config = build.Config.from_args(["--history", history, "--rows", rows, "--output", output, "--history-lags", "1"])
+    built = build.run(spark, config)
+    assert built.count() == spark.read.parquet(rows).count() > 0
+    made = json.loads((tmp_path / "output.features.json").read_text())
+    assert made["generated_feature_count"] == len(built.columns) - len(df.columns) and "is_winner" not in made["recommended_predictor_columns"]
+    back = contracts.in_emit_order(built, spark.read.parquet(rows).withColumn("place", -F.col("result_id")), "place").select("result_id").collect()
+    assert [r[0] for r in back] == sorted((r[0] for r in back), reverse=True)
+    with pytest.raises(ValueError, match="lacks"):
+        contracts.validate_emit(spark.read.parquet(rows), df)
+    with pytest.raises(ValueError, match="history_ids_repeated"):
+        contracts.validate_emit(df.union(df), df)
+    report = sinks.size_report(spark, history, output)
+    assert report["source_mb"] > 0 and report["reduction_percent"] == pytest.approx(100 * (1 - report["made_mb"] / report["source_mb"]))
+
+
 def test_countries(spark):
     from tidemark.functions import dates
 

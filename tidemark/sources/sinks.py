@@ -17,6 +17,31 @@ def csv_text(spark: SparkSession, path: str, columns: Sequence[str], blank: str
     return df if blank is None else df.na.fill(blank)
 
 
+def csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV with header whose column types are found by reading it; mixed columns are text."""
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
+def write_text(spark: SparkSession, path: str, content: str) -> None:
+    """A small text file in any store that Spark writes to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+
+
+def size_report(spark: SparkSession, source: str, made: str) -> dict[str, float]:
+    """MB of two tables or files, and by how many percent the second is smaller."""
+    def mb(path: str) -> float:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength() / 1e6
+
+    a, b = mb(source), mb(made)
+    return {"source_mb": a, "made_mb": b, "reduction_percent": 100 * (1 - b / a) if a else 0.0}
+
+
 def known_ids(spark: SparkSession, path: str, key: str) -> DataFrame:
     """The distinct non-null keys of a table; only that column is read."""
     return spark.read.parquet(path).select(key).where(F.col(key).isNotNull()).distinct()
