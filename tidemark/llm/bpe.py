@@ -38,6 +38,7 @@ PACKED_WORDS = 400_000
 
 BLOCK = "block long, n long, doc_ids binary, sizes binary, codes binary, words array<string>"
 ENCODED = "doc_id long, ids binary"
+Row = Callable[[np.ndarray, PieceTable], tuple]
 
 
 def squeezed(x: np.ndarray) -> bytes:
@@ -133,19 +134,26 @@ def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
                 found, held = [], 0
         if found:
             yield from packed(found)
+        del found
+        trim()
 
     return words.mapInPandas(encode, "block long, pos binary, n binary, ids binary")
 
 
-def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit) of every row of ``docs`` (doc_id, text)."""
+def _placed(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """The blocks of the documents with the ids of their words."""
     cut = stored(blocks(id_text(docs), tokenizer_path), "word_blocks")
     listed = cut.select("block", F.posexplode("words").alias("pos", "word")).select("word", "block", "pos")
     coded = encode_words(listed.repartition("word").sortWithinPartitions("word"), tokenizer_path)
     joined = coded.groupBy("block").agg(F.collect_list(F.struct("pos", "n", "ids")).alias("coded"))
-    placed = cut.select("block", "n", "doc_ids", "sizes", "codes").join(joined, "block", "left")
+    return cut.select("block", "n", "doc_ids", "sizes", "codes").join(joined, "block", "left")
+
+
+def _of_documents(docs: DataFrame, tokenizer_path: str, row: Row, schema: str) -> DataFrame:
+    """What ``row`` makes of each document's ids, in the task that has put them together."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces = piece_table(tokenizer_path)
         for pdf in batches:
             for n, doc_ids, sizes, codes, coded in zip(pdf["n"].tolist(), pdf["doc_ids"], pdf["sizes"], pdf["codes"], pdf["coded"], strict=True):
                 numbers, none = np.frombuffer(doc_ids, "<i8", n).tolist(), np.frombuffer(doc_ids, np.uint8, n, 8 * n).tolist()
@@ -154,39 +162,70 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 size, start = np.zeros(len(pos), np.int64), np.zeros(len(pos), np.int64)
                 size[pos], start[pos] = count, np.cumsum(count, dtype=np.int64) - count
                 codes, ends = unsqueezed(codes), np.cumsum(unsqueezed(sizes), dtype=np.int64).tolist()
-                out = [gather_array(flat, start, size, codes[a:b]).tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                starts = [0, *ends[:-1]]
                 for at in range(0, n, 2000):
-                    yield pd.DataFrame({"doc_id": pd.array([None if x else i for i, x in zip(numbers[at : at + 2000], none[at : at + 2000], strict=True)], "Int64"), "ids": out[at : at + 2000]})
-                del parts, pos, count, flat, codes, out
+                    some = slice(at, at + 2000)
+                    made = [row(gather_array(flat, start, size, codes[a:b]), pieces) for a, b in zip(starts[some], ends[some], strict=True)]
+                    yield _frame([None if x else i for i, x in zip(numbers[some], none[some], strict=True)], made, schema)
+                del parts, pos, count, flat, codes
         trim()
 
-    return placed.mapInPandas(rows, ENCODED)
+    return _placed(docs, tokenizer_path).mapInPandas(rows, schema)
+
+
+def _frame(doc_ids: list, made: list[tuple], schema: str) -> pd.DataFrame:
+    return pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64")} | {c.split()[0]: [m[k] for m in made] for k, c in enumerate(schema.split(", ")[1:])})
 
 
-def _each(encoded: DataFrame, tokenizer_path: str, row: Callable, schema: str) -> DataFrame:
+def _of_ids(encoded: DataFrame, tokenizer_path: str, row: Row, schema: str) -> DataFrame:
+    """What ``row`` makes of the ids of rows (doc_id, ids)."""
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = piece_table(tokenizer_path)
         for pdf in batches:
-            made = [row(np.frombuffer(x or b"", "<u4"), pieces) for x in pdf["ids"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64")} | {c.split()[0]: [m[k] for m in made] for k, c in enumerate(schema.split(", ")[1:])})
+            yield _frame(pdf["doc_id"].astype("Int64").tolist(), [row(np.frombuffer(x or b"", "<u4"), pieces) for x in pdf["ids"]], schema)
 
     return encoded.select("doc_id", "ids").mapInPandas(rows, schema)
 
 
-def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
-    """doc_id and text of rows (doc_id, ids); bytes that aren't UTF-8 become U+FFFD."""
-    return _each(encoded, tokenizer_path, lambda ids, pieces: (pieces.decode(ids).decode("utf-8", "replace"),), "doc_id long, text string")
+def _ids(ids: np.ndarray, pieces: PieceTable) -> tuple:
+    return (ids.astype("<u4").tobytes(),)
 
 
-def digest(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
-    """n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 of rows (doc_id, ids)."""
+def _text(ids: np.ndarray, pieces: PieceTable) -> tuple:
+    return (pieces.decode(ids).decode("utf-8", "replace"),)
+
+
+def _digest() -> Row:
     decimals: list[tuple] = []
 
     def row(ids: np.ndarray, pieces: PieceTable) -> tuple:
         if not decimals:
             decimals.append(flatten([b"%d," % i for i in range(len(pieces.pieces))]))
         listed = gather_array(*decimals[0], ids)[:-1].tobytes()
-        text = pieces.decode(ids).decode("utf-8", "replace")
-        return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+        return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(_text(ids, pieces)[0].encode()).hexdigest()
+
+    return row
+
+
+DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """doc_id and ids (little-endian unsigned 32-bit) of every row of ``docs`` (doc_id, text)."""
+    return _of_documents(docs, tokenizer_path, _ids, ENCODED)
+
+
+def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
+    """doc_id and text of rows (doc_id, ids); bytes that aren't UTF-8 become U+FFFD."""
+    return _of_ids(encoded, tokenizer_path, _text, "doc_id long, text string")
+
+
+def digest(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
+    """n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 of rows (doc_id, ids)."""
+    return _of_ids(encoded, tokenizer_path, _digest(), DIGEST)
+
 
-    return _each(encoded, tokenizer_path, row, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def encode_and_digest(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """The digest of what ``docs`` are encoded to, of every row, without writing the ids down in between."""
+    return _of_documents(docs, tokenizer_path, _digest(), DIGEST)

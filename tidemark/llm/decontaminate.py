@@ -7,8 +7,12 @@ GRAM-word hashes the smallest is a fingerprint, so a document and an item that s
 1. Documents' fingerprints are joined with the items'. Documents without a common one are done.
 2. Each common fingerprint is extended to the windows around it, and these are joined with the items' windows by their
    words, so hits are exact.
-3. Items shorter than GRAM words would have no fingerprint, and those shorter than WINDOW words no window of that many:
-   their whole word sequences, of at most WINDOW - 1 lengths, are joined with the documents' sequences of those lengths.
+3. Items shorter than WINDOW words have no fingerprint of that many words: the documents' word sequences of their lengths
+   (WINDOW - 1 at most) are hashed in one pass, and those that an item's hash allows are joined with the items' by two
+   independent 64-bit hashes. Up to ``short_in_plan`` such hashes stand in the plan itself, so that a sequence becomes a row
+   only if it is a hit; more are met by a join.
+4. Windows that are in the same items share one item set, and documents that meet the same sets one list of items, so a
+   window in many items and documents isn't multiplied out.
 
 The items' side of a join is broadcast if its counted rows are at most ``broadcast_rows``; beyond that the join shuffles
 on the hash or the words, where AQE splits skewed partitions. No pairs of documents are made. A row of the result per row
@@ -31,6 +35,8 @@ GRAM = 6
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Rows of an items' table up to which it is broadcast: under 50 MB of hashes, or of windows.
 BROADCAST_ROWS = 500_000
+#: Hashes of short items up to which they stand in the plan.
+SHORT_IN_PLAN = 10_000
 
 
 def words(text: Column) -> Column:
@@ -72,7 +78,27 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def hits(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+def _short_hits(docs: DataFrame, short: DataFrame, broadcast_rows: int, short_in_plan: int) -> DataFrame | None:
+    """(doc_id, h, start, size, window) of each occurrence of an item of fewer than WINDOW words."""
+    sizes = [r["size"] for r in short.select("size").distinct().collect()]  # WINDOW - 1 at most
+    if not sizes:
+        return None
+    hashes = lambda w: (F.xxhash64(w), F.xxhash64(F.lit(1), w))
+    x, y = hashes(F.split("window", " "))
+    short = stored(short.select("window", F.col("size").alias("size_2"), x.alias("x_2"), y.alias("y_2")), "short_windows")
+    rows = docs.select("doc_id", "h", words(F.col("text")).alias("w")).withColumn("n", F.size("w"))
+    found = lambda size: lambda i: F.struct(i.alias("start"), F.lit(size).alias("size"), hashes(F.slice("w", i, size))[0].alias("x"))
+    at = F.concat(*[F.transform(_runs(F.col("n"), size), found(size)) for size in sizes])
+    if short.count() <= short_in_plan:
+        known = [r["x_2"] for r in short.select("x_2").distinct().collect()]
+        at = F.filter(at, lambda s: s["x"].isin(known))
+    at = F.transform(at, lambda s: F.struct(s["start"], s["size"], s["x"], hashes(F.slice("w", s["start"], s["size"]))[1].alias("y")))
+    rows = rows.select("doc_id", "h", F.explode(at).alias("s")).select("doc_id", "h", "s.*")
+    same = (F.col("x") == F.col("x_2")) & (F.col("y") == F.col("y_2")) & (F.col("size") == F.col("size_2"))
+    return rows.join(_small(short, broadcast_rows), same).select("doc_id", "h", "start", "size", "window")
+
+
+def hits(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS, short_in_plan: int = SHORT_IN_PLAN) -> tuple[DataFrame, DataFrame]:
     """(doc_id, h, start, size, window) of each occurrence of a window; and (item_id, window, size) of all items."""
     windows = stored(item_windows(items), "item_windows")
     distinct = windows.select("window", "size").distinct()
@@ -93,28 +119,24 @@ def hits(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS
     starts = starts.select("doc_id", "h", "w", F.explode(F.array_distinct(F.flatten(around))).alias("start"))
     tried = starts.select("doc_id", "h", "start", F.lit(WINDOW).alias("size"), F.array_join(F.slice("w", F.col("start"), WINDOW), " ").alias("window"))
     found = tried.join(long_windows, "window").select("doc_id", "h", "start", "size", "window")
+    short = _short_hits(docs, distinct.where(F.col("size") < WINDOW), broadcast_rows, short_in_plan)
+    return (found if short is None else found.unionByName(short)), windows
 
-    for row in distinct.where(F.col("size") < WINDOW).select("size").distinct().collect():  # WINDOW - 1 sizes at most
-        size = row["size"]
-        short = _small(distinct.where(F.col("size") == size).select("window"), broadcast_rows)
-        rows = docs.select("doc_id", "h", words(F.col("text")).alias("w"))
-        rows = rows.select("doc_id", "h", "w", F.explode(_runs(F.size("w"), size)).alias("start"))
-        rows = rows.select("doc_id", "h", "start", F.lit(size).alias("size"), F.array_join(F.slice("w", F.col("start"), size), " ").alias("window"))
-        found = found.unionByName(rows.join(short, "window").select("doc_id", "h", "start", "size", "window"))
-    return found, windows
 
-
-def contamination(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS, short_in_plan: int = SHORT_IN_PLAN) -> DataFrame:
     """doc_id, n_words, n_hit (words inside any occurrence of a window), n_items, item_ids (sorted strings), items_sha256,
     contaminated, and h (hash of the text) for each row of ``docs``."""
-    found, windows = hits(docs, items, broadcast_rows)
-    found = stored(found, "window_hits")
+    found, windows = hits(docs, items, broadcast_rows, short_in_plan)
+    sets = windows.groupBy("window", "size").agg(F.sort_array(F.collect_set("item_id")).alias("ids")).withColumn("of", F.md5(F.to_json("ids")))
+    sets = stored(sets, "item_sets")
+    found = found.join(_small(sets.select("window", "size", "of"), broadcast_rows), ["window", "size"])
     covered = F.array_distinct(F.flatten(F.transform(F.collect_set(F.struct("start", "size")), lambda s: F.sequence(s["start"], s["start"] + s["size"] - 1))))
-    n_hit = found.groupBy("doc_id", "h").agg(F.size(covered).cast("long").alias("n_hit"))
-    listed = found.select("doc_id", "h", "window", "size").distinct().join(windows, ["window", "size"]).select("doc_id", "h", "item_id").distinct()
-    listed = listed.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
-    of = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["h"] == b["h"])
-    both = n_hit.join(listed, of(n_hit, listed)).select(n_hit["doc_id"].alias("hit_id"), n_hit["h"].alias("hit_h"), "n_hit", "item_ids")
+    hit = found.groupBy("doc_id", "h").agg(F.size(covered).cast("long").alias("n_hit"), F.sort_array(F.collect_set("of")).alias("sets"))
+    hit = stored(hit.withColumn("listed", F.md5(F.array_join("sets", ","))), "hit_documents")
+    one = hit.groupBy("listed").agg(F.first("sets").alias("sets")).select("listed", F.explode("sets").alias("of"))
+    ids = sets.groupBy("of").agg(F.first("ids").alias("ids"))
+    ids = one.join(ids, "of").select("listed", F.explode("ids").alias("item_id")).distinct().groupBy("listed").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
+    both = hit.join(ids, "listed").select(F.col("doc_id").alias("hit_id"), F.col("h").alias("hit_h"), "n_hit", "item_ids")
     rows = docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.xxhash64("text").alias("h"))
     rows = rows.join(both, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("h") == F.col("hit_h")), "left")
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))

@@ -11,7 +11,7 @@ from tidemark.llm.common import table
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return bpe.encode_and_digest(table(spark, sf_dir, "documents"), path)
 
 
 QUERIES = {"op6_bpe": op6_bpe}

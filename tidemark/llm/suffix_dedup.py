@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bwt_merge import merge
-from tidemark.llm.common import id_text, sliced, stored, temporary
+from tidemark.llm.common import id_text, sliced, stored, temporary, trim
 
 LENGTH = 100
 GRAM = 32
@@ -319,7 +319,8 @@ def repeats(segments: DataFrame) -> DataFrame:
 
 
 def remove(docs: DataFrame, keep_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, d1, d2 (the text's hashes) and, if wanted, kept (the bytes left)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, d1, d2 (the text's hashes) and, if wanted, kept (the text left: a removed
+    run may end inside a character, and what is left of that character goes too; null where nothing is removed)."""
     spark = docs.sparkSession
     texts = id_text(docs).where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), "text").alias("d2"), "text")
     with temporary(spark) as keep:
@@ -348,11 +349,12 @@ def remove(docs: DataFrame, keep_text: bool = False) -> DataFrame:
                 gone = np.cumsum(gone[:-1]) > 0
                 left = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                 spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
-                rows.append((int(gone.sum()), spans, hashlib.sha256(left).hexdigest(), left if keep_text else None))
+                rows.append((int(gone.sum()), spans, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if keep_text else None))
             columns = ["n_removed", "n_spans", "kept_sha256", "kept"]
             yield pd.concat([pdf[["doc_id", "d1", "d2"]].reset_index(drop=True), pd.DataFrame(rows, columns=columns)], axis=1)
+        trim()
 
-    partly = own.select("doc_id", "d1", "d2", "text").join(ranges, ["doc_id", "d1"]).mapInPandas(cut, "doc_id long, d1 long, d2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    partly = own.select("doc_id", "d1", "d2", "text").join(ranges, ["doc_id", "d1"]).mapInPandas(cut, "doc_id long, d1 long, d2 long, n_removed long, n_spans long, kept_sha256 string, kept string")
     partly = partly.select("doc_id", "d1", "d2", F.struct("n_removed", "n_spans", "kept_sha256", "kept").alias("own")).dropDuplicates(["doc_id", "d1", "d2"])
     rows = stats.join(first, ["d1", "d2"]).join(partly, ["doc_id", "d1", "d2"], "left")
     copy = (F.col("doc_id") != F.col("first_id")) & (F.col("n_bytes") >= LENGTH)
@@ -361,7 +363,7 @@ def remove(docs: DataFrame, keep_text: bool = False) -> DataFrame:
         "doc_id", "n_bytes", F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("own.n_removed", zero)).alias("n_removed"),
         F.when(copy, one).otherwise(F.coalesce("own.n_spans", zero)).alias("n_spans"),
         F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("own.kept_sha256", "sha")).alias("kept_sha256"),
-        "d1", "d2", F.when(copy, F.lit(b"")).otherwise(F.col("own.kept")).alias("kept"),
+        "d1", "d2", F.when(copy, F.lit("")).otherwise(F.col("own.kept")).alias("kept"),
     )
 
 

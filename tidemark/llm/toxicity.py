@@ -35,7 +35,7 @@ from tidemark.llm.common import id_text, sliced, stored, trim
 EXAMPLES = 2000
 K, BLOCK, COMMON, SHRINK = 15, 64, 20, 0.05
 #: Documents, and about how many characters of them, that are looked up together.
-TOGETHER, PART_CHARS = 384, 1_000_000
+TOGETHER, PART_CHARS = 384, 400_000
 
 U = np.uint64
 #: An odd number, so it has an inverse modulo 2 ** 64: a word's hash is a polynomial of its letters in it.
@@ -50,7 +50,7 @@ def letter_table() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-@functools.cache
+@functools.lru_cache(maxsize=2)
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """RADIX ** i and its inverse, for i under n."""
     out = []
@@ -77,7 +77,7 @@ class Words:
         self.letters = np.concatenate([[False], letter_table()[chars], [False]])
         first = np.flatnonzero(~self.letters[:-1] & self.letters[1:])  # places in chars
         self.size = np.flatnonzero(self.letters[:-1] & ~self.letters[1:]) - first
-        room = 1 << max(20, int(len(chars)).bit_length())
+        room = 1 << max(19, int(len(chars)).bit_length())
         up, self.down = powers(room)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((chars.astype(np.uint64) + U(1)) * up[: len(chars)])])
         self.text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(first, np.cumsum([0, *(len(t) + 1 for t in lower)]))))
@@ -319,6 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             for part in parts(pdf["text"]):
                 np.add.at(df, np.concatenate([f for f, _ in feature_counts(part, names.value)]), 1)
             rows += len(pdf)
+        trim()
         met = np.flatnonzero(df)
         yield pd.DataFrame({"feature": [-1], "n": [rows]})
         yield from sliced(pd.DataFrame({"feature": met, "n": df[met]}))
