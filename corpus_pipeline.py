@@ -30,14 +30,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove(docs, keep_text=True).where("n_removed > 0").select(F.struct("doc_id", "d1").alias("document"), F.struct("kept").alias("cut")).distinct()
 
-    @F.pandas_udf("string")
-    def whole_characters(kept):
-        return kept.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
-
     same_text = F.xxhash64(F.coalesce("text", F.lit(""))).alias("d1")
     rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), same_text).alias("document"), F.struct(*docs.columns).alias("row"))
     rows = rows.join(cut, "document", "left")  # in structs, so that no column of docs clashes
-    text = F.when(F.col("cut").isNotNull(), whole_characters("cut.kept")).otherwise(F.col("row.text"))
+    text = F.when(F.col("cut").isNotNull(), F.col("cut.kept")).otherwise(F.col("row.text"))
     rows = rows.select("row", F.col("cut").isNotNull().alias("changed"), text.alias("left"))
     new = {"text": F.col("left")}
     if "n_chars" in docs.columns:
@@ -51,7 +47,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digest(bpe.encode(docs, path), path)
+    return bpe.encode_and_digest(docs, path)
 
 
 STAGES = [
