@@ -189,6 +189,16 @@ def test_build_job(spark, sf, tmp_path):
     assert report["source_mb"] > 0 and report["reduction_percent"] == pytest.approx(100 * (1 - report["made_mb"] / report["source_mb"]))
 
 
+def test_date_range_errors(spark):
+    from tidemark.plans import contracts
+
+    df = spark.createDataFrame([("2024-01-01",), ("2024-01-05 10:00:00",)], "day string")
+    assert contracts.date_range(df, "day", "2024-01-01", "2024-01-04").count() == 1
+    for bad, start, end in ((df, "2024-02-01", "2024-01-01"), (df, "2025-01-01", "2025-01-02"), (df.union(spark.createDataFrame([("x",)], "day string")), "2024-01-01", "2024-01-02")):
+        with pytest.raises(ValueError):
+            contracts.date_range(bad, "day", start, end)
+
+
 def test_countries(spark):
     from tidemark.functions import dates
 

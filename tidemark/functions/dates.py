@@ -59,3 +59,8 @@ def date_parts(day: Column, prefix: str = "race_") -> dict[str, Column]:
         f"{prefix}is_weekend": F.weekday(day).isin(5, 6).cast("int"), f"{prefix}season_month": F.month(day),
         "hk_season_start_year": F.when(F.month(day) >= 9, F.year(day)).otherwise(F.year(day) - 1),
     }
+
+
+def now_text() -> Column:
+    """The time of the query as text, UTC."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -147,6 +147,22 @@ def split_first(c: Column, mark: str, part: int) -> Column:
     return F.trim(F.get(F.split(c, mark, 2), F.lit(part)))
 
 
+def split_last(c: Column, mark: str, part: int) -> Column:
+    """The part before (0) or after (1) the last mark, trimmed; without a mark the whole for either."""
+    at = F.length(c) - F.locate(mark, F.reverse(c)) + 1
+    return F.when(~c.contains(mark), F.trim(c)).otherwise(F.trim(F.substring(c, F.lit(1), at - 1) if part == 0 else F.substring(c, at + 1, F.length(c))))
+
+
+def race_url(site: str, day: Column, code: Column, number: Column) -> Column:
+    """The result page of a race."""
+    return F.concat(F.lit(f"{site}?RaceDate="), F.date_format(day, "yyyy/MM/dd"), F.lit("&Racecourse="), code, F.lit("&RaceNo="), number.cast("string"))
+
+
+def horse_url(site: str, horse_id: Column) -> Column:
+    """The profile page of a horse."""
+    return F.concat(F.lit(f"{site}?HorseId="), horse_id, F.lit("&Option=1"))
+
+
 def name_and_brand(c: Column) -> tuple[Column, Column]:
     """NAME (A123)."""
     form = r"^(.{1,80}?)\s*\(([A-Z]\d{3})\)"

@@ -1,8 +1,9 @@
 """Point-in-time windows. ``order`` always ends in a unique column; day frames take an integer day number.
 
-Row-prior frames hold the rows before, date-prior ones the days before. All are running or bounded aggregates, which the
-window operator streams: memory doesn't grow with a key's rows. Windows whose partition keys start with one column share
-its exchange if the input is dealt by that column first.
+Row-prior frames hold the rows before, date-prior ones the days before. The window operator holds one key's rows at a time
+and spills them beyond a bound, so memory stays bounded, but one key is one task: keys whose rows grow with the input
+(a trainer, say) are counted by day first. Bounded ranges are summed anew as they slide, so they suit rows of days too.
+Windows whose partition keys start with one column share its exchange if the input is dealt by that column first.
 """
 
 from __future__ import annotations

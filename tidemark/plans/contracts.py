@@ -72,3 +72,17 @@ def in_emit_order(built: DataFrame, rows: DataFrame, place: str) -> DataFrame:
     """The built rows in the order of ``rows`` by its column ``place``; ordered at the sink, so it costs one range exchange."""
     order = rows.select("result_id", F.col(place).alias("_place"))
     return built.join(order, "result_id").orderBy("_place").drop("_place")
+
+
+def date_range(df: DataFrame, day: str, start: str, end: str) -> DataFrame:
+    """The rows of the days from start to end. Errors: start after end, days that are no dates, nothing left."""
+    from tidemark.functions.dates import parse_day
+    from tidemark.operators.tables import between_days
+
+    kept = between_days(df.withColumn("_day", parse_day(F.col(day).cast("string"))), "_day", start, end)
+    counts = df.agg(F.count_if(parse_day(F.col(day).cast("string")).isNull()).alias("bad")).first()
+    if counts["bad"]:
+        raise ValueError(f"{counts['bad']} rows whose {day} is no date")
+    if kept.isEmpty():
+        raise ValueError(f"no rows from {start} to {end}")
+    return kept.drop("_day")

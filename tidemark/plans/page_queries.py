@@ -151,3 +151,45 @@ def _(spark, d):
     df = read(spark, d, "customer").select("c_custkey", F.when(F.col("c_nationkey") < len(names), c).alias("c"))
     derived = dates.derived_hemisphere(F.col("c"))
     return df.select("c_custkey", dates.hemisphere(F.col("c")).alias("hemisphere"), derived.alias("derived"), numbers.conflict(derived, F.lit("Northern")).alias("conflict"))
+
+
+@query("race_card_headers", f"""WITH {RUNS} SELECT race_id, race_number, 'CUP - ' || race_id AS race_name, '12:' || lpad(race_number::VARCHAR, 2, '0') AS race_time, CASE WHEN race_number % 2 = 0 THEN 'Sha Tin' ELSE 'Happy Valley' END AS racecourse_name, CASE WHEN race_number % 3 = 0 THEN 'All Weather Track' ELSE 'Turf' END AS surface,
+CASE WHEN race_number % 3 = 0 THEN '' ELSE 'C+3' END AS course, (1000 + 50 * race_number)::INT AS distance_m, 'Good To Firm' AS going, (875000 + race_number)::BIGINT AS prize_money_hkd, CASE WHEN race_number % 5 = 0 THEN '' ELSE '40-0' END AS rating_band, CASE WHEN race_number % 5 = 0 THEN 'G3' ELSE 'C5' END AS race_class FROM runs GROUP BY ALL""")
+def _(spark, d):
+    races, n = runs(spark, d).select("race_id", "race_number").distinct(), F.col("race_number")
+    lit = F.lit
+    html = F.concat(lit("<p>menu, 1000M Turf, Wet</p><h1>Race "), n, lit(" - CUP - "), F.col("race_id"), lit("</h1><p>Saturday, "), F.when(n % 2 == 0, "Sha Tin").otherwise("Happy Valley"), lit(", 12:"), F.lpad(n.cast("string"), 2, "0"), lit("</p><p>"),
+                    F.when(n % 3 == 0, "All Weather Track, ").otherwise('Turf, "C+3" Course, '), 1000 + 50 * n, lit("M, Good To Firm</p><p>Prize Money: $"), F.format_number(875000 + n, 0), F.when(n % 5 == 0, ", -, Group Three").otherwise(", Rating: 40 - 0, Class 5"), lit("</p>"))
+    return P.card_race(P.page_parts(races.select("race_id", html.alias("html")), "html")).drop("strings", "hrefs", "rows")
+
+
+@query("runner_profile_pages", """SELECT c_custkey AS horse_id, (2 + c_custkey % 9)::INT AS horse_age, CASE WHEN c_custkey % 4 = 0 THEN 'Mare' ELSE 'Gelding' END AS horse_sex, CASE WHEN c_custkey % 3 <> 0 THEN (1000 * c_custkey)::BIGINT END AS season_stakes_hkd, (5000 * c_custkey)::BIGINT AS total_stakes_hkd, 'Sire Of ' || c_mktsegment AS sire, 'Dam''s Joy' AS dam FROM customer""")
+def _(spark, d):
+    k, lit = F.col("c_custkey"), F.lit
+    season = F.when(k % 3 != 0, F.concat(lit("<p>Season Stakes* : HK$ "), F.format_number(1000 * k, 0), lit("</p>"))).otherwise("<p>Season Stakes : -</p>")
+    html = F.concat(lit("<p>Country of Origin / Age : NZ / "), 2 + k % 9, lit("</p><p>Colour / Sex : "), F.when(k % 4 == 0, "Mare").otherwise("Bay / Brown / Gelding"), lit("</p><p>Import Type : PP</p>"), season, lit("<p>Total Stakes* : $"), F.format_number(5000 * k, 0),
+                    lit("</p><p>Sire : Sire Of "), F.col("c_mktsegment"), lit("</p><p>Dam : Dam's Joy</p><p>Dam's Sire : Old</p>"))
+    return P.runner_profiles(P.page_parts(read(spark, d, "customer").select(k.alias("horse_id"), html.alias("html")), "html"))
+
+
+@query("names_urls_and_splits", f"""SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'a' ELSE 'a / b' END AS before_last, CASE WHEN s_suppkey % 5 = 0 THEN 'a' ELSE s_suppkey::VARCHAR END AS after_last, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_suppkey || '|x|' || s_nationkey END AS rating_key, s_suppkey % 2 = 0 AS scraped,
+'{SITE}/r?RaceDate=2024/03/01&Racecourse=ST&RaceNo=' || s_suppkey AS race_url, '{SITE}/h?HorseId=H' || s_suppkey || '&Option=1' AS horse_url, 'STAR ' || s_suppkey AS horse, 'B' || lpad((s_suppkey % 1000)::VARCHAR, 3, '0') AS brand FROM supplier""")
+def _(spark, d):
+    from tidemark.functions import text
+
+    k = F.col("s_suppkey")
+    both = F.when(k % 5 == 0, " a ").otherwise(F.concat(F.lit("a / b / "), k))
+    name, brand = text.name_and_brand(F.concat(F.lit("STAR "), k, F.lit(" (B"), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(")")))
+    return read(spark, d, "supplier").select(
+        "s_suppkey", text.split_last(both, "/", 0).alias("before_last"), text.split_last(both, "/", 1).alias("after_last"), text.rating_key(k, F.when(k % 3 != 0, " x ").otherwise(" "), F.col("s_nationkey")).alias("rating_key"),
+        text.is_scraped(F.when(k % 2 == 0, " True").otherwise("no")).alias("scraped"), text.race_url(f"{SITE}/r", F.lit("2024-03-01").cast("date"), F.lit("ST"), k).alias("race_url"), text.horse_url(f"{SITE}/h", F.concat(F.lit("H"), k)).alias("horse_url"), name.alias("horse"), brand.alias("brand"),
+    )
+
+
+@query("lookup_last_wins", f"""WITH {RUNS}, c AS (SELECT horse_id AS h, race_date AS rd, race_number AS rn, 'R' || max(result_id) AS cls, max(result_id)::DOUBLE AS r FROM runs WHERE result_id % 3 = 0 GROUP BY ALL) SELECT result_id, coalesce(cls, race_class) AS race_class, CASE WHEN cls IS NOT NULL THEN r ELSE horse_rating_before END AS horse_rating_before FROM runs LEFT JOIN c ON h = horse_id AND rd = race_date AND rn = race_number""")
+def _(spark, d):
+    df = runs(spark, d)
+    found = df.where("result_id % 3 = 0").select("horse_id", "race_date", "race_number", F.col("result_id").cast("double").alias("r"), F.concat(F.lit("R"), "result_id").alias("cls"), F.col("result_id").alias("seq"))
+    cache = found.unionByName(found.withColumns({"cls": F.lit("old"), "r": F.lit(-1.0), "seq": F.col("seq") - 1}))
+    out = tables.lookup(df, cache, ["horse_id", "race_date", "race_number"], {"race_class": "cls", "horse_rating_before": "r"}, keep_last_by=F.col("seq"))
+    return out.select("result_id", "race_class", "horse_rating_before")

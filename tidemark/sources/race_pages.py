@@ -360,3 +360,44 @@ def race_status(df: DataFrame, requested: Column, prize: Column, n_results: Colu
     """``status`` of each race page: REQUEST_FAILED, SKIP_ZERO_PRIZE, SKIP_NO_RESULTS or OK."""
     out = F.when(~requested, "REQUEST_FAILED").when(prize == 0, "SKIP_ZERO_PRIZE").when(F.coalesce(n_results, F.lit(0)) == 0, "SKIP_NO_RESULTS").otherwise("OK")
     return df.withColumn("status", out)
+
+
+def card_race(df: DataFrame) -> DataFrame:
+    """Page parts with the header of a race card: the first text "Race n - NAME" and the twenty texts from there on, or all
+    texts if there is none; of several texts that say the same thing the last counts."""
+    heading = r"(?i)^Race\s+(\d+)\s*-\s*(.+)$"
+    at = F.array_position(F.transform("strings", lambda s: s.rlike(heading)), True).cast("int")
+    head = F.when(at > 0, F.get("strings", at - 1))
+    df = df.withColumns({"_head": head, "_near": F.when(at > 0, F.slice("strings", F.greatest(at, F.lit(1)), 20)).otherwise(F.col("strings"))})
+    last = lambda keep, value: F.try_element_at(F.transform(F.filter("_near", keep), value), F.lit(-1))
+    found = lambda pattern: lambda s: F.regexp_extract(s, pattern, 1)
+    clock, metres = r"\b(\d{1,2}:\d{2})\b", r"(?i)\b(\d{3,4})\s*M\b"
+    place = lambda s: (s.contains("Sha Tin") | s.contains("Happy Valley")) & s.rlike(clock)
+    going = lambda s: s.rlike(metres) & (s.contains("Turf") | s.contains("All Weather") | s.contains("AWT"))
+    prize = lambda s: s.contains("Prize Money")
+    marks = '["“”]'
+    course = F.regexp_replace(F.trim(last(lambda s: going(s) & s.rlike(r"(?i)[^,\"”]+[\"”]?\s+Course"), found(r"(?i)[\"“]?([^,\"”]+)[\"”]?\s+Course"))), f"^{marks}+|{marks}+$", "")
+    whole = F.array_join("_near", " ")
+    or_whole = lambda rule: F.coalesce(F.nullif(last(prize, rule), F.lit("")), rule(whole), F.lit(""))
+    said = lambda c: F.coalesce(c, F.lit(""))
+    return df.withColumns({
+        "race_number": F.nullif(F.regexp_extract("_head", heading, 1), F.lit("")).try_cast("int"), "race_name": said(text.clean_text(F.regexp_extract("_head", heading, 2))),
+        "race_time": said(last(place, found(clock))), "racecourse_name": last(place, lambda s: F.when(s.contains("Sha Tin"), "Sha Tin").otherwise("Happy Valley")),
+        "surface": said(F.trim(F.get(F.split(last(going, lambda s: s), ","), F.lit(0)))), "course": said(course), "distance_m": last(going, found(metres)).try_cast("int"),
+        "going": said(F.trim(last(lambda s: going(s) & s.contains(","), lambda s: F.element_at(F.split(s, ","), -1)))), "prize_money_hkd": last(prize, text.parse_money),
+        "rating_band": or_whole(text.rating_band), "race_class": or_whole(text.race_class_code),
+    }).drop("_head", "_near")
+
+
+def runner_profiles(df: DataFrame) -> DataFrame:
+    """horse_id, horse_age, horse_sex, season and total stakes, sire and dam of profile pages (page parts with horse_id), each
+    between its own label and the one after it."""
+    df = df.withColumn("_all", text.clean_text(F.array_join("strings", " ")))
+    between = lambda start, stop: text.clean_text(F.regexp_extract("_all", rf"(?i){start}\s*:\s*(.*?)\s+{stop}\s*:", 1))
+    stakes = lambda label: text.parse_money(F.regexp_extract("_all", rf"(?i){label}\*?\s*:\s*((?:HK\s*)?\$\s*[\d,]+)", 1))
+    sex = between(r"Colour\s*/\s*Sex", "Import Type")
+    age = F.nullif(F.regexp_extract(between(r"Country of Origin\s*/\s*Age", r"Colour\s*/\s*Sex"), r"/\s*(\d+)\s*$", 1), F.lit(""))
+    return df.select(
+        "horse_id", age.try_cast("int").alias("horse_age"), text.split_last(sex, "/", 1).alias("horse_sex"), stakes("Season Stakes").alias("season_stakes_hkd"),
+        stakes("Total Stakes").alias("total_stakes_hkd"), between(r"\bSire", "Dam").alias("sire"), between(r"\bDam", "Dam['’]s Sire").alias("dam"),
+    )
