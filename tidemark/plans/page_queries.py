@@ -193,3 +193,15 @@ def _(spark, d):
     cache = found.unionByName(found.withColumns({"cls": F.lit("old"), "r": F.lit(-1.0), "seq": F.col("seq") - 1}))
     out = tables.lookup(df, cache, ["horse_id", "race_date", "race_number"], {"race_class": "cls", "horse_rating_before": "r"}, keep_last_by=F.col("seq"))
     return out.select("result_id", "race_class", "horse_rating_before")
+
+
+@query("html_table_rows", """SELECT n_regionkey AS page_id, 1 AS table_no, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey)::INT AS row_no, n_name || '|' || n_nationkey || '|' AS cells, '/n?id=' || n_nationkey AS link FROM nation
+UNION ALL SELECT DISTINCT n_regionkey, 1, 0, 'Name|Key|', '' FROM nation UNION ALL SELECT DISTINCT n_regionkey, 0, 0, 'menu', '' FROM nation""")
+def _(spark, d):
+    from tidemark.sources.html_rows import table_rows
+
+    row = F.concat(F.lit('<tr><td><a href="/n?id='), "n_nationkey", F.lit('">'), "n_name", F.lit("</a><td> "), "n_nationkey", F.lit(" &nbsp;<td></tr>"))  # end tags of cells left out
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", row.alias("row")))), lambda r: r["row"]), "")
+    html = F.concat(F.lit("<table><tr><td>menu</table><p>x</p><table><tr><th>Name<th>Key<th></tr>"), rows, F.lit("</table>"))
+    found = table_rows(read(spark, d, "nation").groupBy(F.col("n_regionkey").alias("page_id")).agg(html.alias("html")), "page_id", "html")
+    return found.select("page_id", "table_no", "row_no", F.array_join("cells", "|").alias("cells"), F.array_max("links").alias("link"))

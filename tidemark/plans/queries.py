@@ -489,7 +489,7 @@ def _(spark, d):
     return read(spark, d, "pages").select("page_id", text.id_from_link(u, "page").alias("raw_page"), text.id_from_url(u, "ref").alias("ref"))
 
 
-@query("url_with_option")
+@query("url_with_option", r"""SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) || '?' || array_to_string(list_append(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(lower(p), '^page(=|$)')), 'page=1'), '&') || regexp_extract(url, '(#.*)$', 1) AS url FROM pages""")
 def _(spark, d):
     return read(spark, d, "pages").select("page_id", text.with_query_option(F.col("url"), "page", "1").alias("url"))
 
@@ -527,13 +527,6 @@ def _(spark, d):
     return read(spark, d, "pages").select("page_id", title(h).alias("raw_title"), links(h).alias("n_links"))
 
 
-@query("html_table_rows")
-def _(spark, d):
-    from tidemark.sources.html_rows import table_rows
-
-    return table_rows(read(spark, d, "pages"), "page_id", "html")
-
-
 @query("parquet_round_trip", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def _(spark, d):
     from tidemark.sources.sinks import write_checked
