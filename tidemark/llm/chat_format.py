@@ -45,7 +45,11 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
 
 def maximal(conversations: DataFrame) -> DataFrame:
     """conv_id, n_turns, n_copies of the conversations that no longer one begins with."""
-    hashes = stored(prefix_hashes(numbered_turns(conversations)), "prefix_hashes")
+    return _maximal(numbered_turns(conversations))
+
+
+def _maximal(turns: DataFrame) -> DataFrame:
+    hashes = stored(prefix_hashes(turns), "prefix_hashes")
     key = ["n", "h1", "h2"]
     whole = hashes.where("last").groupBy(*key).agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_copies"))
     inner = hashes.where("not last").select(*key).distinct()
@@ -58,8 +62,8 @@ def rendered_turn(role: Column, text: Column) -> Column:
 
 def render(conversations: DataFrame) -> DataFrame:
     """conv_id, n_turns, n_copies, text (all turns rendered) of the maximal conversations."""
-    kept = maximal(conversations)
-    turns = numbered_turns(conversations).join(kept, "conv_id")
+    numbered = stored(numbered_turns(conversations), "numbered_turns")
+    turns = numbered.join(_maximal(numbered), "conv_id")
     parts = F.array_sort(F.collect_list(F.struct("n", rendered_turn(F.col("role"), F.col("text")).alias("part"))))
     whole = turns.groupBy("conv_id").agg(F.first("n_turns").alias("n_turns"), F.first("n_copies").alias("n_copies"), parts.alias("parts"))
     return whole.select("conv_id", "n_turns", "n_copies", F.array_join("parts.part", "").alias("text"))
