@@ -28,11 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, stored, trim
+from tidemark.llm.common import id_text, stored_in_buckets, trim
 from tidemark.llm.words_bpe import PieceTable, flatten, gather_array, piece_table, pieces_of
 
-#: Characters of a block.
-BLOCK_CHARS = 8_000_000
+#: Characters of a block: the more, the fewer words are sent again by other blocks.
+BLOCK_CHARS = 32_000_000
+#: A block is numbered by its task and its place in the task (up to 2 ** SEQUENCE_BITS blocks of one task), and a word by its
+#: block and its place there, in one number of 63 bits: 2 ** 20 tasks, 2 ** 16 blocks of a task, 2 ** 27 distinct words a block.
+SEQUENCE_BITS, PLACE_BITS = 16, 27
 #: Words whose ids are packed together.
 PACKED_WORDS = 400_000
 
@@ -73,17 +76,18 @@ class Block:
         self.codes.append(np.fromiter(map(self.number.__getitem__, words), np.uint32, len(words)))
 
     def row(self, block: int) -> pd.DataFrame:
-        words = sorted(self.number)  # neighbours share beginnings: they compress well
-        place = np.empty(len(words), np.uint32)
-        place[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))] = np.arange(len(words), dtype=np.uint32)
+        if len(self.number) >> PLACE_BITS:
+            raise ValueError("too many distinct words in one block")
+        # numbered as they come, so common words have small numbers and those met once run on: they take little room
+        codes = squeezed(np.concatenate(self.codes))
         ids = np.array([0 if i is None else i for i in self.ids], "<i8").tobytes() + np.array([i is None for i in self.ids], np.uint8).tobytes()
         sizes = np.fromiter(map(len, self.codes), np.uint32, len(self.codes))
-        return pd.DataFrame([{"block": block, "n": len(self.ids), "doc_ids": ids, "sizes": squeezed(sizes), "codes": squeezed(place[np.concatenate(self.codes)]), "words": words}])
+        return pd.DataFrame([{"block": block, "n": len(self.ids), "doc_ids": ids, "sizes": squeezed(sizes), "codes": codes, "words": list(self.number)}])
 
 
 def blocks(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces, number = pieces_of(tokenizer_path), TaskContext.get().partitionId() << 32
+        pieces, number = pieces_of(tokenizer_path), TaskContext.get().partitionId() << SEQUENCE_BITS
         block, chars = Block(), 0
         for pdf in batches:
             for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"], strict=True):
@@ -101,8 +105,8 @@ def blocks(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
-    """words: (word, block, pos), equal words in one partition, one after the other. Gives (block, coded): positions, numbers
-    of ids and ids of many words."""
+    """words: (word, place: block and position in it), equal words in one partition, one after the other. Gives (block, pos, n,
+    ids): positions, numbers of ids and ids of many words."""
 
     def packed(found: list[tuple[np.ndarray, np.ndarray, list[list[int]], np.ndarray]]) -> Iterator[pd.DataFrame]:
         block, pos = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
@@ -127,7 +131,8 @@ def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
             known = [last[1]] if last and distinct[0] == last[0] else []  # goes on from the batch before
             ids = known + pieces.encode(distinct[len(known) :])
             last = distinct[-1], ids[-1]
-            found.append((pdf["block"].to_numpy(), pdf["pos"].to_numpy(), ids, np.cumsum(new) - 1))
+            place = pdf["place"].to_numpy()
+            found.append((place >> PLACE_BITS, place & (1 << PLACE_BITS) - 1, ids, np.cumsum(new) - 1))
             held += len(pdf)
             if held >= PACKED_WORDS:
                 yield from packed(found)
@@ -141,12 +146,13 @@ def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def _placed(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """The blocks of the documents with the ids of their words."""
-    cut = stored(blocks(id_text(docs), tokenizer_path), "word_blocks")
-    listed = cut.select("block", F.posexplode("words").alias("pos", "word")).select("word", "block", "pos")
+    """The blocks of the documents with the ids of their words. The blocks lie in buckets, so only words and ids are shuffled."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = stored_in_buckets(blocks(id_text(docs), tokenizer_path), "word_blocks", "block", n)
+    listed = cut.select("block", F.posexplode("words").alias("pos", "word")).select("word", (F.shiftleft("block", PLACE_BITS) + F.col("pos")).alias("place"))
     coded = encode_words(listed.repartition("word").sortWithinPartitions("word"), tokenizer_path)
-    joined = coded.groupBy("block").agg(F.collect_list(F.struct("pos", "n", "ids")).alias("coded"))
-    return cut.select("block", "n", "doc_ids", "sizes", "codes").join(joined, "block", "left")
+    joined = coded.repartition(n, "block").groupBy("block").agg(F.collect_list(F.struct("pos", "n", "ids")).alias("coded"))
+    return cut.select("block", "n", "doc_ids", "sizes", "codes").join(joined.hint("merge"), "block", "left")
 
 
 def _of_documents(docs: DataFrame, tokenizer_path: str, row: Row, schema: str) -> DataFrame:
