@@ -304,7 +304,7 @@ AFTER = [
 c AS (SELECT result_id, race_id, (career_starts_before % 7) / 7.0::DOUBLE AS cw, """ + ", ".join(f"round(sum(win) {W90.format(w)} / nullif(sum(st) {W90.format(w)}, 0)::DOUBLE, 9) AS {w[0]}90" for w in ("trainer", "jockey"))
        + ", " + ", ".join(f"round(sum(CASE WHEN st = 1 THEN win END) OVER ({CW.format(k)}) / nullif(sum(st) OVER ({CW.format(k)}), 0)::DOUBLE, 9) AS {n}" for n, k in (("ht", "racecourse_code"), ("hd", "distance_m"), ("htd", "racecourse_code, distance_m"))) + """ FROM base)
 SELECT c.result_id, round(avg(s5) OVER (PARTITION BY race_id), 6) AS field_avg_recent_speed_last5, round(avg(r5) OVER (PARTITION BY race_id), 6) AS field_avg_recent_relative_finish_last5, """
-       + ", ".join(f"round({c} - avg({c}) OVER (PARTITION BY race_id), 6) + 0.0::DOUBLE AS {n}_vs_field_mean, CASE WHEN {c} IS NOT NULL THEN (rank() OVER (PARTITION BY race_id ORDER BY {c} {o} NULLS LAST))::INT END AS {n}_rank_in_field" for n, c, o in AFTER)
+       + ", ".join(f"round({c} - avg({c}) OVER (PARTITION BY race_id) + 3.3e-11, 6) + 0.0::DOUBLE AS {n}_vs_field_mean, CASE WHEN {c} IS NOT NULL THEN (rank() OVER (PARTITION BY race_id ORDER BY {c} {o} NULLS LAST))::INT END AS {n}_rank_in_field" for n, c, o in AFTER)
        + " FROM c JOIN a ON a.result_id = c.result_id")
 def _(spark, d):
     base = settled(X.base_helpers(runs(spark, d)), "runs")
@@ -313,8 +313,9 @@ def _(spark, d):
     df = df.withColumn("career_win_rate_before", (F.col("career_starts_before") % 7) / 7.0)
     of = [*[c for c, _, _ in X.RECENT.values()], *X.AFTER_HISTORY.values()]
     df = X.post_history_field(df.select("result_id", "race_id", *[F.round(c, 9).alias(c) for c in of]))
+    # of inputs of 9 digits many differences lie between two numbers of 6 digits: a hair more on both sides decides these
     means = [f for _, _, f in X.RECENT.values()] + [f"{n}_vs_field_mean" for n, _, _ in AFTER]
-    return df.select("result_id", *[(r6(F.col(c)) + 0.0).alias(c) for c in means], *[f"{n}_rank_in_field" for n, _, _ in AFTER])
+    return df.select("result_id", *[(r6(F.col(c) + (3.3e-11 if c.endswith("mean") else 0.0)) + 0.0).alias(c) for c in means], *[f"{n}_rank_in_field" for n, _, _ in AFTER])
 
 
 @query("horse_context_means", f"WITH {BASE} SELECT result_id, " + ", ".join(f"round(avg(rel) OVER ({CW.format(', '.join(k))}), 6) AS horse_{n}_avg_relative_finish_before, round(avg(spd) OVER ({CW.format(', '.join(k))}), 6) AS horse_{n}_avg_speed_mps_before" for n, k in X.CONTEXTS.items()) + " FROM sp")
