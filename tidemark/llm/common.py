@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
 import ctypes
 import gc
 import shutil
@@ -38,16 +39,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-#: Paths of the tables written inside the open ``recorded`` blocks, innermost last.
-_RECORDS: list[list[str]] = []
+#: Paths of the tables written inside the open ``recorded`` blocks, innermost last. Each thread has its own: operators that
+#: run side by side in one driver don't see each other's tables.
+_RECORDS: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("tidemark_records", default=())
+
+
+def _note(paths: list[str]) -> None:
+    """Tell the innermost open block of tables that were written."""
+    for own in _RECORDS.get()[-1:]:
+        own.extend(paths)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives a lost executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    if _RECORDS:
-        _RECORDS[-1].append(path)
+    _note([path])
     _forget_at_exit(df.sparkSession, path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
@@ -60,8 +67,7 @@ def stored_in_buckets(df: DataFrame, name: str, column: str, n: int) -> DataFram
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     table = f"tidemark_{name}_{uuid.uuid4().hex}"
     df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, column).saveAsTable(table)
-    if _RECORDS:
-        _RECORDS[-1].append(path)
+    _note([path])
     _forget_at_exit(spark, path)
     out = spark.table(table)
     spark.sql(f"DROP TABLE {table}")
@@ -85,13 +91,13 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
 @contextlib.contextmanager
 def recorded() -> Iterator[list[str]]:
     """Collects the paths of the tables stored in the block."""
-    _RECORDS.append([])
+    own: list[str] = []
+    opened = _RECORDS.set((*_RECORDS.get(), own))
     try:
-        yield _RECORDS[-1]
+        yield own
     finally:
-        own = _RECORDS.pop()
-        if _RECORDS:
-            _RECORDS[-1].extend(own)
+        _RECORDS.reset(opened)
+        _note(own)
 
 
 @contextlib.contextmanager
@@ -104,14 +110,14 @@ def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]
         kept.add(df._tidemark_path)
         return df
 
-    _RECORDS.append([])
+    own: list[str] = []
+    opened = _RECORDS.set((*_RECORDS.get(), own))
     try:
         yield keep
     finally:
-        own = _RECORDS.pop()
+        _RECORDS.reset(opened)
         discard(spark, [p for p in own if p not in kept])
-        if _RECORDS:
-            _RECORDS[-1].extend(p for p in own if p in kept)
+        _note([p for p in own if p in kept])
         spark._jvm.System.gc()
 
 
