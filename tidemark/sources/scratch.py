@@ -13,10 +13,13 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a folder of our own where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or on one machine a folder of our own where that
+    is unset."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("a cluster needs spark.checkpoint.dir, a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="tidemark-")
