@@ -265,8 +265,9 @@ def mine(vectors: DataFrame, is_anchor, positives: int = 5, negatives: int = 10,
         pivots = stored(pivots_of(vectors), "pivots")
         rows = stored(with_distances(vectors, pivots), "pivot_table")
         tiles = stored(packed(rows, TILE_ROWS, parts), "tiles")
-        n_tiles = tiles.count()
-        groups = max(1, min(parts, n_tiles // 4), n_tiles // GROUP_TILES)
+        size = tiles.agg(F.count("*").alias("tiles"), F.sum("n").alias("rows")).first()
+        # by rows, so that many small tiles don't make many groups, each with lists of its own
+        groups = max(1, min(parts, (size["rows"] or 0) // (4 * TILE_ROWS)), size["tiles"] // GROUP_TILES)
 
         first = F.min(F.struct("label", "dim", "embedding"))
         anchors = vectors.where(is_anchor).groupBy("vec_id").agg(first.alias("row")).select("vec_id", "row.label", "row.dim", "row.embedding")
