@@ -59,13 +59,20 @@ def replace_by_key(df: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return df.join(new.select(key).distinct(), key, "left_anti").select(*df.columns).unionByName(new.select(*df.columns))
 
 
-def merge_records(old: DataFrame, new: DataFrame, key: str, always: Sequence[str] = ()) -> DataFrame:
-    """Upsert by key: non-blank new values win, the columns ``always`` are replaced whenever there is a new record."""
-    o = old.select(*[F.col(c).alias(f"_o_{c}") for c in old.columns])
-    n = new.select(*[F.col(c).alias(f"_n_{c}") for c in old.columns], F.lit(True).alias("_new"))
+def merge_records(old: DataFrame, new: DataFrame, key: str, always: Sequence[str] = (), accept: Column | None = None) -> DataFrame:
+    """Upsert by key: non-blank new values win, the columns ``always`` are replaced whenever there is a new record. A known
+    key's record is left as it is where ``accept``, a condition on the new one, doesn't hold; an unknown key's record always comes."""
+    o = old.select(*[F.col(c).alias(f"_o_{c}") for c in old.columns], F.lit(True).alias("_old"))
+    taken = F.lit(True) if accept is None else F.coalesce(accept, F.lit(False))
+    n = new.select(*[F.col(c).alias(f"_n_{c}") for c in old.columns], taken.alias("_new"))
     both = o.join(n, F.col(f"_o_{key}") == F.col(f"_n_{key}"), "full")
     blank = lambda c: F.trim(c.cast("string")) == ""
-    value = lambda c: F.when(F.col("_new"), F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}")) if c in always else F.coalesce(F.when(~blank(F.col(f"_n_{c}")), F.col(f"_n_{c}")), F.col(f"_o_{c}"))
+
+    def value(c: str) -> Column:
+        mine, theirs = F.col(f"_o_{c}"), F.col(f"_n_{c}")
+        merged = theirs if c in always else F.coalesce(F.when(~blank(theirs), theirs), mine)
+        return F.when(F.col("_old").isNull() | F.col("_new"), merged).otherwise(mine)
+
     return both.select(*[value(c).alias(c) for c in old.columns])
 
 
