@@ -136,24 +136,28 @@ def _known(names: Column) -> Column:
     return F.size(F.array_distinct(F.filter(names, lambda n: n.isNotNull())))
 
 
-def _with_table(df: DataFrame, chosen: Column) -> DataFrame:
-    """Only the rows of the chosen table; pages without one go."""
-    df = df.withColumn("_table", chosen).where(F.col("_table").isNotNull())
-    return df.withColumn("rows", F.filter("rows", lambda r: r["table_no"] == F.col("_table"))).drop("_table")
+def _of_table(chosen: Column) -> Column:
+    """The rows of the table of that number; null if there is none."""
+    return within(chosen, lambda t: F.when(t.isNotNull(), F.filter("rows", lambda r: r["table_no"] == t)))
+
+
+def within(value: Column, then) -> Column:
+    """``then`` of a value that is made once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def _best_header(rows: Column, headers: dict[str, tuple[str, ...]], normalise) -> Column:
-    """The names of the row that knows most of them, the first of equal ones."""
-    scored = F.transform(rows, lambda r, i: F.struct(_known(_names(r, headers, normalise)).alias("score"), (-i).alias("place"), _names(r, headers, normalise).alias("names")))
-    return F.array_max(F.transform(scored, lambda s: F.struct(s["score"], s["place"], F.transform(s["names"], lambda n: F.coalesce(n, F.lit(""))).alias("names"))))["names"]
+    """The names of the row that knows most of them, the first of equal ones; "" for cells without a name."""
+    named = lambda n, i: F.struct(_known(n).alias("score"), (-i).alias("place"), F.transform(n, lambda x: F.coalesce(x, F.lit(""))).alias("names"))
+    return F.array_max(F.transform(rows, lambda r, i: within(_names(r, headers, normalise), lambda n: named(n, i))))["names"]
 
 
-def _cell(name: str, last: bool = False) -> Column:
+def _cell(name: str, last: bool = False, data: Column | None = None) -> Column:
     """The data cell under a header; null where the row has none."""
-    at = F.array_position("header", name)
+    at, data = F.array_position("header", name), F.col("data") if data is None else data
     if last:
         at = F.when(at > 0, F.size("header") + 1 - F.array_position(F.reverse("header"), name)).otherwise(F.lit(0))
-    return F.when((at > 0) & (at <= F.size("data")), F.get(F.col("data"), (at - 1).cast("int")))
+    return F.when((at > 0) & (at <= F.size(data)), F.get(data, (at - 1).cast("int")))
 
 
 def _text(name: str, last: bool = False) -> Column:
@@ -161,16 +165,17 @@ def _text(name: str, last: bool = False) -> Column:
 
 
 def _data_rows(df: DataFrame) -> DataFrame:
-    """A row a table row with td cells: row_no and data."""
-    out = df.select(*[c for c in df.columns if c != "rows"], F.posexplode("rows").alias("row_no", "_row"))
+    """A row a table row with td cells: row_no and data. Pages without rows are left to an outer explode: a condition on them
+    would be pushed down, and the arrays be made twice."""
+    out = df.select(*[c for c in df.columns if c != "rows"], F.posexplode_outer("rows").alias("row_no", "_row"))
     out = out.withColumn("data", F.filter(F.col("_row")["cells"], lambda c: ~c["head"]))
     return out.where(F.size("data") > 0).drop("_row")
 
 
-def _horse_link(first_in: Column) -> Column:
+def _horse_link(first_in: Column, data: Column | None = None) -> Column:
     """The first link to a horse in a cell, else in the row."""
     horses = lambda links: F.get(F.filter(links, lambda a: F.lower(a["href"]).contains("horse")), F.lit(0))
-    return F.coalesce(horses(first_in["links"]), horses(F.flatten(F.transform("data", lambda c: c["links"]))))
+    return F.coalesce(horses(first_in["links"]), horses(F.flatten(F.transform("data" if data is None else data, lambda c: c["links"]))))
 
 
 def absolute(href: Column, site: str) -> Column:
@@ -199,7 +204,7 @@ def race_header(df: DataFrame) -> DataFrame:
     first), rating band (the first), prize (the last), going, course, name and surface; each null or "" if it isn't said."""
     marked = lambda c: F.array_contains(F.split(c, r"\s+"), "race_tab")
     found = F.filter("rows", lambda r: marked(r["own"]) | marked(r["around"]))
-    df = df.withColumn("_head", F.filter(found, lambda r: r["table_no"] == F.get(found, F.lit(0))["table_no"]))
+    df = df.withColumn("_head", within(found, lambda rows: within(F.get(rows, F.lit(0))["table_no"], lambda t: F.filter(rows, lambda r: r["table_no"] == t))))
     df = df.withColumn("_lines", F.transform("_head", lambda r: F.transform(r["cells"], lambda c: text.clean_text(c["text"]))))
     df = df.withColumns({"_cells": F.flatten("_lines"), "_all": F.array_join(F.flatten("_lines"), " ")})
     each = lambda pattern, group=1: F.filter(F.transform("_cells", lambda c: F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))), lambda x: x.isNotNull())
@@ -221,22 +226,35 @@ def race_header(df: DataFrame) -> DataFrame:
     }).drop("_head", "_lines", "_cells", "_all")
 
 
-def results(df: DataFrame, site: str) -> DataFrame:
-    """Runner rows of result pages: page parts with race_id. The table of class "performance", or the first inside an element
-    of that class; five known headers and all core ones are needed; rows with a horse's id or number are runners."""
+def with_runners(df: DataFrame) -> DataFrame:
+    """Page parts with ``header``, the names of the columns of the result table, and ``runners``, its rows (row_no, data) with a
+    horse's id or number. The table of class "performance", or the first inside an element of that class; five known headers
+    and all core ones are needed. Both are null on a page without such a table."""
     marked = lambda c: F.array_contains(F.split(c, r"\s+"), "performance")
     ranked = F.transform(F.filter("rows", lambda r: marked(r["own"]) | marked(r["around"])), lambda r: F.struct((~marked(r["own"])).alias("inside"), r["table_no"].alias("table_no")))
-    df = _with_table(df, F.array_min(ranked)["table_no"])
-    df = df.withColumn("header", _best_header(F.col("rows"), RESULT_HEADERS, text.normalise_header))
-    df = df.where((_known(F.filter("header", lambda n: n != "")) >= 5) & (F.size(F.array_intersect("header", F.array(*map(F.lit, RESULT_CORE)))) == len(RESULT_CORE)))
-    rows = _data_rows(df.select("race_id", "header", "rows"))
+    complete = lambda h: (_known(F.filter(h, lambda n: n != "")) >= 5) & (F.size(F.array_intersect(h, F.array(*map(F.lit, RESULT_CORE)))) == len(RESULT_CORE))
+    df = df.withColumn("_table", _of_table(F.array_min(ranked)["table_no"]))
+    df = df.withColumn("header", within(_best_header(F.col("_table"), RESULT_HEADERS, text.normalise_header), lambda h: F.when(complete(h), h)))
+    data = F.transform("_table", lambda r, i: F.struct(i.alias("row_no"), F.filter(r["cells"], lambda c: ~c["head"]).alias("data")))
+
+    def runs(data: Column) -> Column:
+        horse = _horse_link(_cell("horse", data=data), data)
+        number = text.parse_integer(text.clean_text(_cell("horse_number", data=data)["text"]))
+        return (F.size(data) > 0) & ((F.coalesce(text.id_from_link(horse["href"]), F.lit("")) != "") | number.isNotNull())
+
+    return df.withColumn("runners", F.when(F.col("header").isNotNull(), F.filter(data, lambda r: runs(r["data"])))).drop("_table")
+
+
+def runner_rows(df: DataFrame, site: str) -> DataFrame:
+    """The runners of pages (race_id, header, runners) as rows."""
+    rows = df.select("race_id", "header", F.size("runners").alias("field_size"), F.explode_outer("runners").alias("_runner"))
+    rows = rows.select("race_id", "header", "field_size", "_runner.row_no", "_runner.data").where("row_no is not null")
     rows = rows.withColumn("link", _horse_link(_cell("horse")))
     rows = rows.withColumns({"horse_id": F.coalesce(text.id_from_link(F.col("link")["href"]), F.lit("")), "horse_number": text.parse_integer(_text("horse_number"))})
-    rows = rows.where((F.col("horse_id") != "") | F.col("horse_number").isNotNull())
     position = text.parse_integer(_text("finishing_position"))
     return rows.select(
         F.concat_ws("_", "race_id", F.coalesce(F.nullif("horse_id", F.lit("")), F.col("horse_number").cast("string"))).alias("result_id"), "race_id", "row_no",
-        F.count(F.lit(1)).over(Window.partitionBy("race_id")).cast("int").alias("field_size"), "horse_id", "horse_number",
+        "field_size", "horse_id", "horse_number",
         F.coalesce(text.clean_text(F.col("link")["text"]), F.lit("")).alias("_linked"), _text("horse").alias("_shown"), position.alias("finishing_position"),
         F.coalesce(position == 1, F.lit(False)).alias("is_winner"), F.coalesce(position <= 3, F.lit(False)).alias("is_top_three"), _text("jockey").alias("jockey"), _text("trainer").alias("trainer"),
         text.parse_integer(_text("actual_weight")).alias("actual_weight"), text.parse_integer(_text("declared_horse_weight")).alias("declared_horse_weight"), text.parse_integer(_text("draw")).alias("draw"),
@@ -245,6 +263,11 @@ def results(df: DataFrame, site: str) -> DataFrame:
     ).withColumn("horse_name", F.when(F.col("_has_link"), F.col("_linked")).otherwise(F.col("_shown"))).drop("_linked", "_shown", "_has_link")
 
 
+def results(df: DataFrame, site: str) -> DataFrame:
+    """Runner rows of result pages: page parts with race_id. A page is one race: its runners are the field."""
+    return runner_rows(with_runners(df), site)
+
+
 def header_rating(whole: Column) -> Column:
     """The last rating, else the current one."""
     said = lambda label: F.nullif(F.regexp_extract(whole, rf"(?i)\b{label}\s*:\s*(-?\d+)", 1), F.lit("")).try_cast("int")
@@ -257,7 +280,7 @@ def rating_history(df: DataFrame) -> DataFrame:
     one that the page's head says."""
     # the header row of a table is its best one, and the last of equal spellings is its column
     complete = lambda r: _known(_names(r, FORM_HEADERS, text.normalise_header)) == len(FORM_HEADERS)
-    df = _with_table(df, F.get(F.filter("rows", complete), F.lit(0))["table_no"])
+    df = df.withColumn("rows", _of_table(F.get(F.filter("rows", complete), F.lit(0))["table_no"]))
     df = df.withColumns({"header": _best_header(F.col("rows"), FORM_HEADERS, text.normalise_header), "latest": header_rating(F.array_join("strings", " "))})
     rows = _data_rows(df.select("horse_id", "header", "latest", "rows"))
     rows = rows.select(
@@ -311,10 +334,11 @@ def starters(df: DataFrame, site: str) -> DataFrame:
     the one that says most stays, the first of equal ones."""
     texts = lambda r: F.transform(r["cells"], lambda c: card_header(c["text"]))
     known = lambda r: F.size(F.array_intersect(texts(r), F.array(*map(F.lit, CARD_FINGERPRINT)))) == len(CARD_FINGERPRINT)
-    df = _with_table(df, F.get(F.filter("rows", known), F.lit(0))["table_no"])
-    df = df.withColumn("_at", F.array_position(F.transform("rows", known), True).cast("int"))
-    names = F.transform(_names(F.get("rows", F.col("_at") - 1), CARD_HEADERS, card_header), lambda n: F.coalesce(n, F.lit("")))
-    df = df.withColumns({"header": names, "rows": F.slice("rows", F.col("_at") + 1, F.size("rows"))})
+    places = F.filter(F.transform("rows", lambda r, i: F.struct(i.alias("i"), known(r).alias("known"))), lambda p: p["known"])
+    df = df.withColumn("_at", F.get(places, F.lit(0))["i"])
+    names = F.transform(_names(F.get("rows", F.col("_at")), CARD_HEADERS, card_header), lambda n: F.coalesce(n, F.lit("")))
+    after = within(F.col("_at"), lambda at: within(F.get("rows", at)["table_no"], lambda t: F.filter("rows", lambda r, i: (r["table_no"] == t) & (i > at))))
+    df = df.withColumns({"header": names, "rows": F.when(F.col("_at").isNotNull(), after)})
     rows = _data_rows(df.select("race_id", "header", "rows")).withColumn("link", _horse_link(_cell("horse_name")))
     number = text.parse_int(_text("horse_number"))
     url = absolute(F.col("link")["href"], site)
