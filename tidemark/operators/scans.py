@@ -94,7 +94,7 @@ def in_order(df: DataFrame, order: Sequence[str], name: str = "ordinal", blocks:
     """A dense number from 0 in the order given, over the whole table, without a window over it: range partitions, their
     counts, the counts' running total (a row a block), and the place in the partition. Written files keep the order."""
     rows = in_blocks(df, [], order, "ordered", blocks)
-    first = rows.groupBy(BLOCK).agg(F.count("*").alias("_n"), F.min(PLACE).alias("_first"))
-    start = first.select(F.col(BLOCK).alias("_b"), "_first", (F.sum("_n").over(W._spec([], [BLOCK])) - F.col("_n")).alias("_start"))
-    numbered_rows = rows.join(F.broadcast(start), F.col(BLOCK) == F.col("_b"))
-    return numbered_rows.select(*df.columns, (F.col("_start") + F.col(PLACE) - F.col("_first")).alias(name))
+    first = rows.groupBy(BLOCK).agg(F.count("*").alias("_of_n"), F.min(PLACE).alias("_of_first"))
+    start = first.select(F.col(BLOCK).alias("_of_block"), "_of_first", (F.sum("_of_n").over(W._spec([], [BLOCK])) - F.col("_of_n")).alias("_of_start"))
+    numbered_rows = rows.join(F.broadcast(start), F.col(BLOCK) == F.col("_of_block"))  # a row a block
+    return numbered_rows.select(*df.columns, (F.col("_of_start") + F.col(PLACE) - F.col("_of_first")).alias(name))

@@ -91,3 +91,32 @@ def value_counts(df: DataFrame, c: str) -> DataFrame:
     counts = df.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
     return counts.crossJoin(F.broadcast(total)).select("value", "n", F.round(F.col("n") * 100.0 / F.col("total"), 3).alias("percent"))
+
+
+def for_all(need: DataFrame, have: DataFrame, group: str, keys: Sequence[str], valid: Column, present: Column, latest: Sequence[str] = ()) -> DataFrame:
+    """Relational division: for each non-null ``group`` of ``need`` how many of its distinct valid keys there are, how many of
+    these ``have`` holds, and whether it holds them all. Keys are (group, keys); a key with a null part, or where ``valid`` doesn't
+    hold, is none, and a group without a key is incomplete. Of several rows of ``have`` with one key the last by ``latest`` says
+    whether it is ``present``.
+
+    No join: both sides are stacked, folded by key with map-side combine, and then by group."""
+    on = [group, *keys]
+    whole = F.lit(True)
+    for k in on:
+        whole = whole & F.col(k).isNotNull()
+    order = F.struct(*[F.col(c) for c in latest]) if latest else F.lit(1)
+    asked = need.where(F.col(group).isNotNull()).select(*on, F.coalesce(whole & valid, F.lit(False)).alias("_asked"))
+    asked = asked.select(group, *[F.when(F.col("_asked"), F.col(k)).alias(k) for k in keys], "_asked", F.lit(None).cast("boolean").alias("_there"), F.lit(None).cast(have.select(order.alias("o")).schema["o"].dataType).alias("_order"))
+    held = have.where(whole).select(*on, F.lit(None).cast("boolean").alias("_asked"), F.coalesce(present, F.lit(False)).alias("_there"), order.alias("_order"))
+    by_key = asked.unionByName(held).groupBy(*on).agg(F.max("_asked").alias("_asked"), F.max_by("_there", F.when(F.col("_there").isNotNull(), F.col("_order"))).alias("_there"))
+    by_group = by_key.where("_asked is not null").groupBy(group).agg(F.count_if("_asked").alias("n_needed"), F.count_if(F.col("_asked") & F.col("_there")).alias("n_present"))
+    return by_group.withColumn("complete", (F.col("n_needed") > 0) & (F.col("n_needed") == F.col("n_present")))
+
+
+def pairs_in_group(df: DataFrame, group: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
+    """Each two rows of a group once, as structs a and b of (order, columns), a before b. The group's rows are one sorted array,
+    each element of which meets those after it; nothing is joined. For groups that a task can hold, such as a race's field."""
+    rows = df.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(order, *columns))).alias("_rows"))
+    first = rows.select(*group, "_rows", F.posexplode("_rows").alias("_at", "a"))
+    after = F.slice("_rows", F.col("_at") + 2, F.size("_rows"))
+    return first.select(*group, "a", F.explode(after).alias("b"))

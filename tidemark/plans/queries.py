@@ -127,9 +127,8 @@ def _(spark, d):
 SELECT n.user_id, count(*) AS n_days, bool_and(h.user_id IS NOT NULL) AS complete, count(h.user_id) AS n_cached FROM need n LEFT JOIN have h ON h.user_id = n.user_id AND h.day = n.day GROUP BY n.user_id""")
 def _(spark, d):
     ev = read(spark, d, "events").select("user_id", F.col("ts").cast("date").alias("day"), "event_type")
-    have = ev.where("event_type = 'view'").select("user_id", "day").distinct().withColumn("cached", F.lit(1))
-    both = ev.select("user_id", "day").distinct().join(have, ["user_id", "day"], "left")
-    return both.groupBy("user_id").agg(F.count("*").alias("n_days"), F.bool_and(F.col("cached").isNotNull()).alias("complete"), F.count("cached").alias("n_cached"))
+    done = tables.for_all(ev, ev.where("event_type = 'view'"), "user_id", ["day"], F.lit(True), F.lit(True))
+    return done.select("user_id", F.col("n_needed").alias("n_days"), "complete", F.col("n_present").alias("n_cached"))
 
 
 @query("semi_join_emit_last", f"WITH {RUNS}, w AS (SELECT result_id, race_date, count(*) OVER (PARTITION BY horse_id ORDER BY race_date, race_number, race_id, result_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n_before FROM runs) SELECT result_id, n_before FROM w WHERE race_date >= DATE '2024-01-25'")
@@ -159,10 +158,10 @@ def _(spark, d):
 
 @query("pairwise_in_group", f"WITH {RUNS} SELECT a.race_id, count(*) AS n_pairs, sum(CASE WHEN a.finishing_position < b.finishing_position THEN 1 WHEN a.finishing_position = b.finishing_position THEN 0 ELSE -1 END) AS balance FROM runs a JOIN runs b ON a.race_id = b.race_id AND a.result_id < b.result_id AND a.finishing_position IS NOT NULL AND b.finishing_position IS NOT NULL GROUP BY a.race_id")
 def _(spark, d):
-    df = runs(spark, d).where("finishing_position is not null").select("race_id", "result_id", "finishing_position")
-    other = df.toDF("race_2", "result_2", "position_2")
-    pairs = df.join(other, (F.col("race_id") == F.col("race_2")) & (F.col("result_id") < F.col("result_2")))
-    return pairs.groupBy("race_id").agg(F.count("*").alias("n_pairs"), F.sum(F.signum(F.col("position_2") - F.col("finishing_position")).cast("bigint")).alias("balance"))
+    df = runs(spark, d).where("finishing_position is not null")
+    pairs = tables.pairs_in_group(df, ["race_id"], "result_id", ["finishing_position"])
+    ahead = F.signum(F.col("b.finishing_position") - F.col("a.finishing_position")).cast("bigint")
+    return pairs.groupBy("race_id").agg(F.count("*").alias("n_pairs"), F.sum(ahead).alias("balance"))
 
 
 # ---- histories

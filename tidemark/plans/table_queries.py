@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import scans
+from tidemark.operators import scans, tables
 from tidemark.plans.queries import RUNS, query, r6, read
 from tidemark.plans.runs import ORDER, runs
+from tidemark.sources import ordered, typed
 from tidemark.sources.scratch import shared_dir
 from tidemark.sources.versioned import Versioned
 
@@ -116,3 +117,67 @@ def _(spark, d):
 @query("dense_global_order", f"WITH {RUNS} SELECT result_id, row_number() OVER (ORDER BY race_date, race_number, race_id, result_id) - 1 AS ordinal FROM runs")
 def _(spark, d):
     return scans.in_order(runs(spark, d).select("result_id", *[c for c in ORDER if c != "result_id"]), ORDER).select("result_id", "ordinal")
+
+
+@query("source_order", "SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS place FROM events")
+def _(spark, d):
+    return ordered.with_source_order(read(spark, d, "events"), "place").select("event_id", "place")  # the file is sorted by event_id
+
+
+@query("written_order", f"WITH {RUNS} SELECT result_id, horse_id, row_number() OVER (ORDER BY horse_id % 17, draw, result_id DESC) - 1 AS position FROM runs")
+def _(spark, d):
+    path = f"{shared_dir(spark)}/tidemark/ordered-{uuid.uuid4().hex}"
+    df = runs(spark, d).select("result_id", "horse_id", "draw", (F.col("horse_id") % 17).alias("_group"), (-F.col("result_id")).alias("_down"))
+    ordered.write_in_order(df, ["_group", "draw", "_down"], path)
+    return ordered.with_positions(spark, path, ["result_id", "horse_id"], "position")
+
+
+# ---- relational division
+
+CACHED = "CASE WHEN result_id % 5 = 0 THEN '  ' WHEN result_id % 7 = 0 THEN NULL ELSE 'C4' END"
+
+
+@query("form_complete", f"""WITH {RUNS}, cache AS (SELECT horse_id, race_date, race_index, {CACHED} AS race_class, result_id FROM runs WHERE result_id % 3 <> 0),
+last AS (SELECT horse_id, race_date, race_index, max_by(coalesce(race_class, ''), result_id) AS race_class FROM cache GROUP BY ALL),
+need AS (SELECT DISTINCT horse_id, race_date, race_index FROM runs WHERE race_index > 2)
+SELECT h.horse_id, count(n.horse_id) AS n_needed, count(CASE WHEN trim(l.race_class) <> '' THEN 1 END) AS n_present,
+       count(n.horse_id) > 0 AND count(n.horse_id) = count(CASE WHEN trim(l.race_class) <> '' THEN 1 END) AS complete
+FROM (SELECT DISTINCT horse_id FROM runs WHERE horse_id IS NOT NULL) h LEFT JOIN need n ON n.horse_id = h.horse_id
+LEFT JOIN last l ON l.horse_id = n.horse_id AND l.race_date = n.race_date AND l.race_index = n.race_index GROUP BY h.horse_id""")
+def _(spark, d):
+    df, n = runs(spark, d), F.col("result_id")
+    cache = df.where(n % 3 != 0).select("horse_id", "race_date", "race_index", F.when(n % 5 == 0, "  ").when(n % 7 != 0, "C4").alias("race_class"), "result_id")
+    return tables.for_all(df, cache, "horse_id", ["race_date", "race_index"], F.col("race_index") > 2, F.trim(F.coalesce("race_class", F.lit(""))) != "", ["result_id"])
+
+
+# ---- types of whole columns
+
+CELLS = """SELECT event_id, CASE event_id % 4 WHEN 0 THEN ' ' || event_id || ' ' WHEN 1 THEN 'NA' WHEN 2 THEN NULL ELSE CAST(-event_id AS VARCHAR) END AS whole,
+CASE event_id % 3 WHEN 0 THEN '1.5' WHEN 1 THEN 'nan' ELSE CAST(event_id AS VARCHAR) END AS real, CASE event_id % 50 WHEN 7 THEN 'n.a.' ELSE CAST(event_id % 9 AS VARCHAR) END AS mixed,
+CASE event_id % 2 WHEN 0 THEN 'True' ELSE 'false' END AS flag, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, '' AS nothing FROM events"""
+
+
+def _cells(spark: SparkSession, d: str) -> DataFrame:
+    """A table of text as a CSV scan gives it."""
+    n, text = F.col("event_id"), lambda c: c.cast("string")
+    return read(spark, d, "events").select(
+        "event_id", F.when(n % 4 == 0, F.concat(F.lit(" "), n, F.lit(" "))).when(n % 4 == 1, "NA").when(n % 4 == 3, text(-n)).alias("whole"), F.when(n % 3 == 0, "1.5").when(n % 3 == 1, "nan").otherwise(text(n)).alias("real"),
+        F.when(n % 50 == 7, "n.a.").otherwise(text(n % 9)).alias("mixed"), F.when(n % 2 == 0, "True").otherwise("false").alias("flag"), text(F.col("ts").cast("date")).alias("day"), F.lit("").alias("nothing"),
+    )
+
+
+@query("column_types", f"""WITH c AS ({CELLS}), k AS (SELECT count(*) AS n, count(*) FILTER (event_id % 4 IN (1, 2)) AS m1, count(*) FILTER (event_id % 3 = 1) AS m2 FROM c)
+SELECT unnest(['whole', 'real', 'mixed', 'flag', 'day', 'nothing']) AS name, unnest(['bigint', 'double', 'string', 'boolean', 'date', 'string']) AS type, n, unnest([m1, m2, 0, 0, 0, n]) AS missing FROM k""")
+def _(spark, d):
+    found = typed.column_types(_cells(spark, d).drop("event_id"))
+    return spark.createDataFrame([(t.name, t.type, t.n, t.missing) for t in found], "name string, type string, n long, missing long")
+
+
+@query("typed_cells", f"""SELECT event_id, TRY_CAST(trim(whole) AS BIGINT) AS whole, CASE WHEN real <> 'nan' THEN TRY_CAST(real AS DOUBLE) END AS real, mixed, flag = 'True' AS flag, CAST(day AS DATE) AS day, CAST(NULL AS VARCHAR) AS nothing FROM ({CELLS})""")
+def _(spark, d):
+    return typed.typed(_cells(spark, d), "event_id")[0]
+
+
+@query("rejected_cells", f"SELECT event_id, 'mixed' AS \"column\", mixed AS cell FROM ({CELLS}) WHERE mixed = 'n.a.' UNION ALL SELECT event_id, 'real', real FROM ({CELLS}) WHERE real = '1.5'")
+def _(spark, d):
+    return typed.rejected(_cells(spark, d), {"whole": "bigint", "real": "bigint", "mixed": "double", "nothing": "double"}, "event_id")
