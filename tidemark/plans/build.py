@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import contracts, features
 from tidemark.plans.manifest import manifest
-from tidemark.sources import sinks
+from tidemark.sources import ordered, sinks
 
 
 @dataclass
@@ -40,16 +40,29 @@ class Config:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return sinks.csv_inferred(spark, path) if path.endswith(".csv") else spark.read.parquet(path)
+    return sinks.csv_inferred(spark, path, "result_id") if path.endswith(".csv") else spark.read.parquet(path)
+
+
+def in_order_of_source(spark: SparkSession, path: str) -> DataFrame:
+    """result_id and ``_row_id``, the place of each row of the source."""
+    rows = spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
+    return ordered.with_source_order(rows.select("result_id"))
 
 
 def run(spark: SparkSession, config: Config) -> DataFrame:
-    """Checks the inputs, builds, checks and writes the features as Parquet and the manifest beside them."""
-    history, rows = read(spark, config.history), read(spark, config.rows)
+    """Checks the inputs, builds, and writes the features as Parquet in the order of the rows to emit, with the manifest beside
+    them. The output's contracts are counted while it is written; its order is checked on what was written, before that takes
+    the place of an earlier output."""
+    history, rows, places = read(spark, config.history), read(spark, config.rows), in_order_of_source(spark, config.rows)
     contracts.validate_emit(history, rows)
     built = features.build_features(history, rows, max(1, config.history_lags), config.include_market_features, config.keep_helper_columns)
-    built = sinks.write_checked(built, config.output, config.compression)
-    contracts.require(contracts.output_violations(built, rows), "the output")
+    built, watch, seen = contracts.watched_output(built, places, "_row_id")
+
+    def accept(staged: str) -> None:
+        contracts.require(seen.get, "the output")
+        contracts.require(ordered.misplaced(spark, staged, places, "result_id", "_row_id"), "the output")
+
+    built = sinks.write_checked(built, config.output, config.compression, ["_row_id"], watch, accept)
     generated = [c for c in built.columns if c not in history.columns]
     sources = {"history_source": config.history, "emitted_rows_source": config.rows, "output": config.output}
     sinks.write_text(spark, config.manifest or f"{config.output}.features.json", manifest(built, generated, config.train_until, config.validate_until, config.include_market_features, sources))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark.operators import windows as W
+
 # Columns without which a history can't be built on.
 REQUIRED = (
     "result_id", "race_id", "race_date", "racecourse_code", "race_number", "distance_m", "field_size", "horse_id", "horse_name", "horse_rating_before", "finishing_position", "is_winner", "is_top_three",
@@ -49,9 +52,52 @@ def clean_violations(df: DataFrame) -> DataFrame:
     ))
 
 
-def require(violations: DataFrame, label: str) -> None:
+def watched_output(built: DataFrame, rows: DataFrame, place: str, target: str = "is_winner") -> tuple[DataFrame, Callable[[DataFrame], DataFrame], Observation]:
+    """The built rows with the column ``place`` of the rows asked for; a function for ``write_checked`` that counts the output's
+    contracts as rows are written, and leaves out those not asked for; and the counts. Repeated ids are found by a window that
+    shares the join's exchange, so that nothing is scanned for a contract alone."""
+    seen, ids = Observation("output"), W._spec(["result_id"])
+    columns = built.columns
+    built = built.withColumns({"_built": F.lit(True), "_copy": F.row_number().over(W._spec(["result_id"], [target])), "_copies": F.count(F.lit(1)).over(ids)})
+    joined = rows.select("result_id", F.col(place), F.lit(True).alias("_asked")).join(built, "result_id", "full")
+
+    def watch(df: DataFrame) -> DataFrame:
+        is_built, asked = F.col("_built").isNotNull(), F.col("_asked").isNotNull()
+        df = df.observe(
+            seen, F.count_if(is_built & ~F.col(target).cast("double").isin(0.0, 1.0)).alias("target_not_0_or_1"), F.count_if(asked & ~is_built).alias("rows_missing"),
+            F.count_if(is_built & (~asked | (F.col("_copy") > 1))).alias("rows_too_many"), F.count_if(is_built & (F.col("_copies") > 1) & (F.col("_copy") == 1)).alias("output_ids_repeated"),
+        )
+        return df.where(is_built & asked).select(*columns)
+
+    return joined, watch, seen
+
+
+def watched_first_pass(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Trainable rows as they are, and the eight contracts that they must keep, counted while they go by: rows, or races by their
+    first row. All windows but that of result_id share one exchange by race."""
+    seen = Observation("first_pass")
+    status, position = F.upper(F.trim("result_status")), F.col("finishing_position")
+    race, over_race = ["race_id"], lambda c, f: getattr(F, f)(c).over(W._spec(["race_id"]))
+    # the helper columns hold what a contract needs of a row's race and of the rows with its ids
+    helped = df.withColumns({
+        "_n": over_race(F.lit(1), "count"), "_winners": over_race(F.when(position == 1, 1), "count"), "_low": over_race("actual_field_size", "min"), "_high": over_race("actual_field_size", "max"),
+        "_of_race": F.row_number().over(W._spec(race, ["result_id"])), "_of_horse": F.row_number().over(W._spec(["race_id", "horse_id"], ["result_id"])),
+    })
+    helped = helped.withColumn("_of_id", F.row_number().over(W._spec(["result_id"], ["race_id"])))
+    first = F.col("_of_race") == 1
+    helped = helped.observe(
+        seen, F.count_if(F.coalesce(status != "FINISHED", F.lit(True))).alias("only_finished"), F.count_if(position.isNull()).alias("position_known"),
+        F.count_if(F.coalesce(status.isin("DISQUALIFIED", "NO_RESULT", "WITHDRAWN"), F.lit(False))).alias("no_bad_status"), F.count_if(F.col("_of_id") > 1).alias("result_id_unique"),
+        F.count_if(F.col("_of_horse") > 1).alias("race_horse_unique"), F.count_if(first & (F.col("_n") < 2)).alias("two_runners"), F.count_if(first & (F.col("_winners") != 1)).alias("one_winner"),
+        F.count_if(first & ((F.col("_low") != F.col("_n")) | (F.col("_high") != F.col("_n")))).alias("field_size_is_count"),
+    )
+    return helped.select(*df.columns), seen
+
+
+def require(violations: DataFrame | dict[str, int], label: str) -> None:
     """An error that names every broken contract; warnings don't count."""
-    broken = {r["contract"]: r["n"] for r in violations.where("n > 0").collect() if not r["contract"].startswith("warning_")}
+    counts = violations if isinstance(violations, dict) else {r["contract"]: r["n"] for r in violations.where("n > 0").collect()}
+    broken = {k: n for k, n in counts.items() if n > 0 and not k.startswith("warning_")}
     if broken:
         raise ValueError(f"{label}: " + ", ".join(f"{k} ({n})" for k, n in sorted(broken.items())))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import numbers
 from tidemark.operators import tables
-from tidemark.plans import careers, contracts
+from tidemark.plans import careers, cleaning, contracts
 from tidemark.plans.queries import RUNS, H, query, read
 from tidemark.plans.runs import ORDER, runs
 from tidemark.sources import extraction as X
@@ -212,6 +212,25 @@ def _(spark, d):
     return found.select("page_id", "table_no", "row_no", F.array_join("cells", "|").alias("cells"), F.array_max("links").alias("link"))
 
 
+# ---- contracts collected while rows are written
+
+
+@query("first_pass_contracts", f"""WITH {RUNS}, r AS (SELECT *, CASE WHEN result_id % 11 = 0 THEN field_size + 1 ELSE field_size END AS size,
+  CASE WHEN max(CASE WHEN finishing_position IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY race_id) = 0 THEN 'NO_RESULT' WHEN finishing_position IS NOT NULL THEN 'FINISHED'
+       WHEN upper(trim(coalesce(finish_time, ''))) IN ('', '---', '-', 'NAN', 'NONE') THEN 'WITHDRAWN' ELSE 'DISQUALIFIED' END AS status FROM runs),
+t AS (SELECT * FROM r UNION ALL SELECT * FROM r WHERE result_id % 100 = 0),
+g AS (SELECT race_id, count(*) AS n, count(CASE WHEN finishing_position = 1 THEN 1 END) AS winners, min(size) AS low, max(size) AS high FROM t GROUP BY race_id),
+c AS (SELECT count(*) FILTER (status <> 'FINISHED') AS a, count(*) FILTER (finishing_position IS NULL) AS b, count(*) FILTER (status IN ('DISQUALIFIED', 'NO_RESULT', 'WITHDRAWN')) AS c,
+  count(*) - count(DISTINCT result_id) AS d, count(*) - count(DISTINCT (race_id, horse_id)) AS e FROM t), k AS (SELECT count(*) FILTER (n < 2) AS f, count(*) FILTER (winners <> 1) AS g, count(*) FILTER (low <> n OR high <> n) AS h FROM g)
+SELECT unnest(['only_finished', 'position_known', 'no_bad_status', 'result_id_unique', 'race_horse_unique', 'two_runners', 'one_winner', 'field_size_is_count']) AS contract, unnest([a, b, c, d, e, f, g, h]) AS n FROM c, k""")
+def _(spark, d):
+    n = F.col("result_id")
+    df = cleaning.add_result_status(runs(spark, d)).withColumn("actual_field_size", F.when(n % 11 == 0, F.col("field_size") + 1).otherwise(F.col("field_size")))
+    watched, seen = contracts.watched_first_pass(df.unionByName(df.where(n % 100 == 0)))
+    watched.write.parquet(f"{shared_dir(spark)}/tidemark/watched-{uuid.uuid4().hex}")
+    return spark.createDataFrame(list(seen.get.items()), "contract string, n long")
+
+
 # ---- extraction that keeps its failures
 
 #: By race_number: no page, a broken page, no prize, no page of results, a table of another kind, rows that are no runners.

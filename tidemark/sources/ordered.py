@@ -6,7 +6,7 @@ running total of a row a partition), and an ordered table is a folder of files,
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +23,14 @@ def with_source_order(df: DataFrame, name: str = "_row_id", blocks: int | None =
     return scans.in_order(placed, source, name, blocks).drop(*source)
 
 
-def write_in_order(df: DataFrame, order: Sequence[str], path: str, files: int | None = None, codec: str = "zstd") -> None:
+def write_in_order(df: DataFrame, order: Sequence[str], path: str, files: int | None = None, codec: str = "zstd", watch: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Parquet files that hold the rows in the order given: within each file, and from file to file by name. One range exchange;
-    the columns of ``order`` that start with an underscore are left out."""
+    the columns of ``order`` that start with an underscore are left out. ``watch`` is put on the sorted rows, which go by once:
+    what is observed before a range exchange is counted again as it is sampled."""
     files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [F.col(c).asc_nulls_last() for c in order]
     sorted_rows = df.repartitionByRange(files, *by).sortWithinPartitions(*by)
+    sorted_rows = sorted_rows if watch is None else watch(sorted_rows)
     sorted_rows.drop(*[c for c in order if c.startswith("_")]).write.option("compression", codec).parquet(path)
 
 

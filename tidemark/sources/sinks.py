@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import ordered, typed
+
 CODECS = ("zstd", "snappy", "gzip", "brotli", "none")
 
 
@@ -17,9 +19,9 @@ def csv_text(spark: SparkSession, path: str, columns: Sequence[str], blank: str
     return df if blank is None else df.na.fill(blank)
 
 
-def csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with header whose column types are found by reading it; mixed columns are text."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+def csv_inferred(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A CSV with header, each column of the type that all its cells have (``sources.typed``); mixed columns and ``key`` are text."""
+    return typed.typed(spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path), key)[0]
 
 
 def write_text(spark: SparkSession, path: str, content: str) -> None:
@@ -47,9 +49,13 @@ def known_ids(spark: SparkSession, path: str, key: str) -> DataFrame:
     return spark.read.parquet(path).select(key).where(F.col(key).isNotNull()).distinct()
 
 
-def write_checked(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
+def write_checked(
+    df: DataFrame, path: str, codec: str = "zstd", order: Sequence[str] = (), watch: Callable[[DataFrame], DataFrame] | None = None, accept: Callable[[str], None] | None = None,
+) -> DataFrame:
     """Write to a folder beside ``path``, check what can be read back against what was written, then put it in place. The old
-    table is moved aside first and comes back if that fails, so there is one whole table at every time."""
+    table is moved aside first and comes back if that fails, so there is one whole table at every time. ``order``: the files hold
+    the rows in this order (see ``ordered.write_in_order``). ``watch`` observes the rows as they are written. ``accept`` looks at the folder before it is put in place, and
+    raises if it finds fault."""
     if codec not in CODECS:
         raise ValueError(f"unknown codec {codec}")
     spark = df.sparkSession
@@ -58,12 +64,24 @@ def write_checked(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     written = Observation()
     try:
-        df.observe(written, F.count(F.lit(1)).alias("n")).write.option("compression", codec).parquet(staged.toString())
+        made: list[DataFrame] = []
+
+        def watched(rows: DataFrame) -> DataFrame:
+            made.append(rows if watch is None else watch(rows))
+            return made[0].observe(written, F.count(F.lit(1)).alias("n"))
+
+        if order:
+            ordered.write_in_order(df, order, staged.toString(), codec=codec, watch=watched)
+        else:
+            watched(df).write.option("compression", codec).parquet(staged.toString())
+        columns = [c for c in made[0].columns if c not in order or not c.startswith("_")]
         back = spark.read.parquet(staged.toString())
         found = back.count()
         expected = written.get["n"] if found or not df.isEmpty() else 0  # an empty plan observes nothing
-        if back.columns != df.columns or found != expected:
+        if back.columns != columns or found != expected:
             raise ValueError(f"what was written to {path} differs from the table")
+        if accept is not None:
+            accept(staged.toString())
         was_there = fs.exists(target)
         if was_there and not fs.rename(target, aside):
             raise OSError(f"{path} could not be moved aside")
