@@ -107,18 +107,27 @@ def field_features(df: DataFrame) -> DataFrame:
     return df.withColumns(more)
 
 
-def _started_history(df: DataFrame, lags: int) -> dict[str, Column]:
-    """What is known right after each start: the last starts' columns and their summaries."""
-    payload = F.struct(*[(F.col(c) if c in df.columns else F.lit(None).cast("double")).alias(k) for k, c in KEPT_ALONG.items()])
+def _median(values: Sequence[Column]) -> Column:
+    """The median of a few columns of one row, nulls left out."""
+    known = F.array_sort(F.array_compact(F.array(*values)))
+    at = lambda i: F.get(known, i.cast("int"))
+    return (at(F.floor((F.size(known) - 1) / 2)) + at(F.floor(F.size(known) / 2))) / 2.0
+
+
+def _started_history(df: DataFrame, slots: int, fields: Sequence[str], spans: Sequence[int]) -> dict[str, Column]:
+    """What is known right after each start: some columns of the last starts and their summaries."""
+    payload = F.struct(*[(F.col(KEPT_ALONG[k]) if KEPT_ALONG[k] in df.columns else F.lit(None).cast("double")).alias(k) for k in fields])
     w = W._spec(["horse_id", "_started"], ORDER)
-    out = {f"start{k}": payload if k == 1 else F.lag(payload, k - 1).over(w) for k in range(1, lags + 1)}
+    out = {f"start{k}": payload if k == 1 else F.lag(payload, k - 1).over(w) for k in range(1, slots + 1)}
     out["ordinal"] = F.row_number().over(w)
-    for n in (x for x in (3, 5, 10) if x <= lags):
+    finish = F.col("finishing_position").cast("double")
+    finishes = [finish if k == 0 else F.lag(finish, k).over(w) for k in range(max(spans, default=0))]
+    for n in spans:
         last = w.rowsBetween(1 - n, 0)
         over = lambda name, c, last=last: getattr(F, name)(F.col(c).cast("double")).over(last)
         wins, top3, count = over("sum", "_is_win"), over("sum", "_is_top3"), F.count("finishing_position").over(last)
         summary = {
-            "avg_finish": over("avg", "finishing_position"), "median_finish": F.percentile(F.col("finishing_position").cast("double"), 0.5).over(last),
+            "avg_finish": over("avg", "finishing_position"), "median_finish": _median(finishes[:n]),
             "best_finish": over("min", "finishing_position"), "worst_finish": over("max", "finishing_position"), "finish_std": over("stddev_samp", "finishing_position"),
             "avg_relative_finish": over("avg", "_relative_finish"), "avg_margin_lengths": over("avg", "_margin_lengths"), "avg_speed_mps": over("avg", "_speed_mps"),
             "best_speed_mps": over("max", "_speed_mps"), "speed_std": over("stddev_samp", "_speed_mps"), "avg_speed_context_z": over("avg", "_speed_context_z"),
@@ -128,29 +137,43 @@ def _started_history(df: DataFrame, lags: int) -> dict[str, Column]:
     return out
 
 
-def horse_history(df: DataFrame, lags: int = 10) -> DataFrame:
+#: The parts of a horse's history, each with the fields of past starts that it needs.
+TRENDS = {"finish_trend_last5": "finish", "relative_finish_trend_last5": "relative_finish", "speed_trend_last5": "speed_mps"}
+CHANGED = {"track": "racecourse_code", "surface": "surface", "course": "course", "going": "going", "jockey": "jockey", "trainer": "trainer"}
+CHANGE_FIELDS = ("date", "race_class_num", "declared_horse_weight", "distance_m", "horse_rating_before", "horse_rating_after", "actual_weight", *CHANGED)
+PARTS = ("workload", "lags", "summaries", "trends", "changes")
+
+
+def horse_history(df: DataFrame, lags: int = 10, parts: Sequence[str] = PARTS, spans: Sequence[int] = (3, 5, 10)) -> DataFrame:
     """Lags, summaries, recency, coverage, workload, changes and form, as of each row: what was known right after the horse's
-    last start before the row. Three windows of one exchange; nothing is kept for runs without horse."""
+    last start before the row. Three windows of one exchange; nothing is kept for runs without horse. ``parts``: what is made;
+    a part alone carries only the starts and columns that it needs. ``spans``: of how many starts summaries are made."""
     if "_speed_context_z" not in df.columns:
         df = df.withColumn("_speed_context_z", F.lit(None).cast("double"))
-    known = F.col("horse_id").isNotNull()
+    known, parts = F.col("horse_id").isNotNull(), set(parts) - ({"trends"} if lags < 5 else set())
+    slots = lags if "lags" in parts else 5 if "trends" in parts else 1
+    fields = [k for k in KEPT_ALONG if "lags" in parts or ("trends" in parts and k in TRENDS.values()) or ("changes" in parts and k in CHANGE_FIELDS)] or ["date"]
     columns = df.columns
-    workload = [F.when(known, W.prior_sum(F.col("_started").cast("bigint"), W.days_before(["horse_id"], "_day", d))).alias(f"starts_last{d}d") for d in WORKLOAD_DAYS]
+    workload = [F.when(known, W.prior_sum(F.col("_started").cast("bigint"), W.days_before(["horse_id"], "_day", d))).alias(f"starts_last{d}d") for d in WORKLOAD_DAYS if "workload" in parts]
     df = df.select("*", *workload)  # first, so that the rows are dealt by horse
-    after = _started_history(df, lags)
+    columns = df.columns
+    if not parts - {"workload"}:
+        return df
+    after = _started_history(df, slots, fields, [x for x in spans if x <= lags and "summaries" in parts])
     df = df.select("*", *[c.alias(f"_h_{k}") for k, c in after.items()])
     packed = F.when((F.col("_started") == 1) & known, F.struct(*[F.col(f"_h_{k}").alias(k) for k in after]))
-    df = df.select(*columns, *[f"starts_last{d}d" for d in WORKLOAD_DAYS], packed.alias("_after"))
-    df = df.select(*columns, *[f"starts_last{d}d" for d in WORKLOAD_DAYS], F.last("_after", ignorenulls=True).over(W.rows_before(["horse_id"], ORDER)).alias("_known"))
+    df = df.select(*columns, packed.alias("_after"))
+    df = df.select(*columns, F.last("_after", ignorenulls=True).over(W.rows_before(["horse_id"], ORDER)).alias("_known"))
     slot = lambda k: F.col("_known")[f"start{k}"]
-    out = [slot(k)[name].alias(f"last{k}_{name}") for k in range(1, lags + 1) for name in KEPT_ALONG]
+    out = [slot(k)[name].alias(f"last{k}_{name}") for k in range(1, lags + 1) for name in KEPT_ALONG if "lags" in parts]
     out += [F.col("_known")[k].alias(k) for k in after if "_last" in k]
     derived = F.col("_known")["ordinal"]
-    out.append(derived.alias("prior_completed_starts_derived"))
-    if lags >= 5:
-        for name, source in (("finish_trend_last5", "finish"), ("relative_finish_trend_last5", "relative_finish"), ("speed_trend_last5", "speed_mps")):
-            out.append(W.slope([slot(k)[source] for k in (5, 4, 3, 2, 1)]).alias(name))
+    if "trends" in parts:
+        out += [W.slope([slot(k)[source] for k in (5, 4, 3, 2, 1)]).alias(name) for name, source in TRENDS.items()]
         out.append(F.coalesce(text.form_string([slot(k)["finish"] for k in range(1, 6)]), F.lit("")).alias("form_last5_latest_first"))
+    if "changes" not in parts:
+        return df.select(*columns, *out)
+    out.append(derived.alias("prior_completed_starts_derived"))
     out.append(F.datediff("race_date", slot(1)["date"]).alias("days_since_last_start"))
     stored = F.col("career_starts_before") if "career_starts_before" in columns else F.lit(None).cast("int")
     out += [F.when(stored.isNotNull() & derived.isNotNull(), F.greatest(F.lit(0), stored - derived)).alias("history_starts_missing_before"), F.when(stored > 0, derived / stored.cast("double")).alias("history_coverage_ratio"),
@@ -164,8 +187,8 @@ def horse_history(df: DataFrame, lags: int = 10) -> DataFrame:
         class_change.alias("class_number_change_from_last"), F.when(class_change.isNotNull(), (class_change > 0).cast("int")).alias("class_drop_flag"),
         F.when(class_change.isNotNull(), (class_change < 0).cast("int")).alias("class_rise_flag"),
     ]
-    out += [numbers.changed(F.col(c), slot(1)[n]).alias(f"{n}_change_flag") for n, c in (("track", "racecourse_code"), ("surface", "surface"), ("course", "course"), ("going", "going"), ("jockey", "jockey"), ("trainer", "trainer"))]
-    return df.select(*[c for c in df.columns if c != "_known"], *out)
+    out += [numbers.changed(F.col(c), slot(1)[n]).alias(f"{n}_change_flag") for n, c in CHANGED.items()]
+    return df.select(*columns, *out)
 
 
 def _totals(w) -> dict[str, Column]:
@@ -237,6 +260,12 @@ AFTER_HISTORY = {
 }
 
 
+#: The columns that the comparison needs, and those that the summaries are made of.
+_COMPARED = {
+    "result_id", "race_id", "horse_id", *ORDER, "_started", "_day", "finishing_position", "_is_win", "_is_top3", "_relative_finish", "_margin_lengths", "_speed_mps", "_speed_context_z", *AFTER_HISTORY.values(),
+}
+
+
 def post_history_field(df: DataFrame) -> DataFrame:
     """Ranks and differences from the field's mean of what the earlier stages found; columns that aren't there are left out."""
     out = []
@@ -265,17 +294,25 @@ def training_metadata(df: DataFrame, train_until: str = "2024-07-31", validate_u
 def build_features(history: DataFrame, emit: DataFrame | None = None, lags: int = 10, include_market: bool = False, keep_helpers: bool = False, with_elo: bool = True) -> DataFrame:
     """All stages on the history, then the rows to emit: the history's columns first, new ones after them.
 
-    ``emit``: result_ids, all of them known to the history. The narrow rows of the first stages are written once; trainers',
-    jockeys' and pairs' days are counted from that table and joined while rows are narrow. The wide columns of the horses'
-    histories are made last, and cross one exchange by race."""
+    ``emit``: result_ids, all of them known to the history. Rows stay narrow as long as they move: trainers', jockeys' and pairs'
+    days are counted from the first stages' table and joined, contexts are run over, and what is compared with the field is
+    joined from a pass over the few columns that it needs. The 400 wide columns of the horses' histories are made last, from
+    rows that are dealt by horse once, and cross no exchange."""
+    lags = max(1, lags)
     df = context_speed_z(outcome_helpers(base_helpers(history)))
     base = df = settled(elo.add_elo(df) if with_elo else df, "runs")
     for entity in ("trainer", "jockey"):
         df = entity_form(df, entity, entity, history=base)
     df = combo_history(df, history=base)
-    df = context_history(horse_history(field_features(df), max(1, lags)))
-    df = training_metadata(post_history_field(df))
-    df = market(df) if include_market else df
+    parts = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but many windows: not to be put together
+    df = context_history(field_features(df).repartition(parts, "horse_id"))
+    df = settled(market(df) if include_market else df, "narrow")
+    summed = df.select(*[c for c in df.columns if c in _COMPARED]).repartition(parts, "horse_id")
+    summed = horse_history(summed, lags, ["summaries"], [5]) if lags >= 5 else summed
+    compared = post_history_field(summed)
+    compared = compared.select(F.col("result_id").alias("_of"), *[c for c in compared.columns if c not in summed.columns])
+    df = df.join(compared, F.col("result_id").eqNullSafe(F.col("_of")), "left").drop("_of").repartition(parts, "horse_id")
+    df = training_metadata(horse_history(df, lags))
     if emit is not None:
         df = df.join(emit.select("result_id").distinct(), "result_id", "left_semi")
     df = df.select(*dict.fromkeys([*history.columns, *df.columns]))

@@ -187,8 +187,8 @@ def _(spark, d):
     return out.select("result_id", *[F.col("_last")[k - 1][n].alias(f"last{k}_{n}") for k in range(1, 11) for n in ("finish", "surface", "date")])
 
 
-def _history(spark, d):
-    return X.horse_history(X.field_features(X.context_speed_z(X.outcome_helpers(X.base_helpers(runs(spark, d))))))
+def _history(spark, d, *parts):
+    return X.horse_history(X.base_helpers(runs(spark, d)), parts=parts)
 
 
 J = f"""{BASE}, s AS (SELECT horse_id AS h, race_date AS rd, race_number AS rn, finishing_position AS f, rel, spd, win, top3 AS t3 FROM sp WHERE st = 1),
@@ -198,22 +198,22 @@ j AS (SELECT r.result_id, s.*, row_number() OVER (PARTITION BY r.result_id ORDER
 @query("last_n_summaries", f"WITH {J} SELECT result_id, " + ", ".join(f"round(avg(f) FILTER (k <= {n}), 6) AS avg_finish_last{n}, round(median(f) FILTER (k <= {n}), 6) AS median_finish_last{n}, CAST(min(f) FILTER (k <= {n}) AS DOUBLE) AS best_finish_last{n}, round(stddev_samp(f) FILTER (k <= {n}), 6) AS finish_std_last{n}, round(avg(rel) FILTER (k <= {n}), 6) AS avg_relative_finish_last{n}, round(max(spd) FILTER (k <= {n}), 6) AS best_speed_mps_last{n}, CAST(sum(win) FILTER (k <= {n}) AS DOUBLE) AS wins_last{n}, round(sum(t3) FILTER (k <= {n}) / nullif(count(f) FILTER (k <= {n}), 0), 6) AS top3_rate_last{n}" for n in (3, 5, 10)) + " FROM j GROUP BY result_id")
 def _(spark, d):
     names = ("avg_finish", "median_finish", "best_finish", "finish_std", "avg_relative_finish", "best_speed_mps", "wins", "top3_rate")
-    return _history(spark, d).select("result_id", *[r6(F.col(f"{x}_last{n}")).alias(f"{x}_last{n}") for n in (3, 5, 10) for x in names])
+    return _history(spark, d, "summaries").select("result_id", *[r6(F.col(f"{x}_last{n}")).alias(f"{x}_last{n}") for n in (3, 5, 10) for x in names])
 
 
 @query("trend_slope_last5", f"WITH {J} SELECT result_id, nullif(round(regr_slope(f, 5 - k) FILTER (k <= 5), 6), 'nan'::DOUBLE) + 0.0::DOUBLE AS finish_trend_last5, nullif(round(regr_slope(rel, 5 - k) FILTER (k <= 5), 6), 'nan'::DOUBLE) + 0.0::DOUBLE AS relative_finish_trend_last5 FROM j GROUP BY result_id")
 def _(spark, d):
-    return _history(spark, d).select("result_id", *[(r6(F.col(c)) + 0.0).alias(c) for c in ("finish_trend_last5", "relative_finish_trend_last5")])  # no -0.0
+    return _history(spark, d, "trends").select("result_id", *[(r6(F.col(c)) + 0.0).alias(c) for c in ("finish_trend_last5", "relative_finish_trend_last5")])  # no -0.0
 
 
 @query("form_string", f"WITH {J} SELECT result_id, coalesce(string_agg(CAST(f AS VARCHAR), '-' ORDER BY k) FILTER (k <= 5), '') AS form_last5_latest_first FROM j GROUP BY result_id")
 def _(spark, d):
-    return _history(spark, d).select("result_id", "form_last5_latest_first")
+    return _history(spark, d, "trends").select("result_id", "form_last5_latest_first")
 
 
 @query("workload_range_counts", f"WITH {BASE} SELECT result_id, " + ", ".join(f"coalesce(sum(st) OVER (PARTITION BY horse_id ORDER BY race_date RANGE BETWEEN INTERVAL {n} DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING), 0)::BIGINT AS starts_last{n}d" for n in (14, 30, 60, 90, 180, 365)) + " FROM base")
 def _(spark, d):
-    return _history(spark, d).select("result_id", *[f"starts_last{n}d" for n in X.WORKLOAD_DAYS])
+    return _history(spark, d, "workload").select("result_id", *[f"starts_last{n}d" for n in X.WORKLOAD_DAYS])
 
 
 @query("changes_and_flags", f"""WITH {RUNS}, s AS (SELECT horse_id AS h, race_date AS rd, race_number AS rn, result_id AS rid, row_number() OVER ({H}) AS ordinal FROM runs WHERE finishing_position IS NOT NULL),
@@ -229,7 +229,7 @@ SELECT r.result_id, r.distance_m - b.distance_m AS distance_change_from_last, r.
        CASE WHEN r.race_class <= '5' AND b.race_class <= '5' THEN (r.race_class < b.race_class)::INT END AS class_rise_flag
 FROM runs r JOIN a ON a.result_id = r.result_id LEFT JOIN runs b ON b.result_id = a.p""")
 def _(spark, d):
-    df = _history(spark, d)
+    df = _history(spark, d, "changes")
     return df.select("result_id", "distance_change_from_last", "rating_change_from_last_start_pre", "actual_weight_change_from_last", r6(F.col("bodyweight_change_pct_from_last")).alias("bodyweight_change_pct_from_last"), "surface_change_flag", "going_change_flag", "days_since_last_start", "history_starts_missing_before", r6(F.col("history_coverage_ratio")).alias("history_coverage_ratio"),
                      "history_appears_complete_flag", "rating_change_since_last_official", "bodyweight_change_from_last", "track_change_flag", "course_change_flag", "jockey_change_flag", "trainer_change_flag", "class_number_change_from_last", "class_drop_flag", "class_rise_flag")
 
