@@ -321,3 +321,23 @@ def test_piece_classes_are_the_tokenizers():
     for c in usual:
         text = f"a{c}1{c} {c}{c} '{c}s{c}'s\n{c}"
         assert PIECE.findall(text) == [text[a:b] for _, (a, b) in split(text)], hex(ord(c))
+
+
+# ---- pages wrapped as a whole
+
+WRAPPED = "A long enough paragraph of an article, with commas, and more words to count."
+
+
+@pytest.mark.parametrize("page, whole", [
+    ("<body><form><article><h1>Head</h1><p>{t}<p>{t}</article></form>", "Head\n{t}\n{t}"), ("<form><div>{t}</div></form>", "{t}"), ("<aside><article><h1>H</h1><p>{t}</article></aside>", "H\n{t}"),
+    ("<dialog open><p>{t}<p>{t}</dialog>", "{t}\n{t}"), ("<div role=form><main><p>{t}</main></div>", "{t}"), ("<div role=status><article><p>{t}</article></div>", "{t}"),
+    ("<body style='display: none'><h1>H</h1><p>{t}</body>", "H\n{t}"), ("<article><h1>H</h1><p>{t}<p>{t}</article><aside><p>{t}</aside><div hidden><p>{t}</div><form><p>{t}</form>", "H\n{t}\n{t}"),
+    ("<h1>H</h1><div><p>{t}</div><dialog><p>{t}<p>{t}<p>{t}</dialog>", "H\n{t}"), ("<main><p>{t}<p>{t}</main><aside><article><p>{t}</article></aside>", "{t}\n{t}"),
+])
+def test_what_wraps_the_whole_page_is_not_cut(page, whole):
+    assert html_text.extract(page.format(t=WRAPPED)) == whole.format(t=WRAPPED)
+
+
+def test_a_very_long_page():
+    page = "<article>" + "".join(f"<p>{WRAPPED} {i}" for i in range(20_000)) + "</article>"
+    assert html_text.extract(page).count("\n") == 19_999

@@ -1,7 +1,9 @@
 """Main text of web pages by tree scoring.
 
 A page is read into a tree with HTML's own rules for omitted end tags. Elements that hold no article (scripts, menus,
-forms, adverts, notices, comments, by tag, role, or a word of class or id) are cut; a class or id cuts nothing that holds an
+forms, adverts, notices, comments, by tag, role, or a word of class or id) are cut. What may also be wrapped around a whole page
+(a form, an aside, a dialog, a role of these, what is hidden until scripts run) stays if it holds most of the paragraphs'
+points, and an article, main or h1 element if the page has any. A class or id cuts nothing that holds an
 article, main or h1 element or, on pages without these, most of the paragraphs' points: it halves the points then. Each paragraph gives points for its
 length and commas to its parent, half of them to the next ancestor and a third part less to each further one; an element's
 points are discounted by its link density. The element of most points, or the article element around it, is the container;
@@ -44,8 +46,11 @@ for _group in ("thead", "tbody", "tfoot"):
     ENDS[_group] = ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"})
 P_SCOPE = frozenset("button table td th caption".split())
 
-CUT_TAGS = RAW | frozenset("head nav footer aside form button select option input menu svg canvas object embed audio video map dialog search".split())
-CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form note status".split())
+CUT_TAGS = RAW | frozenset("head nav footer button select option input menu svg canvas object embed audio video map".split())
+CUT_ROLES = frozenset("navigation banner contentinfo menu menubar toolbar".split())
+#: What may be wrapped around a whole page.
+WRAP_TAGS = frozenset("aside form dialog search".split())
+WRAP_ROLES = frozenset("complementary search dialog alertdialog alert form note status".split())
 CUT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies"
     " discussion disqus footer form gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager"
@@ -138,13 +143,17 @@ def in_article(node: Node) -> bool:
 
 
 def unwanted(node: Node) -> bool:
-    if node.hidden or node.tag in CUT_TAGS or node.role in CUT_ROLES:
+    if node.tag in CUT_TAGS or node.role in CUT_ROLES:
         return True
     if node.tag == "header":
         return not in_article(node)
     return node.tag == "article" and any(w in ("comment", "comments", "reply") for w in node.words)
 
 
+def wrapping(node: Node) -> bool:
+    return node.hidden or node.tag in WRAP_TAGS or node.role in WRAP_ROLES
+
+
 def named_unwanted(node: Node) -> bool:
     return node.tag not in KEEP_TAGS and any(w in CUT_WORDS for w in node.words)
 
@@ -157,12 +166,8 @@ def without(root: Node, refused: Callable[[Node], bool]) -> None:
         todo.extend(c for c in node.children if not isinstance(c, str))
 
 
-def cut(root: Node) -> None:
-    """Tags, roles and hidden elements go first; then, by name, what holds neither an article nor most of the page."""
-    without(root, unwanted)
-    nodes = in_order(root)
-    if not any(named_unwanted(node) for node in nodes):
-        return
+def weighed(nodes: list[Node]) -> tuple[dict[Node, float], dict[Node, int]]:
+    """The paragraphs' points in each element, and how many article, main and h1 elements."""
     measure(nodes)
     points: dict[Node, float] = {}
     heads: dict[Node, int] = {}
@@ -171,6 +176,21 @@ def cut(root: Node) -> None:
         own = 1 + min(node.length / 100, 3.0) if is_paragraph(node) else 0.0
         points[node] = max(own, sum(points[c] for c in inner))
         heads[node] = sum(heads[c] + (c.tag in ("article", "main", "h1")) for c in inner)
+    return points, heads
+
+
+def cut(root: Node) -> None:
+    """By tag and role; then what wraps less than most of the page; then, by name, what holds neither an article nor most of it."""
+    without(root, unwanted)
+    nodes = in_order(root)
+    if any(wrapping(node) for node in nodes):
+        points, heads = weighed(nodes)
+        whole = lambda node: 2 * points[node] > points[root] and (heads[node] + (node.tag in ("article", "main", "h1")) > 0 or not heads[root])
+        without(root, lambda node: wrapping(node) and not whole(node))
+        nodes = in_order(root)
+    if not any(named_unwanted(node) for node in nodes):
+        return
+    points, heads = weighed(nodes)
     without(root, lambda node: named_unwanted(node) and not heads[node] and (heads[root] > 0 or 2 * points[node] <= points[root]))
 
 
