@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
 
@@ -341,3 +342,49 @@ def test_what_wraps_the_whole_page_is_not_cut(page, whole):
 def test_a_very_long_page():
     page = "<article>" + "".join(f"<p>{WRAPPED} {i}" for i in range(20_000)) + "</article>"
     assert html_text.extract(page).count("\n") == 19_999
+
+
+# ---- wording that decides a licence
+
+BSD2 = next(t for n, t in licenses.TEMPLATES if n == "BSD-2-Clause" and len(t) > 100)
+
+
+@pytest.mark.parametrize("text, names", [
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", []), ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", []),
+    ("This work is licensed under a Creative Commons Attribution 3.0 International License.", []), ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+    ("This work is licensed under the GNU General Public License, version 5.", []), ("Licensed under the Apache License, Version 3.0.", []), ("This work is not licensed under the GNU General Public License, version 3.", []),
+    ("This is NOT released under the MIT License.", []), ("It isn't licensed under CC BY 4.0.", []), ("SPDX-License-Identifier: MIT", ["MIT"]), ("All of it is CC-BY-4.0, mind.", ["CC-BY-4.0"]), ("It is under the GNU GPL v3 or so.", ["GPL-3.0"]),
+    (BSD2, ["BSD-2-Clause"]), ("Licensed under CC BY-SA 3.0.", []), ("Released under the MIT License. Released under the MIT License.", ["MIT", "MIT"]),
+])
+def test_names_versions_clauses_and_negations_decide(text, names):
+    assert [m["license"] for m in licenses.scan_text("Prose that goes before. " + text + " And some after it.")[1]] == names
+
+
+def test_ranking_leaves_out_no_match(monkeypatch):
+    """Templates with up to 12 % of their words changed, among prose: the same as if every template were aligned with every block."""
+    rng = np.random.default_rng(5)
+    prose = "the harbour was quiet that morning and nobody had expected boats to come back before noon software license copyright permission".split()
+    texts = []
+    for _ in range(80):
+        words = licenses.TEMPLATES[rng.integers(len(licenses.TEMPLATES))][1].split()
+        for _ in range(int(rng.integers(0, 1 + int(len(words) * 0.12)))):
+            words[int(rng.integers(len(words)))] = str(rng.choice(prose))
+        texts.append(" ".join([*rng.choice(prose, int(rng.integers(0, 300))), *words]) + ". " + " ".join(rng.choice(prose, int(rng.integers(0, 300)))))
+    found = [licenses.scan_text(t)[1] for t in texts]
+    monkeypatch.setattr(licenses, "LEAST_SAVED", -(10.0**9))
+    assert found == [licenses.scan_text(t)[1] for t in texts] and sum(map(len, found)) > 50
+
+
+def test_many_licence_words_take_time_in_proportion():
+    rng = np.random.default_rng(3)
+    words = sorted({w for _, _, ws, _ in licenses.compressors()[1] for w in ws})
+    began = time.time()
+    licenses.scan_text(" ".join(rng.choice(words, 20_000)))
+    assert time.time() - began < 30
+
+
+def test_licenses_of_odd_tables(spark):
+    rows = [(1, "Released under the MIT License.", "x", 3), (1, "Released under the MIT License.", "x", 3), (2, "Licensed under CC BY 4.0. Licensed under CC BY 4.0.", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, licenses string, matches int")
+    found = licenses.scan(df).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["licenses"], r["n_matches"]) for r in found] == [(1, "MIT", 1), (1, "MIT", 1), (2, "CC-BY-4.0", 2)]
