@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import textwrap
 import time
@@ -388,3 +389,15 @@ def test_licenses_of_odd_tables(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, licenses string, matches int")
     found = licenses.scan(df).orderBy("doc_id").collect()
     assert [(r["doc_id"], r["licenses"], r["n_matches"]) for r in found] == [(1, "MIT", 1), (1, "MIT", 1), (2, "CC-BY-4.0", 2)]
+
+
+def test_held_out_toxicity_of_the_given_tables(spark):
+    where = "/root/testdata/sf0.1"
+    if not os.path.isdir(where):
+        pytest.skip("no test tables")
+    docs, labels = (spark.read.parquet(f"{where}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    marked = labels.where(toxicity.held_out() & F.col("toxic").isNotNull()).select("doc_id", "toxic")
+    rows = toxicity.score(docs.join(marked.select("doc_id"), "doc_id", "left_semi"), model).join(marked, "doc_id").select("predicted", "toxic").collect()
+    found = sum(r["predicted"] and r["toxic"] for r in rows)
+    assert found >= 0.9 * sum(r["toxic"] for r in rows) > 80 and found >= 0.9 * sum(r["predicted"] for r in rows)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import id_text, sliced, stored, trim
 
 EXAMPLES = 2000
-K, BLOCK, COMMON, SHRINK = 15, 64, 20, 0.05
+K, BLOCK, COMMON, SHRINK = 5, 64, 20, 0.05
 #: Documents, and about how many characters of them, that are looked up together.
 TOGETHER, PART_CHARS = 384, 400_000
 
