@@ -63,14 +63,6 @@ def normalise_header(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(t, "[^a-z0-9 ]+", " "), " +", " "))
 
 
-def alias_to_name(c: Column, aliases: dict[str, tuple[str, ...]]) -> Column:
-    """The canonical name of which ``c`` is an alias, else null."""
-    out = F.lit(None).cast("string")
-    for name, spellings in aliases.items():
-        out = F.when(c.isin(*spellings), F.lit(name)).otherwise(out)
-    return out
-
-
 def label_value(text: Column, label: str, labels: tuple[str, ...]) -> Column:
     """What stands after "label:" up to the next of ``labels``."""
     others = "|".join(sorted((x for x in labels if x != label), key=len, reverse=True))

@@ -13,8 +13,10 @@ from tidemark.plans import careers, cleaning, contracts
 from tidemark.plans.queries import RUNS, H, query, read
 from tidemark.plans.runs import ORDER, runs
 from tidemark.sources import extraction as X
+from tidemark.sources import generators
 from tidemark.sources import race_pages as P
 from tidemark.sources.scratch import settled, shared_dir
+from tidemark.streaming import discovery
 
 SITE = "https://races.example"
 
@@ -269,3 +271,38 @@ def _(spark, d):
 @query("extracted_runners", f"""WITH {RUNS} SELECT race_id || '_HK_' || horse_id AS result_id, (count(*) OVER (PARTITION BY race_id))::INT AS field_size, draw AS horse_number, finishing_position, odds FROM runs WHERE race_number % 8 IN (0, 7)""")
 def _(spark, d):
     return X.runner_rows(X.outcomes(_mixed_pages(spark, d)), SITE).select("result_id", "field_size", "horse_number", "finishing_position", "odds")
+
+
+# ---- discovery, and cards with profiles
+
+
+def day_pages(spark, d):
+    """(day, code, html) of the days and courses with races; a page in seven is broken."""
+    shown = F.concat(F.lit("<b>race "), F.col("race_number"), F.lit(" of 12</b>"))
+    pages = runs(spark, d).groupBy(F.col("race_date").alias("day"), F.col("racecourse_code").alias("code")).agg(F.array_join(F.collect_list(shown), " ").alias("html"))
+    return pages.withColumn("html", F.when(F.dayofyear("day") % 7 == 3, F.concat(F.lit("<![bad["), "html")).otherwise(F.col("html")))
+
+
+@query("meeting_discovery", f"""WITH {RUNS} SELECT DISTINCT race_date AS day, racecourse_code AS code, race_number AS number, racecourse_code || '_' || strftime(race_date, '%Y%m%d') || '_R' || lpad(CAST(race_number AS VARCHAR), 2, '0') AS race_id FROM runs WHERE dayofyear(race_date) % 7 <> 3""")
+def _(spark, d):
+    place = f"{shared_dir(spark)}/tidemark/discovery-{uuid.uuid4().hex}"
+    days = generators.days_of(read(spark, d, "events"), "ts", 5, 5).select("day", F.explode(F.array(F.lit("ST"), F.lit("HV"))).alias("code"))
+    pages = settled(day_pages(spark, d), "day_pages")
+    for part in (0, 1):  # tasks come up in two lots; each run does what is new, and a third one nothing
+        days.where(F.dayofmonth("day") % 2 == part).write.mode("append").parquet(f"{place}/tasks")
+        discovery.discover(spark, f"{place}/tasks", pages, f"{place}/races", f"{place}/checkpoint")
+    discovery.discover(spark, f"{place}/tasks", pages, f"{place}/races", f"{place}/checkpoint")
+    return spark.read.parquet(f"{place}/races")
+
+
+@query("cards_with_profiles", f"""WITH {RUNS}, p AS (SELECT DISTINCT horse_id, 'Sire ' || horse_id AS sire FROM runs WHERE horse_id % 3 <> 0)
+SELECT result_id, CASE WHEN race_number % 3 = 0 THEN 'HV' WHEN race_number % 3 = 1 THEN 'ST' END AS racecourse_code, coalesce(p.sire, 'unknown') AS sire,
+       row_number() OVER (ORDER BY CASE WHEN race_number % 3 = 0 THEN 'HV' WHEN race_number % 3 = 1 THEN 'ST' END NULLS FIRST, coalesce(nullif(race_number, 0), 999), coalesce(nullif(draw - 1, 0), 999), result_id) - 1 AS place
+FROM runs LEFT JOIN p ON p.horse_id = runs.horse_id""")
+def _(spark, d):
+    df, n = runs(spark, d), F.col("race_number")
+    link = F.when(n % 3 == 0, "/card?x=1&Racecourse=HV").otherwise("/card")
+    df = df.select("result_id", "race_number", "horse_id", (F.col("draw") - 1).alias("horse_number"), P.venue(link, F.when(n % 3 == 1, "Sha Tin, 12:30").otherwise("Elsewhere")).alias("racecourse_code"), F.lit("unknown").alias("sire"))
+    known = df.where("horse_id % 3 <> 0").select("horse_id", F.concat(F.lit("Sire "), "horse_id").alias("sire")).distinct()
+    cards = P.with_profiles(df, known, ["sire"])
+    return P.card_places(cards, ["result_id"]).select("result_id", "racecourse_code", "sire", "place")

@@ -441,28 +441,30 @@ VALUES = [
     (6, "N", " 0.00 ", " 2 ", " 12 ", " 1/1/2024 ", "$ 3", "Class 7", "rating:9-8"), (7, "SH", "0:00", "6", "7-8", "31/02/2023", "", "group 3", "1-2,3"), (8, "---", "2:00", "", "", "", "HK 5", "", ""), (9, "1/0", "99", "5", "1.5", "2024-1-9", "$,", "C3", "5-4"), (10, "-1", "100", "0", "9\u00a09", "9/9/2019", "US$12,", "class2", "RATING 10 - 5"),
 ]
 VALUE_SCHEMA = "k int, margin string, time string, cls string, num string, day string, prize string, race_class string, band string"
-VALUES_SQL = "v(k, margin, t, cls, num, day, prize, race_class, band) AS (VALUES " + ", ".join("(" + ", ".join("NULL" if x is None else str(x) if isinstance(x, int) else "'" + x + "'" for x in row) + ")" for row in VALUES) + ")"
+VALUES_SQL = "w(k, margin, t, cls, num, day, prize, race_class, band) AS (VALUES " + ", ".join("(" + ", ".join("NULL" if x is None else str(x) if isinstance(x, int) else "'" + x + "'" for x in row) + ")" for row in VALUES) + "), v AS (SELECT event_id, w.* FROM events JOIN w ON k = 1 + event_id % 10)"
 
 
-def _values(spark):
-    return spark.createDataFrame(VALUES, VALUE_SCHEMA)
+def _values(spark, d):
+    """Every event with one of the spellings."""
+    spelled = F.broadcast(spark.createDataFrame(VALUES, VALUE_SCHEMA))  # ten rows
+    return read(spark, d, "events").select("event_id").join(spelled, F.col("k") == 1 + F.col("event_id") % 10)
 
 
 @query("margin_time_class_parsers", f"""WITH {VALUES_SQL}, u AS (SELECT *, regexp_replace(upper(trim(margin)), '^[+]', '') AS m, trim(t) AS tt FROM v)
-SELECT k, CASE WHEN m = 'DH' THEN 0 WHEN m IN ('N', 'NOSE') THEN 0.05 WHEN m = 'SH' THEN 0.1 WHEN m = 'HD' THEN 0.2 WHEN m IN ('NK', 'NECK') THEN 0.25
+SELECT event_id, CASE WHEN m = 'DH' THEN 0 WHEN m IN ('N', 'NOSE') THEN 0.05 WHEN m = 'SH' THEN 0.1 WHEN m = 'HD' THEN 0.2 WHEN m IN ('NK', 'NECK') THEN 0.25
   WHEN regexp_full_match(m, '([0-9]+-)?[0-9]+/[0-9]+') THEN coalesce(try_cast(regexp_extract(m, '^([0-9]+)-', 1) AS DOUBLE), 0) + try_cast(regexp_extract(m, '([0-9]+)/', 1) AS DOUBLE) / nullif(try_cast(regexp_extract(m, '/([0-9]+)', 1) AS DOUBLE), 0)
   WHEN regexp_full_match(m, '[0-9]+([.][0-9]+)?') THEN m::DOUBLE END::DOUBLE AS margin_lengths,
   CASE WHEN regexp_full_match(tt, '([0-9]+:)?[0-9]{{1,2}}([.][0-9]+)?') THEN round(coalesce(try_cast(regexp_extract(tt, '^([0-9]+):', 1) AS DOUBLE), 0) * 60 + try_cast(regexp_extract(tt, '([0-9.]+)$', 1) AS DOUBLE), 6) END AS seconds,
   CASE WHEN regexp_full_match(trim(cls), '[1-5]') THEN trim(cls)::DOUBLE END AS class_number FROM u""")
 def _(spark, d):
-    return _values(spark).select("k", text.margin_lengths(F.col("margin")).alias("margin_lengths"), r6(text.finish_seconds(F.col("time"))).alias("seconds"), text.class_number(F.col("cls")).alias("class_number"))
+    return _values(spark, d).select("event_id", text.margin_lengths(F.col("margin")).alias("margin_lengths"), r6(text.finish_seconds(F.col("time"))).alias("seconds"), text.class_number(F.col("cls")).alias("class_number"))
 
 
-@query("text_clean_and_ints", f"""WITH {VALUES_SQL} SELECT k, trim(regexp_replace(regexp_replace(coalesce(num, ''), chr(160), ' ', 'g'), '\\s+', ' ', 'g')) AS cleaned, try_cast(nullif(regexp_extract(num, '(-?[0-9]+)', 1), '') AS INT) AS first_int, try_cast(nullif(regexp_extract(replace(num, ',', ''), '(-?[0-9]+)', 1), '') AS INT) AS whole_int,
+@query("text_clean_and_ints", f"""WITH {VALUES_SQL} SELECT event_id, trim(regexp_replace(regexp_replace(coalesce(num, ''), chr(160), ' ', 'g'), '\\s+', ' ', 'g')) AS cleaned, try_cast(nullif(regexp_extract(num, '(-?[0-9]+)', 1), '') AS INT) AS first_int, try_cast(nullif(regexp_extract(replace(num, ',', ''), '(-?[0-9]+)', 1), '') AS INT) AS whole_int,
 try_cast(replace(num, ',', '') AS DOUBLE) AS as_float, try_cast(replace(nullif(regexp_extract(prize, '(?i)(?:HK\\s*)?[$]\\s*([0-9,]+)', 1), ''), ',', '') AS BIGINT) AS prize FROM v""")
 def _(spark, d):
     n = F.col("num")
-    return _values(spark).select("k", text.clean_text(n).alias("cleaned"), text.parse_integer(n).alias("first_int"), text.parse_int(n).alias("whole_int"), text.parse_float(n).alias("as_float"), text.parse_money(F.col("prize")).alias("prize"))
+    return _values(spark, d).select("event_id", text.clean_text(n).alias("cleaned"), text.parse_integer(n).alias("first_int"), text.parse_int(n).alias("whole_int"), text.parse_float(n).alias("as_float"), text.parse_money(F.col("prize")).alias("prize"))
 
 
 @query("document_text_clean", "SELECT doc_id, md5(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS cleaned_md5 FROM documents")
@@ -470,17 +472,17 @@ def _(spark, d):
     return read(spark, d, "documents").select("doc_id", F.md5(text.clean_text(F.col("text"))).alias("cleaned_md5"))
 
 
-@query("date_parse_coalesce", f"WITH {VALUES_SQL} SELECT k, CAST(coalesce(CASE WHEN regexp_full_match(trim(day), '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}') THEN try_strptime(trim(day), '%d/%m/%Y') END, CASE WHEN regexp_full_match(trim(day), '[0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{4}}') THEN try_strptime(trim(day), '%d-%m-%Y') END, CASE WHEN regexp_full_match(trim(day), '[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}') THEN try_strptime(trim(day), '%Y-%m-%d') END, CASE WHEN regexp_full_match(trim(day), '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2}}') THEN try_strptime(trim(day), '%d/%m/%y') END) AS DATE) AS day FROM v")
+@query("date_parse_coalesce", f"WITH {VALUES_SQL} SELECT event_id, CAST(coalesce(CASE WHEN regexp_full_match(trim(day), '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}') THEN try_strptime(trim(day), '%d/%m/%Y') END, CASE WHEN regexp_full_match(trim(day), '[0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{4}}') THEN try_strptime(trim(day), '%d-%m-%Y') END, CASE WHEN regexp_full_match(trim(day), '[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}') THEN try_strptime(trim(day), '%Y-%m-%d') END, CASE WHEN regexp_full_match(trim(day), '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2}}') THEN try_strptime(trim(day), '%d/%m/%y') END) AS DATE) AS day FROM v")
 def _(spark, d):
-    return _values(spark).select("k", dates.parse_form_day(F.col("day")).alias("day"))
+    return _values(spark, d).select("event_id", dates.parse_form_day(F.col("day")).alias("day"))
 
 
 @query("domain_text_normalisers", f"""WITH {VALUES_SQL}, u AS (SELECT *, upper(trim(coalesce(race_class, ''))) AS c FROM v)
-SELECT k, CASE WHEN regexp_matches(c, '\\bCLASS\\s*[1-5]\\b') THEN 'C' || regexp_extract(c, '\\bCLASS\\s*([1-5])\\b', 1) WHEN regexp_matches(c, '\\bGROUP\\s*(1|ONE)\\b') THEN 'G1' WHEN regexp_matches(c, '\\bGROUP\\s*(2|TWO)\\b') THEN 'G2' WHEN regexp_matches(c, '\\bGROUP\\s*(3|THREE)\\b') THEN 'G3' WHEN regexp_matches(c, '\\bLISTED\\b') THEN 'L' WHEN regexp_matches(c, '\\bGRIFFIN\\b') THEN 'GRIFFIN' ELSE '' END AS race_class,
+SELECT event_id, CASE WHEN regexp_matches(c, '\\bCLASS\\s*[1-5]\\b') THEN 'C' || regexp_extract(c, '\\bCLASS\\s*([1-5])\\b', 1) WHEN regexp_matches(c, '\\bGROUP\\s*(1|ONE)\\b') THEN 'G1' WHEN regexp_matches(c, '\\bGROUP\\s*(2|TWO)\\b') THEN 'G2' WHEN regexp_matches(c, '\\bGROUP\\s*(3|THREE)\\b') THEN 'G3' WHEN regexp_matches(c, '\\bLISTED\\b') THEN 'L' WHEN regexp_matches(c, '\\bGRIFFIN\\b') THEN 'GRIFFIN' ELSE '' END AS race_class,
 regexp_replace(coalesce(nullif(regexp_extract(band, '(?i)rating\\s*:\\s*([0-9]+\\s*-\\s*[0-9]+)', 1), ''), nullif(regexp_extract(band, '(?i)rating\\s+([0-9]+\\s*-\\s*[0-9]+)', 1), ''), list_extract(list_filter(string_split(band, ','), lambda p: regexp_full_match(trim(p), '[0-9]+\\s*-\\s*[0-9]+')), 1)), '\\s+', '', 'g') AS band,
 CASE WHEN trim(coalesce(t, '')) <> '' AND NOT regexp_full_match(trim(t), '0+([:.]0+)+') THEN trim(t) END AS finish_time FROM u""")
 def _(spark, d):
-    return _values(spark).select("k", text.race_class_code(F.col("race_class")).alias("race_class"), text.rating_band(F.col("band")).alias("band"), text.clean_finish_time(F.col("time")).alias("finish_time"))
+    return _values(spark, d).select("event_id", text.race_class_code(F.col("race_class")).alias("race_class"), text.rating_band(F.col("band")).alias("band"), text.clean_finish_time(F.col("time")).alias("finish_time"))
 
 
 @query("url_id_extract", "SELECT page_id, nullif(regexp_extract(url, '(?i)[?&]page=([^&]+)', 1), '') AS raw_page, nullif(regexp_extract(url, '(?i)[?&]ref=([^&#]+)', 1), '') AS ref FROM pages")
@@ -494,21 +496,20 @@ def _(spark, d):
     return read(spark, d, "pages").select("page_id", text.with_query_option(F.col("url"), "page", "1").alias("url"))
 
 
-AGES = [(1, 5, "NZ", "2024-05-01", "2023-09-01"), (2, 5, "NZ", "2024-09-01", "2023-07-31"), (3, 4, "IRE", "2024-05-01", "2023-12-31"), (4, 3, "GB", "2024-05-01", "2020-01-01"), (5, 6, "AUS", "2024-08-01", "2024-08-01"), (6, None, "AUS", "2024-08-01", "2024-08-01")]
-
-
-@query("age_at_event", "WITH v(k, age, c, s, d) AS (VALUES " + ", ".join(f"({k}, {'NULL' if a is None else a}, '{c}', DATE '{s}', DATE '{e}')" for k, a, c, s, e in AGES) + """), h AS (SELECT *, CASE WHEN c IN ('NZ', 'AUS') THEN 8 ELSE 1 END AS m FROM v),
-b AS (SELECT *, year(s) - age - (s < make_date(year(s), m, 1))::INT AS born FROM h), g AS (SELECT k, (year(d) - born - (d < make_date(year(d), m, 1))::INT)::INT AS age FROM b) SELECT k, CASE WHEN age >= 0 THEN age END AS age FROM g""")
+@query("age_at_event", f"""WITH {RUNS}, v AS (SELECT result_id, CASE WHEN result_id % 7 <> 0 THEN (result_id % 6)::INT END AS age, list_extract(['NZ', 'AUS', 'IRE', 'GB', ''], (1 + result_id % 5)::INT) AS c, (DATE '2023-06-01' + (result_id % 500)::INT) AS s, race_date AS d FROM runs),
+h AS (SELECT *, CASE WHEN c IN ('NZ', 'AUS') THEN 8 ELSE 1 END AS m FROM v),
+b AS (SELECT *, year(s) - age - (s < make_date(year(s), m, 1))::INT AS born FROM h), g AS (SELECT result_id, (year(d) - born - (d < make_date(year(d), m, 1))::INT)::INT AS age FROM b) SELECT result_id, CASE WHEN age >= 0 THEN age END AS age FROM g""")
 def _(spark, d):
-    df = spark.createDataFrame(AGES, "k int, age int, c string, s string, d string").withColumns({"s": F.to_date("s"), "d": F.to_date("d")})
-    return df.select("k", dates.age_on(F.col("age"), F.col("c"), F.col("s"), F.col("d")).alias("age"))
+    n = F.col("result_id")
+    country = F.element_at(F.array(*map(F.lit, ("NZ", "AUS", "IRE", "GB", ""))), (1 + n % 5).cast("int"))
+    return runs(spark, d).select("result_id", dates.age_on(F.when(n % 7 != 0, (n % 6).cast("int")), country, F.date_add(F.lit("2023-06-01").cast("date"), (n % 500).cast("int")), F.col("race_date")).alias("age"))
 
 
-@query("explode_tasks", "SELECT CAST(d AS DATE) AS day, c AS code, n::INT AS number, c || '_' || strftime(d, '%Y%m%d') || '_R' || lpad(CAST(n AS VARCHAR), 2, '0') AS race_id FROM generate_series(TIMESTAMP '2024-02-27', TIMESTAMP '2024-03-02', INTERVAL 1 DAY) t(d), (VALUES ('ST'), ('HV')) v(c), range(1, 13) r(n)")
+@query("explode_tasks", "SELECT CAST(t.d AS DATE) AS day, c AS code, n::INT AS number, c || '_' || strftime(t.d, '%Y%m%d') || '_R' || lpad(CAST(n AS VARCHAR), 2, '0') AS race_id FROM (SELECT unnest(generate_series(min(CAST(ts AS DATE))::TIMESTAMP, max(CAST(ts AS DATE))::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM events) AS t, (VALUES ('ST'), ('HV')) v(c), range(1, 13) r(n)")
 def _(spark, d):
-    from tidemark.sources.generators import days, probes
+    from tidemark.sources.generators import days_of, probes
 
-    return probes(days(spark, "2024-02-27", "2024-03-02"), ["ST", "HV"], 12)
+    return probes(days_of(read(spark, d, "events"), "ts"), ["ST", "HV"], 12)
 
 
 # ---- stateful and whole builds

@@ -86,12 +86,3 @@ def table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
 
     kind = dict(pages.dtypes)[key]
     return pages.select(key, html).mapInPandas(rows, f"{key} {kind}, table_no int, row_no int, cells array<string>, links array<string>")
-
-
-def header_map(cells: Column, aliases: dict[str, tuple[str, ...]], first: bool = True) -> dict[str, Column]:
-    """For each name the place of the first (or last) cell that is one of its spellings; null if none is."""
-    out = {}
-    for name, spellings in aliases.items():
-        at = F.filter(F.transform(cells, lambda c, i: F.when(F.lower(F.trim(c)).isin(*spellings), i)), lambda i: i.isNotNull())
-        out[name] = F.get(at, F.lit(0)) if first else F.try_element_at(at, F.lit(-1))
-    return out

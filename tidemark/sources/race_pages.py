@@ -360,10 +360,13 @@ def best_records(df: DataFrame, group: list[str], first: str, second: str, score
     return df
 
 
-def card_order(df: DataFrame) -> DataFrame:
-    """By course, race and horse number, unknown numbers and 0 last."""
+def card_places(df: DataFrame, ties: list[str]) -> DataFrame:
+    """Adds ``place`` (0, 1, ...) in the order of cards: course, race and horse number, unknown numbers and 0 last, then ``ties``."""
+    from tidemark.operators.scans import in_order
+
     last = lambda c: F.coalesce(F.nullif(c, F.lit(0)), F.lit(999))
-    return df.orderBy("racecourse_code", last("race_number"), last("horse_number"))
+    keys = {"_known": F.col("racecourse_code").isNotNull(), "_race": last("race_number"), "_horse": last("horse_number")}
+    return in_order(df.withColumns(keys), ["_known", "racecourse_code", "_race", "_horse", *ties], "place").drop(*keys)
 
 
 def with_profiles(runners: DataFrame, found: DataFrame, columns: list[str]) -> DataFrame:
