@@ -18,13 +18,14 @@ def career(df: DataFrame, order: list[str], prize: Column) -> DataFrame:
     is_so = lambda c: F.coalesce(c, F.lit(False)).cast("bigint")
     before = {"starts": position.isNotNull(), "wins": position == 1, "seconds": position == 2, "thirds": position == 3, "top3": position <= 3}
     cut = scans.in_blocks(df, ["horse_id"], order, "careers")
-    df = scans.scan(cut, ["horse_id"], {**{f"career_{k}_before": is_so(c) for k, c in before.items()}, "_won_before": won})
+    df = scans.scan(cut, ["horse_id"], {**{f"_{k}_before": is_so(c) for k, c in before.items()}, "_won_before": won})
     after = F.bround(F.coalesce("_won_before", F.lit(0.0)) + won, 2)
-    counts = {f"career_{k}_before": F.coalesce(f"career_{k}_before", F.lit(0).cast("bigint")) for k in before}
+    counts = {f"career_{k}_before": F.coalesce(f"_{k}_before", F.lit(0).cast("bigint")) for k in before}
     df = df.withColumns(counts | {"career_prize_money_after": after})
     starts = F.col("career_starts_before")
     df = df.withColumns({
         "career_win_rate_before": numbers.rate(F.col("career_wins_before"), starts, 4), "career_top3_rate_before": numbers.rate(F.col("career_top3_before"), starts, 4),
         "career_prize_money_before": F.bround(F.col("career_prize_money_after") - won, 2),
     })
-    return df.select(*columns, *counts, "career_prize_money_after", "career_win_rate_before", "career_top3_rate_before", "career_prize_money_before")
+    made = [*counts, "career_prize_money_after", "career_win_rate_before", "career_top3_rate_before", "career_prize_money_before"]
+    return df.select(*dict.fromkeys([*columns, *made]))
