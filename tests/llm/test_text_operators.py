@@ -401,3 +401,14 @@ def test_held_out_toxicity_of_the_given_tables(spark):
     rows = toxicity.score(docs.join(marked.select("doc_id"), "doc_id", "left_semi"), model).join(marked, "doc_id").select("predicted", "toxic").collect()
     found = sum(r["predicted"] and r["toxic"] for r in rows)
     assert found >= 0.9 * sum(r["toxic"] for r in rows) > 80 and found >= 0.9 * sum(r["predicted"] for r in rows)
+
+
+def test_token_lookup(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(token_files, "FILE_TOKENS", 60)
+    texts = {i * 3: f"text {i} " + "with words " * (i % 9) + "é" * (i % 4) for i in range(60)} | {700: "", 701: None}
+    path = token_files.write(documents(spark, list(texts.items())), BPE, end_id=0, partitions=4)
+    ids = {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for d, t in texts.items()}
+    wanted = [(d, i) for d in (0, 3, 90, 177, 700, 701) for i in range(-1, 9)] + [(1, 0), (-5, 0), (999, 0), (3, None)]
+    found = {(r["doc_id"], r["i"]): r["token"] for r in token_files.lookup(spark, path, spark.createDataFrame(wanted, "doc_id long, i long")).collect()}
+    assert found == {(d, i): ids[d][i] if d in ids and i is not None and 0 <= i < len(ids[d]) else None for d, i in wanted}
+    assert token_files.lookup(spark, path, spark.createDataFrame([], "doc_id long, i long")).count() == 0

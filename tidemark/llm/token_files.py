@@ -5,7 +5,7 @@ bitmap tells which ids go on, and level n+1 holds the next chunk of those only.
 before each block of ``RANK_BLOCK`` bits, so any token is read by one chunk a level, without decoding its neighbours.
 
 A file (one row of the written table: Spark's writer commits it whole, so a lost executor leaves no half file, and any
-store that Spark writes to will do) is laid out as follows, little-endian:
+store that Spark writes to will do, and it is stored uncompressed, so that an address leads to its bytes) is laid out as follows, little-endian:
 
     "DAC1", u32 levels, u64 tokens, u64 documents,
     i64 doc_id of each document, u64 first token of each document and the end,
@@ -25,11 +25,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, scratch_path
+from tidemark.llm.common import id_text, scratch_path, stored
 from tidemark.llm.words_bpe import word_cache
+from tidemark.operators import scans
 
 CHUNK = 8
 RANK_BLOCK = 512
@@ -151,10 +152,44 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = 0, partitions: int
             yield closed()
 
     ordered = id_text(docs).where(F.col("doc_id").isNotNull()).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInPandas(files, FILE_SCHEMA).write.option("compression", "zstd").parquet(path)
+    # as they are: a compressed page would have to be decoded for one token
+    ordered.mapInPandas(files, FILE_SCHEMA).write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
     return path
 
 
+def lookup(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """The tokens at (doc_id, i), i from 0, of the files at ``path``: doc_id, i, token; null where there is no such place.
+
+    Each pair finds its file as of the last one that begins at or before its doc_id; only files between the first and the last one
+    found are read, and of these a chunk a level for each pair. Of a repeated doc_id the first entry of its last file counts."""
+    files = spark.read.schema(FILE_SCHEMA).parquet(path)
+    none = F.lit(None).cast("long")
+    asked = wanted.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("i").cast("long").alias("i"), F.lit(1).alias("kind"), none.cast("int").alias("part"), none.cast("int").alias("seq"))
+    begins = files.select(F.col("first_doc").alias("doc_id"), none.alias("i"), F.lit(0).alias("kind"), "part", "seq")
+    cut = scans.in_blocks(begins.unionByName(asked), [], ["doc_id", "kind", "part", "seq", "i"], "lookup", store=stored)
+    placed = scans.scan(cut, [], lasts={"file": F.when(F.col("kind") == 0, F.struct("part", "seq", F.col("doc_id").alias("first_doc")))}).where("kind = 1")
+    placed = stored(placed.select("doc_id", "i", "file.*"), "lookup_placed")
+    ends = placed.agg(F.min("first_doc").alias("low"), F.max("first_doc").alias("high")).first()
+    deal = F.pmod(F.xxhash64("doc_id", "i"), F.lit(8))  # a file that is asked for much is read by some tasks
+    of_file = placed.where("part is not null").groupBy("part", "seq", deal.alias("deal")).agg(F.collect_list(F.struct("doc_id", "i")).alias("places"))
+    read_files = files.where(F.col("first_doc").between(ends["low"], ends["high"])) if ends["low"] is not None else files.limit(0)
+
+    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for payload, places in zip(pdf["payload"], pdf["places"], strict=True):
+                f = TokenFile(payload)
+                out = []
+                for place in places:
+                    doc_id, i = place["doc_id"], None if pd.isna(place["i"]) else int(place["i"])  # a null makes the others floats
+                    k = int(np.searchsorted(f.doc_ids, doc_id))
+                    there = k < f.n_docs and f.doc_ids[k] == doc_id and i is not None and 0 <= i < f.starts[k + 1] - f.starts[k]
+                    out.append((doc_id, i, f.token(int(f.starts[k]) + i) if there else None))
+                yield pd.DataFrame(out, columns=["doc_id", "i", "token"]).astype("Int64")
+
+    found = of_file.join(read_files.select("part", "seq", "payload"), ["part", "seq"]).select("payload", "places").mapInPandas(tokens, "doc_id long, i long, token long")
+    return found.unionByName(placed.where("part is null").select("doc_id", "i", none.alias("token")))
+
+
 def read(spark, path: str) -> DataFrame:
     """A row for each document of the files at ``path``: doc_id, start, n_tokens, ids_crc32, ids (u32 little-endian).
 
