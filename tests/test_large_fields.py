@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.operators import elo
+from tidemark.operators import elo, tables
 
 
 def expected_by_pairs(ratings):
@@ -37,3 +37,21 @@ def test_elo_of_fields_that_span_batches(spark):
         change = 16.0 * (actual - expected_by_pairs(before[placed])) / (len(placed) - 1)
         ratings |= {race[i]["horse_id"]: before[i] + c for i, c in zip(placed, change, strict=True)}
     assert len({round(x, 6) for x in ratings.values()}) > 3000
+
+
+def test_balance_of_pairs_without_making_them(spark):
+    """One group over all blocks and two billion pairs, beside small ones; equal values, rows without a value, a null group."""
+    rng = np.random.default_rng(7)
+    long = [("long", int(i), int(v)) for i, v in enumerate(rng.integers(0, 60_000, 65_000))]
+    rows = long + [("few", 5, 2), ("few", 1, 3), ("few", 9, 3), ("few", 4, None), ("one", 1, 1), (None, 1, 1), (None, 2, 2), ("same", 1, 4), ("same", 2, 4)]
+    df = spark.createDataFrame(rows, "g string, i long, x int").repartition(5)
+    found = {r["g"]: (r["n_pairs"], r["balance"]) for r in tables.balance_of_pairs(df, "g", "i", "x").collect()}
+    x = np.array([v for _, _, v in long])
+    balance = sum(int(np.sign(x[at + 1 :] - v).sum()) for at, v in enumerate(x))
+    assert found == {"long": (65_000 * 64_999 // 2, balance), "few": (3, 0), "same": (1, 0)}
+
+
+def test_balance_of_pairs_is_that_of_the_pairs(spark):
+    df = spark.range(900).select((F.col("id") * 31 % 7).alias("g"), (F.col("id") * 577 % 900).alias("i"), (F.col("id") * 13 % 41).cast("int").alias("x"))
+    pairs = tables.pairs_in_group(df, ["g"], "i", ["x"]).groupBy("g").agg(F.count("*").alias("n"), F.sum(F.signum(F.col("b.x") - F.col("a.x")).cast("bigint")).alias("s"))
+    assert sorted(map(tuple, tables.balance_of_pairs(df, "g", "i", "x").collect())) == sorted(map(tuple, pairs.collect()))

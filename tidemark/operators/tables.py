@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,3 +122,71 @@ def pairs_in_group(df: DataFrame, group: Sequence[str], order: str, columns: Seq
     first = rows.select(*group, "_rows", F.posexplode("_rows").alias("_at", "a"))
     after = F.slice("_rows", F.col("_at") + 2, F.size("_rows"))
     return first.select(*group, "a", F.explode(after).alias("b"))
+
+
+def _segments(*columns: np.ndarray) -> np.ndarray:
+    """A number for each stretch of rows that are equal in all of the columns."""
+    if not len(columns[0]):
+        return np.empty(0, dtype=np.int64)
+    new = np.zeros(len(columns[0]), dtype=bool)
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.cumsum(new)
+
+
+def balance_in_order(group: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each of the groups 0, 1, ... (ascending rows) the pairs of rows of which the earlier has the lesser value, less those
+    of which it has the greater one. Two values part at one bit of their ranks, so the rows that agree above a bit are counted
+    at each bit: rows times bits, whatever the number of pairs."""
+    n_groups = int(group[-1]) + 1 if len(group) else 0
+    out = np.zeros(n_groups, dtype=np.int64)
+    rank = np.unique(values, return_inverse=True)[1].astype(np.int64)
+    for bit in range(int(rank.max(initial=0)).bit_length() - 1, -1, -1):
+        order = np.lexsort((rank >> (bit + 1), group))  # stable: rows that agree above the bit, in their order
+        segment, upper = _segments(group[order], rank[order] >> (bit + 1)), (rank[order] >> bit) & 1
+        start = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])[segment]
+        ones, zeros = np.r_[0, np.cumsum(upper)], np.r_[0, np.cumsum(1 - upper)]
+        at = np.arange(len(order))
+        earlier = np.where(upper == 1, zeros[at] - zeros[start], ones[start] - ones[at])
+        np.add.at(out, group[order], earlier)
+    return out
+
+
+def balance_of_pairs(df: DataFrame, group: str, order: str, value: str) -> DataFrame:
+    """(group, n_pairs, balance): of each group's pairs of rows how many there are, and those of which the row that comes first by
+    ``order`` has the lesser ``value`` less those of which it has the greater one; what ``pairs_in_group`` would give when its
+    pairs are counted, without making them. Groups of one row have no pair and are left out, as are rows without a value; a
+    null group is none. ``order`` must be distinct within a group.
+
+    Rows are dealt in blocks by (group, order), so a group of any share of the rows is many tasks. A block counts its own pairs in
+    numpy. Two blocks part at one bit of their numbers: at each bit the counts by value of the lower blocks stand against those
+    of the upper ones, in running totals by value. So rows are met as often as block numbers have bits."""
+    from tidemark.operators import windows as W
+    from tidemark.operators.scans import BLOCK, PLACE, in_blocks
+
+    rows = in_blocks(df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, order, value), [group], [order], "pairs", kept=(group, value))
+    kind = dict(rows.dtypes)[group]
+
+    def own(block: pa.Table) -> pa.Table:
+        block = block.sort_by("place").combine_chunks()
+        codes = block.column("of").combine_chunks()
+        found = _segments(codes.dictionary_encode().indices.to_numpy())
+        first = pa.array(np.flatnonzero(np.r_[True, found[1:] != found[:-1]]))
+        return pa.table({"of": codes.take(first), "balance": balance_in_order(found, block.column("value").to_numpy())})
+
+    within = rows.select(BLOCK, F.col(group).alias("of"), F.col(value).alias("value"), F.col(PLACE).alias("place")).groupBy(BLOCK).applyInArrow(own, f"of {kind}, balance long")
+
+    counts = rows.groupBy(group, BLOCK, value).agg(F.count("*").alias("n"))
+    spans = counts.groupBy(F.col(group).alias("_g")).agg(F.min(BLOCK).alias("_low"), F.max(BLOCK).alias("_high"), F.sum("n").alias("_rows"))
+    parted = counts.join(spans.where("_low < _high"), F.col(group) == F.col("_g"))
+    bits = F.sequence(F.lit(0), F.length(F.conv(F.col("_high").cast("string"), 10, 2)) - 1)
+    parted = parted.select(group, value, BLOCK, "n", F.explode(bits).alias("_bit"))
+    upper = F.getbit(F.col(BLOCK), F.col("_bit")) == 1
+    node = F.expr(f"shiftright({BLOCK}, _bit + 1)").alias("_node")
+    sides = parted.groupBy(group, "_bit", node, value).agg(F.sum(F.when(upper, 0).otherwise(F.col("n"))).alias("_first"), F.sum(F.when(upper, F.col("n")).otherwise(0)).alias("_then"))
+    less = W._spec([group, "_bit", "_node"], [value]).rowsBetween(W.UP, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(less), F.lit(0))
+    across = sides.select(F.col(group).alias("of"), (F.col("_then") * before("_first") - F.col("_first") * before("_then")).alias("balance"))
+
+    found = within.unionByName(across).groupBy("of").agg(F.sum("balance").alias("balance"))
+    return spans.where("_rows > 1").join(found, F.col("_g") == F.col("of")).select(F.col("_g").alias(group), F.expr("_rows * (_rows - 1) div 2").alias("n_pairs"), "balance")
