@@ -25,13 +25,19 @@ def _td(*cells) -> list:
     return [x for c in cells for x in (F.lit("<td>"), F.coalesce(c.cast("string"), F.lit("")), F.lit("</td>"))]
 
 
-def _page(df, key: str, head: list[str], cells: list, before, marks: str = ""):
-    """(key, html): a table row a row of ``df``, in the order of result_id."""
+def _lots(spark, d) -> int:
+    """How many tasks pages of all runs are dealt to: few runs in each, since a page is long where a race has many."""
+    return max(16, read(spark, d, "events").count() // 16_000)
+
+
+def _page(df, key: str, head: list[str], cells: list, before, lots: int, marks: str = "", also: tuple[str, ...] = ()):
+    """(key, also, html): a table row a row of ``df``, in the order of result_id; ``also``: columns that a page's rows agree in. The
+    rows are dealt by page, and a page is put together where it is parsed."""
     row = F.concat(F.lit("<tr>"), *_td(*cells), F.lit("</tr>"))
     top = "".join(f"<th> {h} </th>" for h in head)
-    pages = df.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("result_id", row.alias("row")))), lambda r: r["row"]), "\n").alias("rows"), F.first(before).alias("before"))
-    pages = pages.select(key, F.concat(F.lit("<html><head><script>var a = '<td>';</script></head><body><table><tr><td>menu</td></tr></table>"), "before", F.lit(f"<div{marks}><table><thead><tr>{top}</tr></thead>"), "rows", F.lit("</table></div></body></html>")).alias("html"))
-    return settled(pages.repartition(16), "pages")  # few bytes, but much to parse
+    rows = df.select(key, *also, "result_id", row.alias("row"), before.alias("before")).repartition(lots, key)
+    pages = rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("result_id", "row"))), lambda r: r["row"]), "\n").alias("rows"), F.first("before").alias("before"), *[F.first(c).alias(c) for c in also])
+    return pages.select(key, *also, F.concat(F.lit("<html><head><script>var a = '<td>';</script></head><body><table><tr><td>menu</td></tr></table>"), "before", F.lit(f"<div{marks}><table><thead><tr>{top}</tr></thead>"), "rows", F.lit("</table></div></body></html>")).alias("html"))
 
 
 def _horse():
@@ -45,8 +51,8 @@ def _(spark, d):
     head = ["Pla.", "Horse No.", "Horse", "Jockey", "Trainer", "Act. Wt.", "Declar. Horse Wt.", "Dr.", "LBW", "Running<br>Position", "Finish Time", "Win Odds"]
     c = F.col
     cells = [c("finishing_position"), c("draw"), _horse(), c("jockey"), c("trainer"), c("actual_weight"), c("declared_horse_weight"), c("draw"), c("margin"), F.lit("1 2 3"), c("finish_time"), F.coalesce(c("odds").cast("string"), F.lit("---"))]
-    pages = _page(df, "race_id", head, cells, F.lit('<table class="race_tab"><tr><td>RACE 1 (7)</td></tr></table>'), ' class="inner performance"')
-    return P.results(P.page_parts(pages, "html"), SITE).drop("row_no")
+    pages = _page(df, "race_id", head, cells, F.lit('<table class="race_tab"><tr><td>RACE 1 (7)</td></tr></table>'), _lots(spark, d), ' class="inner performance"')
+    return P.results(P.page_parts(pages, "html", ["rows"]), SITE).drop("row_no")
 
 
 @query("race_header_pages", f"""WITH {RUNS} SELECT race_id, race_number, (100 + race_number)::INT AS race_index, 'Class ' || (1 + race_number % 5) AS race_class, (1000 + 50 * race_number)::INT AS distance_m, '60-40' AS rating_band, (1000000 + race_number)::BIGINT AS prize_money_hkd,
@@ -67,7 +73,7 @@ def _(spark, d):
     df, c = runs(spark, d), F.col
     cells = [c("race_number"), c("draw"), F.date_format("race_date", "dd/MM/yyyy"), c("distance_m"), F.concat(F.lit("C"), "race_class"), c("horse_rating_before").cast("int")]
     rating = F.concat(F.lit("<p>Current Rating : 1</p><p>Last Rating : "), 50 + c("horse_id") % 40, F.lit("</p>"))
-    return P.rating_history(P.page_parts(_page(df, "horse_id", ["Race<br>Index", "Pla.", "Date", "Dist.", "Race Class", "Rtg."], cells, rating), "html"))
+    return P.rating_history(P.page_parts(_page(df, "horse_id", ["Race<br>Index", "Pla.", "Date", "Dist.", "Race Class", "Rtg."], cells, rating, _lots(spark, d)), "html"))
 
 
 @query("profile_pages", """SELECT c_custkey AS horse_id, 'STAR ' || c_custkey AS horse_name, 'A' || lpad((c_custkey % 1000)::VARCHAR, 3, '0') AS brand_number, CASE c_nationkey % 4 WHEN 0 THEN 'NZ' WHEN 1 THEN 'IRE' WHEN 2 THEN 'KOR' ELSE '' END AS country_of_origin,
@@ -100,7 +106,7 @@ def _(spark, d):
     head = ["Horse No.", "Last 6 Runs", "Colour", "Brand No.", "Horse", "Wt.", "Jockey", "Draw", "Trainer", "Rtg.", "Rtg.+/-", "Horse Wt. (Declaration)", "Days since Last Run"]
     c = F.col
     cells = [c("no"), F.lit("1/2"), F.lit(""), F.lit("A12"), _horse(), c("actual_weight"), c("jockey"), c("draw"), c("trainer"), c("horse_rating_before").cast("int"), F.lit("-"), c("declared_horse_weight"), F.format_number(c("race_number") * 100 + 1000, 0)]
-    return P.starters(P.page_parts(_page(df, "race_id", head, cells, F.lit("")), "html"), SITE)
+    return P.starters(P.page_parts(_page(df, "race_id", head, cells, F.lit(""), _lots(spark, d)), "html", ["rows"]), SITE)
 
 
 @query("best_records_two_passes", f"""WITH {RUNS}, s AS (SELECT result_id, race_id, draw, trainer, (odds IS NOT NULL)::INT + (going IS NOT NULL)::INT + (coalesce(margin, '') <> '')::INT AS score FROM runs),
@@ -246,13 +252,12 @@ def _mixed_pages(spark, d):
     cells = [c("finishing_position"), c("draw"), _horse(), c("jockey"), c("trainer"), c("actual_weight"), c("declared_horse_weight"), c("draw"), c("margin"), c("finish_time"), c("odds")]
     kind = c("race_number") % 8
     before = F.concat(F.lit('<table class="race_tab"><tr><td>RACE '), c("race_number"), F.lit(" (7)</td><td>HK$ "), F.when(kind == 3, "0").otherwise("1,000"), F.lit("</td></tr></table>"))
-    pages = _page(df, "race_id", head, cells, before, ' class="performance"')
+    pages = _page(df, "race_id", head, cells, before, _lots(spark, d), ' class="performance"', ("race_number",))
     html = (
         F.when(kind == 2, F.concat(F.lit("<p>before</p><![bad["), "html")).when(kind == 4, "<html><body><p>No information.</p></body></html>").when(kind == 5, F.replace("html", F.lit("<th> Jockey </th>"), F.lit("<th> Rider </th>")))
         .when(kind == 6, F.regexp_replace("html", "(?s)</thead>.*</table></div>", "</thead><tr><td>Void</td></tr></table></div>")).when(kind != 1, F.col("html"))
     )
-    races = df.select("race_id", "race_number").distinct()
-    return settled(pages.join(races, "race_id").select("race_id", "race_number", html.alias("html")).repartition(16), "pages")
+    return pages.select("race_id", "race_number", html.alias("html"))
 
 
 @query("extraction_outcomes", f"""WITH {RUNS} SELECT race_id, {OUTCOME} AS status, CASE WHEN race_number % 8 = 2 THEN 'AssertionError: unknown status keyword ''bad'' in marked section' END AS message,

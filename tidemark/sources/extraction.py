@@ -1,13 +1,13 @@
 """Extraction that keeps its failures: every page comes out once, with a status and, if it failed, what went wrong.
 
-Pages are parsed by a table function that stands beside each page's row (LATERAL): whatever a page makes the parser raise
-becomes that page's status and message, and no task fails. What became of the pages is counted while they go by.
+Pages are parsed one by one in Arrow batches: whatever a page makes the parser raise becomes that page's status and message,
+and no task fails. What became of the pages is counted while they go by.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from tidemark.sources import race_pages as P
 
 STATUSES = ("OK", "REQUEST_FAILED", "PARSE_FAILED", "SKIP_ZERO_PRIZE", "SKIP_NO_RESULTS")
-PARTS = f"failure string, message string, strings array<string>, hrefs array<string>, rows array<{P.ROW}>"
 
 _CHARSET = re.compile(rb"""charset\s*=\s*["']?\s*([\w.:-]+)""", re.IGNORECASE)
 
@@ -28,36 +27,28 @@ def decoded(html: str | bytes) -> str:
     return bytes(html).decode(named[1].decode() if named else "utf-8")
 
 
-class PageParts:
-    """The table function: one row a page, whatever the page is."""
+def captured(html: str | bytes | None) -> tuple:
+    """failure, message and the parts of a page, whatever it is."""
+    if html is None:
+        return "REQUEST_FAILED", None, P.Parts()
+    try:
+        return None, None, P.parts(decoded(html))
+    except Exception as e:  # noqa: BLE001  a page may make the parser raise anything
+        return "PARSE_FAILED", f"{type(e).__name__}: {e}", P.Parts()
 
-    def eval(self, html: str | bytes | None) -> Iterator[tuple]:
-        if html is None:
-            yield "REQUEST_FAILED", None, [], [], []
-            return
-        try:
-            found = P.parts(decoded(html))
-        except Exception as e:  # noqa: BLE001  a page may make the parser raise anything
-            yield "PARSE_FAILED", f"{type(e).__name__}: {e}", [], [], []
-        else:
-            yield None, None, found["strings"], found["hrefs"], found["rows"]
 
-
-def captured_parts(pages: DataFrame, html: str) -> DataFrame:
-    """The other columns of ``pages`` with failure, message, strings, hrefs and rows; ``html``: text or bytes, null where the
+def captured_parts(pages: DataFrame, html: str, columns: Sequence[str] = tuple(P.COLUMNS)) -> DataFrame:
+    """The other columns of ``pages`` with failure, message, strings, hrefs and rows, or some of the last three; ``html``: text or bytes, null where the
     page could not be had. ``failure`` is null where the page could be parsed."""
-    spark, name = pages.sparkSession, "tidemark_page_parts"
-    spark.udtf.register(name, F.udtf(PageParts, returnType=PARTS))
-    kept = ", ".join(f"p.`{c}`" for c in pages.columns if c != html)
-    return spark.sql(f"SELECT {kept}, t.* FROM {{pages}} AS p, LATERAL {name}(p.`{html}`) AS t", pages=pages)  # noqa: S608
+    return P.with_parts(pages, html, captured, "failure string, message string", columns)
 
 
 def outcomes(pages: DataFrame, html: str = "html") -> DataFrame:
     """A row a race page (race_id, html): status, message, what the header says, the runners. A failed request comes before a
     failed parse, then a race without prize, then one without runners."""
-    df = P.with_runners(P.race_header(captured_parts(pages, html)))
+    df = P.with_runners(P.race_header(captured_parts(pages, html, ["rows"])))
     status = F.coalesce("failure", F.when(F.col("prize_money_hkd") == 0, "SKIP_ZERO_PRIZE").when(F.coalesce(F.size("runners"), F.lit(0)) <= 0, "SKIP_NO_RESULTS").otherwise("OK"))
-    return df.withColumn("status", status).drop("failure", "strings", "hrefs", "rows")
+    return df.withColumn("status", status).drop("failure", "rows")
 
 
 def counted(found: DataFrame, name: str = "extraction") -> tuple[DataFrame, Observation]:
@@ -77,6 +68,6 @@ def extract(pages: DataFrame, path: str, html: str = "html") -> dict[str, int]:
     what was written (``runner_rows`` of it)."""
     found, seen = counted(outcomes(pages, html))
     found.write.option("compression", "zstd").parquet(path)
-    if pages.isEmpty():  # an empty plan observes nothing
+    if pages.sparkSession.read.schema(found.schema).parquet(path).isEmpty():  # an empty plan observes nothing
         return dict.fromkeys(("pages", *STATUSES, "runners"), 0)
     return {k: v or 0 for k, v in seen.get.items()}

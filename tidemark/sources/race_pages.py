@@ -7,10 +7,12 @@ A page without the table that is looked for gives no rows, which is the normal c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,26 +38,52 @@ PROFILE_LABELS = ("Country of Origin / Age", "Country of Origin", "Colour / Sex"
 
 CELL = "struct<text: string, head: boolean, links: array<struct<href: string, text: string>>>"
 ROW = f"struct<table_no: int, own: string, around: string, cells: array<{CELL}>>"
+COLUMNS = {"strings": "array<string>", "hrefs": "array<string>", "rows": f"array<{ROW}>"}
 SILENT = {"script", "style", "template"}
+#: Tags without attributes of elements that hold no raw text: as they make up most of a long page, they are read at a glance.
+PLAIN_START, PLAIN_END = re.compile("<(td|th|tr|table|thead|tbody|p|b|div|span|h1)>"), re.compile("</(td|th|tr|table|thead|tbody|a|p|b|div|span|h1)>")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
 class Parts(HTMLParser):
-    """Texts, links, and the rows of all tables with the classes of the table and of what is around it."""
+    """Texts, links, and the rows of all tables with the classes of the table and of what is around it. What is found is kept in
+    flat lists, as Arrow has it: a row begins at a cell, a cell at a link."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.strings: list[str] = []
         self.hrefs: list[str] = []
-        self.rows: list[dict] = []
+        self.rows: list[tuple[int, str, str]] = []
+        self.row_begins: list[int] = []
+        self.cells: list[str] = []
+        self.heads: list[bool] = []
+        self.cell_begins: list[int] = []
+        self.link_hrefs: list[str] = []
+        self.link_texts: list[list[str]] = []
         self.stack: list[tuple[str, str]] = []
+        self.silent = 0
         self.tables: list[tuple[int, str, str]] = []
         self.n_tables = 0
-        self.cell: dict | None = None
-        self.link: dict | None = None
+        self.cell: list[str] | None = None
+        self.link: list[str] | None = None
+
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # nobody asks for lines
+
+    def parse_starttag(self, i: int) -> int:
+        if plain := PLAIN_START.match(self.rawdata, i):
+            self.handle_starttag(plain[1], [])
+            return plain.end()
+        return super().parse_starttag(i)
+
+    def parse_endtag(self, i: int) -> int:
+        if self.cdata_elem is None and (plain := PLAIN_END.match(self.rawdata, i)):
+            self.handle_endtag(plain[1])
+            return plain.end()
+        return super().parse_endtag(i)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        named = {k: v or "" for k, v in attrs}
+        named = {k: v or "" for k, v in attrs} if attrs else {}
         if tag in ("td", "th", "tr", "table"):
             self.end_cell()
         if tag == "table":
@@ -64,23 +92,28 @@ class Parts(HTMLParser):
         elif tag == "tr" and self.tables:
             self.new_row()
         elif tag in ("td", "th") and self.tables:
-            if not self.rows or self.rows[-1]["table_no"] != self.tables[-1][0]:
+            if not self.rows or self.rows[-1][0] != self.tables[-1][0]:
                 self.new_row()
-            self.cell = {"text": [], "head": tag == "th", "links": []}
-            self.rows[-1]["cells"].append(self.cell)
+            self.cell = []
+            self.heads.append(tag == "th")
+            self.cell_begins.append(len(self.link_hrefs))
         elif tag == "a" and "href" in named:
             self.hrefs.append(named["href"])
-            self.link = {"href": named["href"], "text": []}
+            self.link = []
             if self.cell is not None:
-                self.cell["links"].append(self.link)
+                self.link_hrefs.append(named["href"])
+                self.link_texts.append(self.link)
         if tag not in VOID:
             self.stack.append((tag, named.get("class", "")))
+            self.silent += tag in SILENT
 
     def new_row(self) -> None:
-        number, own, around = self.tables[-1]
-        self.rows.append({"table_no": number, "own": own, "around": around, "cells": []})
+        self.rows.append(self.tables[-1])
+        self.row_begins.append(len(self.heads))
 
     def end_cell(self) -> None:
+        if self.cell is not None:
+            self.cells.append(" ".join(self.cell))
         self.cell = self.link = None
 
     def handle_endtag(self, tag: str) -> None:
@@ -90,40 +123,88 @@ class Parts(HTMLParser):
             self.link = None
         if tag == "table" and self.tables:
             self.tables.pop()
-        if any(t == tag for t, _ in self.stack):
-            while self.stack.pop()[0] != tag:
-                pass
+        if self.stack and self.stack[-1][0] == tag or any(t == tag for t, _ in self.stack):
+            while True:
+                closed = self.stack.pop()[0]
+                self.silent -= closed in SILENT
+                if closed == tag:
+                    break
 
     def handle_data(self, data: str) -> None:
-        if data.strip() and not any(t in SILENT for t, _ in self.stack):
-            self.strings.append(" ".join(data.split()))
+        if not self.silent and (said := " ".join(data.split())):
+            self.strings.append(said)
             for held in (self.cell, self.link):
                 if held is not None:
-                    held["text"].append(self.strings[-1])
+                    held.append(said)
+
+    def close(self) -> None:
+        super().close()
+        self.end_cell()
 
 
-def parts(html: str | None) -> dict:
+def parts(html: str | None) -> Parts:
     parser = Parts()
     parser.feed(html or "")
     parser.close()
-    joined = lambda x: x | {"text": " ".join(x["text"])}
-    rows = [r | {"cells": [joined(c) | {"links": [joined(a) for a in c["links"]]} for c in r["cells"]]} for r in parser.rows]
-    return {"strings": parser.strings, "hrefs": parser.hrefs, "rows": rows}
+    return parser
+
+
+def _lists(values: pa.Array, begins: list[np.ndarray], counts: list[int]) -> pa.ListArray:
+    """Lists of ``values``, whose parts have ``counts`` values; ``begins`` of each part: where its lists begin."""
+    firsts = np.cumsum([0, *counts])
+    offsets = np.concatenate([*(np.asarray(b, dtype=np.int64) + first for b, first in zip(begins, firsts, strict=False)), firsts[-1:]])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
+def parts_as_arrow(found: list[Parts], columns: Sequence[str]) -> list[pa.Array]:
+    """Of the columns strings, hrefs and rows of some pages those of ``columns``."""
+    text = lambda name: pa.array([x for p in found for x in getattr(p, name)], pa.string())
+    whole = lambda values, name: _lists(values, [np.zeros(1)] * len(found), [len(getattr(p, name)) for p in found])
+    links = pa.StructArray.from_arrays([text("link_hrefs"), pa.array([" ".join(x) for p in found for x in p.link_texts], pa.string())], ["href", "text"])
+    of_cells = _lists(links, [p.cell_begins for p in found], [len(p.link_hrefs) for p in found])
+    cells = pa.StructArray.from_arrays([text("cells"), pa.array([x for p in found for x in p.heads], pa.bool_()), of_cells], ["text", "head", "links"])
+    of_rows = _lists(cells, [p.row_begins for p in found], [len(p.cells) for p in found])
+    tables = [pa.array([r[i] for p in found for r in p.rows], kind) for i, kind in enumerate((pa.int32(), pa.string(), pa.string()))]
+    rows = pa.StructArray.from_arrays([*tables, of_rows], ["table_no", "own", "around", "cells"])
+    return [whole(rows if c == "rows" else text(c), c) for c in columns]
+
+
+#: A batch of parsed pages is handed on from so many characters of html: a large page is alone in its batch.
+BATCH_CHARACTERS = 1 << 21
+
+
+def page_parts(pages: DataFrame, html: str, columns: Sequence[str] = tuple(COLUMNS)) -> DataFrame:
+    """The other columns of ``pages`` with strings, hrefs and rows, or some of these, in place of the html."""
+    return with_parts(pages, html, parts, columns=columns)
+
+
+def with_parts(pages: DataFrame, html: str, parse: Callable, captured: str = "", columns: Sequence[str] = tuple(COLUMNS)) -> DataFrame:
+    """The other columns of ``pages`` with what ``parse`` gives of each page. It gives parts or, where there are columns
+    ``captured`` (of strings), their values and parts. Pages go one by one: a task holds the parts of BATCH_CHARACTERS or a page."""
+    kept, n = [c for c in pages.columns if c != html], len(captured.split(",")) if captured else 0
 
+    names = [*kept, *(x.split()[0] for x in captured.split(",")[:n]), *columns]
 
-def page_parts(pages: DataFrame, html: str) -> DataFrame:
-    """The other columns of ``pages`` with strings, hrefs and rows in place of the html."""
-    kept = [c for c in pages.columns if c != html]
+    def made(batch: pa.RecordBatch, begin: int, held: list) -> pa.RecordBatch:
+        said = [pa.array([x[i] for x in held], pa.string()) for i in range(n)]
+        own = [batch.column(i).slice(begin, len(held)) for i in range(len(kept))]
+        return pa.RecordBatch.from_arrays([*own, *said, *parts_as_arrow([x[n] for x in held] if n else held, columns)], names=names)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), 200):
-                some = pdf.iloc[at : at + 200]
-                found = pd.DataFrame([parts(h) for h in some[html]], columns=["strings", "hrefs", "rows"], index=some.index)
-                yield pd.concat([some[kept], found], axis=1)
+    def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in given:
+            begin, held, size = 0, [], 0
+            for at in range(batch.num_rows):
+                page = batch.column(len(kept))[at].as_py()
+                held.append(parse(page))
+                size += len(page or "")
+                if size >= BATCH_CHARACTERS or at + 1 == batch.num_rows:
+                    out = made(batch, begin, held)
+                    begin, held, size, page = at + 1, [], 0, None
+                    yield out
+                    out = None  # nothing of a long page stays while the next one is read
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != html), "strings array<string>", "hrefs array<string>", f"rows array<{ROW}>"])
-    return pages.select(*kept, html).mapInPandas(rows, schema)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != html), *([captured] if captured else []), *(f"{c} {COLUMNS[c]}" for c in columns)])
+    return pages.select(*kept, html).mapInArrow(batches, schema)
 
 
 def _names(row: Column, headers: dict[str, tuple[str, ...]], normalise) -> Column:
@@ -246,8 +327,10 @@ def with_runners(df: DataFrame) -> DataFrame:
 
 
 def runner_rows(df: DataFrame, site: str) -> DataFrame:
-    """The runners of pages (race_id, header, runners) as rows."""
-    rows = df.select("race_id", "header", F.size("runners").alias("field_size"), F.explode_outer("runners").alias("_runner"))
+    """The runners of pages (race_id, header, runners) as rows. The size is made before the explode: in one select with it, it would
+    be made after, and every row would carry the whole field."""
+    rows = df.select("race_id", "header", "runners", F.size("runners").alias("field_size"))
+    rows = rows.select("race_id", "header", "field_size", F.explode_outer("runners").alias("_runner"))
     rows = rows.select("race_id", "header", "field_size", "_runner.row_no", "_runner.data").where("row_no is not null")
     rows = rows.withColumn("link", _horse_link(_cell("horse")))
     rows = rows.withColumns({"horse_id": F.coalesce(text.id_from_link(F.col("link")["href"]), F.lit("")), "horse_number": text.parse_integer(_text("horse_number"))})
