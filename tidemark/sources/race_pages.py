@@ -416,7 +416,8 @@ def starters(df: DataFrame, site: str) -> DataFrame:
     known, its rows after that one, numbers 1 to 30, with a link to a horse. Of a race's rows of one number, then of one horse,
     the one that says most stays, the first of equal ones."""
     texts = lambda r: F.transform(r["cells"], lambda c: card_header(c["text"]))
-    known = lambda r: F.size(F.array_intersect(texts(r), F.array(*map(F.lit, CARD_FINGERPRINT)))) == len(CARD_FINGERPRINT)
+    maybe = lambda r: F.exists(r["cells"], lambda c: F.lower(c["text"]).contains("last"))  # noqa: E731  of "last 6 runs": spares most rows the patterns
+    known = lambda r: F.when(maybe(r), F.size(F.array_intersect(texts(r), F.array(*map(F.lit, CARD_FINGERPRINT)))) == len(CARD_FINGERPRINT)).otherwise(F.lit(False))
     places = F.filter(F.transform("rows", lambda r, i: F.struct(i.alias("i"), known(r).alias("known"))), lambda p: p["known"])
     df = df.withColumn("_at", F.get(places, F.lit(0))["i"])
     names = F.transform(_names(F.get("rows", F.col("_at")), CARD_HEADERS, card_header), lambda n: F.coalesce(n, F.lit("")))
