@@ -55,3 +55,27 @@ def test_balance_of_pairs_is_that_of_the_pairs(spark):
     df = spark.range(900).select((F.col("id") * 31 % 7).alias("g"), (F.col("id") * 577 % 900).alias("i"), (F.col("id") * 13 % 41).cast("int").alias("x"))
     pairs = tables.pairs_in_group(df, ["g"], "i", ["x"]).groupBy("g").agg(F.count("*").alias("n"), F.sum(F.signum(F.col("b.x") - F.col("a.x")).cast("bigint")).alias("s"))
     assert sorted(map(tuple, tables.balance_of_pairs(df, "g", "i", "x").collect())) == sorted(map(tuple, pairs.collect()))
+
+
+def test_few_days_are_sent_and_many_joined(spark, monkeypatch):
+    """Days of a trainer are broadcast where they are few, and joined where not; both give the same."""
+    from tidemark.plans import features
+
+    df = spark.range(400).select((F.col("id") % 3).alias("trainer"), (F.col("id") % 9).cast("int").alias("_day"), F.lit(1).alias("_started"), (F.col("id") % 2).cast("int").alias("_is_win"), F.lit(1).alias("_is_top3"), F.col("id"))
+    df = df.withColumn("trainer", F.when(F.col("trainer") > 0, F.col("trainer")))
+    plain = features.entity_form(df, "trainer", "t")
+    want = sorted(map(str, plain.collect()))
+    for small, sent in ((1000, True), (0, False)):
+        monkeypatch.setattr(features, "SMALL", small)
+        made = features.entity_form(df, "trainer", "t", history=df, measured=True)
+        assert sorted(map(str, made.collect())) == want
+        assert ("ResolvedHint" in made._jdf.queryExecution().analyzed().toString()) == sent
+
+
+def test_pairs_of_a_horse_over_rows_are_those_over_days(spark):
+    from tidemark.plans import features
+
+    df = spark.range(300).select(F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("horse_id"), (F.col("id") % 4).alias("jockey"), (F.col("id") * 5 % 11).cast("int").alias("_day"), (F.col("id") % 5 > 0).cast("int").alias("_started"), (F.col("id") % 2).cast("int").alias("_is_win"), F.lit(1).alias("_is_top3"), "id")
+    combos = {"horse_jockey": ["horse_id", "jockey"]}
+    over_rows, over_days = features.combo_of_horse(df, combos), features.combo_history(df, combos)
+    assert sorted(map(str, over_rows.select(*over_days.columns).collect())) == sorted(map(str, over_days.collect()))

@@ -72,11 +72,12 @@ def outcome_helpers(df: DataFrame) -> DataFrame:
 SPEED_CONTEXT = ("racecourse_code", "surface", "course", "distance_m", "going")
 
 
-def context_speed_z(df: DataFrame, least: int = 20, context: Sequence[str] = SPEED_CONTEXT) -> DataFrame:
+def context_speed_z(df: DataFrame, least: int = 20, context: Sequence[str] = SPEED_CONTEXT, history: DataFrame | None = None) -> DataFrame:
     """Speed against all timed runs of earlier races in the same context: race totals first, then running totals of races.
-    A race's context is the first known value of each column; null contexts and null race_ids are values of their own."""
+    A race's context is the first known value of each column; null contexts and null race_ids are values of their own.
+    ``history``: a table of the same runs, from which the races are made at once, to be sent to the rows if they are few."""
     order = F.struct("race_date", "race_number", "result_id")
-    timed = df.where("_speed_mps is not null")
+    timed = (df if history is None else history).where("_speed_mps is not null")
     first = [F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in context]
     race = timed.groupBy("race_id").agg(F.min(order).alias("o"), F.sum("_speed_mps").alias("s"), F.sum(F.col("_speed_mps") * F.col("_speed_mps")).alias("ss"), F.count("*").alias("n"), *first)
     before = W._spec(context, ["o"]).rowsBetween(W.UP, -1)
@@ -84,7 +85,7 @@ def context_speed_z(df: DataFrame, least: int = 20, context: Sequence[str] = SPE
     race = race.select("race_id", n.alias("_n"), (F.sum("s").over(before) / n).alias("_mean"), (F.sum("ss").over(before) / n).alias("_square"))
     std = F.sqrt(F.greatest(F.lit(0.0), F.col("_square") - F.col("_mean") * F.col("_mean")))
     race = race.select(F.col("race_id").alias("_race"), "_n", "_mean", std.alias("_std"))
-    out = df.join(race, F.col("race_id").eqNullSafe(F.col("_race")), "left")
+    out = df.join(race if history is None else sent_if_small(race, "speeds"), F.col("race_id").eqNullSafe(F.col("_race")), "left")
     z = F.when((F.col("_n") >= least) & (F.col("_std") > 0), (F.col("_speed_mps") - F.col("_mean")) / F.col("_std"))
     return out.select(*df.columns, z.alias("_speed_context_z"))
 
@@ -206,23 +207,34 @@ def context_history(df: DataFrame, contexts: dict[str, Sequence[str]] = CONTEXTS
     return df.select(*df.columns, *out)
 
 
+#: A table of at most so many rows, each of some keys and a few numbers, is sent to the tasks.
+SMALL = 50_000
+
+
+def sent_if_small(df: DataFrame, name: str) -> DataFrame:
+    """``df`` made once, and broadcast if it was found to be small: else a join would move its other side before it knew."""
+    made = settled(df, name)
+    return F.broadcast(made) if made.count() <= SMALL else made
+
+
 def _daily(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Starts, wins and places of a day for each value of the keys, null ones too: a row a day, however many runs."""
     started = lambda c: F.sum(F.when(F.col("_started") == 1, F.col(c)).otherwise(0).cast("bigint")).alias(c)
     return df.groupBy(*keys, "_day").agg(*[started(c) for c in ("_started", "_is_win", "_is_top3")])
 
 
-def _with_daily(df: DataFrame, keys: Sequence[str], daily: DataFrame, new: dict[str, Column]) -> DataFrame:
-    """``new``, computed over the days of the keys, on every row of these keys and that day."""
+def _with_daily(df: DataFrame, keys: Sequence[str], daily: DataFrame, new: dict[str, Column], measured: bool = False) -> DataFrame:
+    """``new``, computed over the days of the keys, on every row of these keys and that day. ``measured``: they are made at once,
+    and sent to the rows if they are few."""
     on = [*keys, "_day"]
     found = daily.select(*[F.col(c).alias(f"_on_{c}") for c in on], *[c.alias(n) for n, c in new.items()])
     match = F.lit(True)
     for c in on:
         match = match & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
-    return df.join(found, match, "left").select(*df.columns, *new)
+    return df.join(sent_if_small(found, "days") if measured else found, match, "left").select(*df.columns, *new)
 
 
-def entity_form(df: DataFrame, entity: str, prefix: str, days: Sequence[int] = FORM_DAYS, history: DataFrame | None = None) -> DataFrame:
+def entity_form(df: DataFrame, entity: str, prefix: str, days: Sequence[int] = FORM_DAYS, history: DataFrame | None = None, measured: bool = False) -> DataFrame:
     """Career totals and calendar windows of a trainer or jockey, all before the day. ``history``: the runs that count, those
     of ``df`` itself if not given; where stages follow each other it keeps the plan from doubling with each."""
     daily, career = _daily(df if history is None else history, [entity]), _totals_of_days(W.days_before([entity], "_day"))
@@ -231,7 +243,7 @@ def entity_form(df: DataFrame, entity: str, prefix: str, days: Sequence[int] = F
         w = W.days_before([entity], "_day", d)
         starts, wins, top3 = (F.sum(c).over(w) for c in ("_started", "_is_win", "_is_top3"))
         new |= {f"{prefix}_starts_{d}d": starts, f"{prefix}_win_rate_{d}d": numbers.rate(wins, starts), f"{prefix}_top3_rate_{d}d": numbers.rate(top3, starts)}
-    return _with_daily(df, [entity], daily, new)
+    return _with_daily(df, [entity], daily, new, measured)
 
 
 def _totals_of_days(w) -> dict[str, Column]:
@@ -239,15 +251,21 @@ def _totals_of_days(w) -> dict[str, Column]:
     return {"starts": starts, "wins": wins, "top3": top3, "win_rate": numbers.rate(wins, starts), "top3_rate": numbers.rate(top3, starts)}
 
 
-def combo_history(df: DataFrame, combos: dict[str, Sequence[str]] = COMBOS, history: DataFrame | None = None) -> DataFrame:
+def combo_history(df: DataFrame, combos: dict[str, Sequence[str]] = COMBOS, history: DataFrame | None = None, measured: bool = False) -> DataFrame:
     """Date-prior totals of pairs, from the runs of ``history`` (see ``entity_form``)."""
     history = df if history is None else history
     for prefix, keys in combos.items():
         new = {f"{prefix}_{k}_before": c for k, c in _totals_of_days(W.days_before(keys, "_day")).items()}
-        df = _with_daily(df, keys, _daily(history, keys), new)
+        df = _with_daily(df, keys, _daily(history, keys), new, measured)
     return df
 
 
+def combo_of_horse(df: DataFrame, combos: dict[str, Sequence[str]]) -> DataFrame:
+    """As ``combo_history`` for pairs of a horse, in windows over the rows: a horse's days are about as many as its rows."""
+    new = {f"{prefix}_{k}_before": c for prefix, keys in combos.items() for k, c in _totals(W.days_before(keys, "_day")).items()}
+    return df.select("*", *[c.alias(n) for n, c in new.items()])
+
+
 #: Names, columns and whether more is better, of what is compared with the field after all histories are known.
 RECENT = {
     "recent_speed": ("avg_speed_mps_last5", True, "field_avg_recent_speed_last5"),
@@ -266,6 +284,16 @@ _COMPARED = {
 }
 
 
+#: What a field's statistics are made of.
+_FIELD = {"result_id", "race_id", "horse_rating_before", "draw", "field_size", "actual_weight", "declared_horse_weight"}
+#: What contexts and pairs of a horse are run over beside these; the names of the summaries of last starts.
+_RUN_OVER = {c for keys in (*CONTEXTS.values(), *COMBOS.values()) for c in keys}
+_SUMMARIES = (
+    "avg_finish", "median_finish", "best_finish", "worst_finish", "finish_std", "avg_relative_finish", "avg_margin_lengths", "avg_speed_mps", "best_speed_mps", "speed_std",
+    "avg_speed_context_z", "wins", "top3", "win_rate", "top3_rate",
+)
+
+
 def post_history_field(df: DataFrame) -> DataFrame:
     """Ranks and differences from the field's mean of what the earlier stages found; columns that aren't there are left out."""
     out = []
@@ -295,23 +323,29 @@ def build_features(history: DataFrame, emit: DataFrame | None = None, lags: int
     """All stages on the history, then the rows to emit: the history's columns first, new ones after them.
 
     ``emit``: result_ids, all of them known to the history. Rows stay narrow as long as they move: trainers', jockeys' and pairs'
-    days are counted from the first stages' table and joined, contexts are run over, and what is compared with the field is
-    joined from a pass over the few columns that it needs. The 400 wide columns of the horses' histories are made last, from
-    rows that are dealt by horse once, and cross no exchange."""
+    days are counted from the first stage's table and, where they turn out few, sent to the rows; a field's statistics, a horse's contexts and
+    what is compared with the field are joined from passes over the few columns that they need. The 400 wide columns of the horses'
+    histories are made last, from rows that are dealt by horse once, and cross no exchange."""
     lags = max(1, lags)
-    df = context_speed_z(outcome_helpers(base_helpers(history)))
-    base = df = settled(elo.add_elo(df) if with_elo else df, "runs")
-    for entity in ("trainer", "jockey"):
-        df = entity_form(df, entity, entity, history=base)
-    df = combo_history(df, history=base)
     parts = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but many windows: not to be put together
-    df = context_history(field_features(df).repartition(parts, "horse_id"))
+    base = settled(outcome_helpers(base_helpers(history)), "runs")
+    field = base.select(*[c for c in base.columns if c in _FIELD])
+    if with_elo:
+        field = field.join(settled(elo.elo_of(base), "elo"), F.col("result_id") == F.col("_result"), "left").drop("_result")
+    field = field_features(field.repartition(parts, "race_id"))
+    field = settled(field.select(F.col("result_id").alias("_of"), *[c for c in field.columns if c not in base.columns]), "fields")
+    df = context_speed_z(base.join(field, F.col("result_id").eqNullSafe(F.col("_of")), "left").drop("_of"), history=base)
+    for entity in ("trainer", "jockey"):
+        df = entity_form(df, entity, entity, history=base, measured=True)
+    of_horse = {name: keys for name, keys in COMBOS.items() if keys[0] == "horse_id"}
+    df = combo_history(df, {name: keys for name, keys in COMBOS.items() if name not in of_horse}, history=base, measured=True)
     df = settled(market(df) if include_market else df, "narrow")
-    summed = df.select(*[c for c in df.columns if c in _COMPARED]).repartition(parts, "horse_id")
-    summed = horse_history(summed, lags, ["summaries"], [5]) if lags >= 5 else summed
-    compared = post_history_field(summed)
-    compared = compared.select(F.col("result_id").alias("_of"), *[c for c in compared.columns if c not in summed.columns])
-    df = df.join(compared, F.col("result_id").eqNullSafe(F.col("_of")), "left").drop("_of").repartition(parts, "horse_id")
+    run_over = df.select(*[c for c in df.columns if c in _COMPARED or c in _RUN_OVER]).repartition(parts, "horse_id")
+    found = combo_of_horse(context_history(run_over), of_horse)
+    found = post_history_field(horse_history(found, lags, ["summaries"], [5]) if lags >= 5 else found)
+    summaries = {f"{x}_last5" for x in _SUMMARIES}
+    found = settled(found.select(F.col("result_id").alias("_of"), *[c for c in found.columns if c not in run_over.columns and c not in summaries]), "found")
+    df = df.join(found, F.col("result_id").eqNullSafe(F.col("_of")), "left").drop("_of").repartition(parts, "horse_id")
     df = training_metadata(horse_history(df, lags))
     if emit is not None:
         df = df.join(emit.select("result_id").distinct(), "result_id", "left_semi")
